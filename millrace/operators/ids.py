@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -35,17 +36,14 @@ def assign_ids(
     )
     written, _ = scratch.write(ranged)
     partition, position = row_number_parts(F.col("_sequence"))
-    numbered = written.select("*", partition.alias("_partition"), position.alias("_position"))
-    counts = sorted(
-        (row["_partition"], row["rows"])
-        for row in numbered.groupBy("_partition").agg(F.count("*").alias("rows")).collect()
-    )
-    before = accumulate((rows for _, rows in counts), initial=start)
-    offsets = [(partition, offset) for (partition, _), offset in zip(counts, before)]
-    lookup = df.sparkSession.createDataFrame(offsets, "_partition bigint, _offset bigint")
-    return numbered.join(F.broadcast(lookup), "_partition").select(
-        (F.col("_offset") + F.col("_position")).alias(id_col), *[f"`{c}`" for c in df.columns]
-    )
+    counts = {
+        row["_partition"]: row["rows"]
+        for row in written.groupBy(partition.alias("_partition")).agg(F.count("*").alias("rows")).collect()
+    }
+    sizes = [counts.get(i, 0) for i in range(max(counts, default=0))]
+    before = json.dumps(list(accumulate(sizes, initial=start)))
+    offset = F.get(F.from_json(F.lit(before), "array<bigint>"), partition.cast("int"))
+    return written.select((offset + position).alias(id_col), *[f"`{c}`" for c in df.columns])
 
 
 def unordered_ids(sequence: Column, partitions: int, start: int) -> Column:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import KeyRule
@@ -36,10 +36,16 @@ class Merge:
 
 @dataclass(frozen=True)
 class Changes:
-    """The rows of a target that change (``id_col`` and new values) and the rows to add."""
+    """The rows of a target that change (``id_col`` and new values) and the rows to add.
+
+    ``parts`` are the partitions of the target that get other content.
+    """
 
     updated: DataFrame
     inserted: DataFrame
+    updated_rows: int
+    inserted_rows: int
+    parts: list[str]
 
 
 def one_row_per_key(source: DataFrame, merge: Merge) -> DataFrame:
@@ -91,12 +97,14 @@ def plan_changes(
     created_at: datetime,
     scratch: Scratch,
     next_id: int | None = None,
+    part: Column | None = None,
 ) -> Changes:
     """Compare a batch with the target and number the new rows in key order.
 
     Each side is shuffled once, the target without the columns the match does not need.
     What is kept afterwards has the size of the batch. Rows that would be overwritten
-    with the values they have are left out.
+    with the values they have are left out. ``part`` computes a row's partition from the
+    columns of the source.
     """
     source_keys = [f"_key{i}" for i in range(len(merge.keys))]
     target_keys = [f"_target_key{i}" for i in range(len(merge.keys))]
@@ -117,11 +125,16 @@ def plan_changes(
         .withColumn("_changed", ~reduce(lambda a, b: a & b, same_values, F.lit(True)))
         .select(*source_keys, *merge.source_cols, "_ambiguous", "_id", "_changed")
     )
+    is_new = F.col("_id").isNull()
+    is_updated = ~is_new & F.col("_changed")
+    part = F.lit("") if part is None else part
     batch, found = scratch.write(
         matched,
         {
             "ambiguous": F.count_if("_ambiguous"),
-            "new": F.count_if(F.col("_id").isNull()),
+            "new": F.count_if(is_new),
+            "updated": F.count_if(is_updated),
+            "parts": F.collect_set(F.when(is_new | is_updated, part)),
         },
     )
     if found["ambiguous"]:
@@ -132,7 +145,7 @@ def plan_changes(
         )
     if next_id is None:
         next_id = (target.agg(F.max(merge.id_col)).first()[0] or 0) + 1
-    new = batch.filter(F.col("_id").isNull()).select(*source_keys, *merge.source_cols)
+    new = batch.filter(is_new).select(*source_keys, *merge.source_cols)
     if found["new"]:
         order = [F.col(k).asc_nulls_first() for k in source_keys]
         new = assign_ids(new, order, merge.id_col, next_id, scratch)
@@ -143,10 +156,8 @@ def plan_changes(
         *merge.source_cols,
         F.lit(created_at).cast("timestamp").alias(merge.created_col),
     )
-    updated = batch.filter(F.col("_id").isNotNull() & F.col("_changed")).select(
-        F.col("_id").alias(merge.id_col), *merge.source_cols
-    )
-    return Changes(updated, inserted)
+    updated = batch.filter(is_updated).select(F.col("_id").alias(merge.id_col), *merge.source_cols)
+    return Changes(updated, inserted, found["updated"], found["new"], sorted(found["parts"]))
 
 
 def apply_changes(target: DataFrame, changes: Changes, merge: Merge) -> DataFrame:

@@ -9,6 +9,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import append_row
+
 COUNT_COLUMNS = [
     "StgProviderCount", "StgPatientCount", "StgClaimCount",
     "ProviderCount", "PatientCount", "ClaimCount", "RejectTotal",
@@ -16,9 +18,15 @@ COUNT_COLUMNS = [
 
 STATUSES = ("SUCCESS", "FAILED", "PARTIAL")
 
-_LOG = "RunID bigint, Event string, Sequence bigint, At timestamp, Status string, " + ", ".join(
-    f"{c} bigint" for c in COUNT_COLUMNS
-)
+_COLUMNS = {
+    "RunID": "bigint",
+    "Event": "string",
+    "Sequence": "bigint",
+    "At": "timestamp",
+    "Status": "string",
+    **{c: "bigint" for c in COUNT_COLUMNS},
+}
+_LOG = ", ".join(f"{name} {kind}" for name, kind in _COLUMNS.items())
 
 
 def now() -> datetime:
@@ -68,9 +76,8 @@ class RunAudit:
 
     def _append(self, run_id: int, event: str, **values: object) -> None:
         row = {"RunID": run_id, "Event": event, "Sequence": time.time_ns(), "At": now(), **values}
-        fields = [part.split(" ")[0] for part in _LOG.split(", ")]
-        df = self.spark.createDataFrame([tuple(row.get(f) for f in fields)], _LOG)
-        df.coalesce(1).write.mode("append").json(self.path)
+        columns = [F.lit(row.get(n)).cast(kind).alias(n) for n, kind in _COLUMNS.items()]
+        append_row(self.spark, columns, self.path)
 
     def start_run(self, run_id: int | None = None) -> int:
         """Open a run under the next free id, or again under its own id for a retry."""

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.coerce import DATE_PATTERN, coerce_types
-from millrace.operators.upsert import Merge, apply_changes, plan_changes
+from millrace.operators.quality import BROKEN_RULES
+from millrace.operators.upsert import Changes, Merge, apply_changes, plan_changes
 from millrace.plans import claims as c
 from millrace.plans import reports
 from millrace.plans.audit import RunAudit, now
@@ -40,17 +41,22 @@ class ClaimsWarehouse:
         self.tables = Warehouse(spark, root)
         self.audit = RunAudit(spark, self.tables.path("runs"))
 
+    def table(self, spec: TableSpec) -> DataFrame:
+        """The rows of a table as of now."""
+        self.tables.refresh()
+        return self.tables.snapshot(spec)
+
     def providers(self) -> DataFrame:
-        return self.tables.snapshot(c.PROVIDER)
+        return self.table(c.PROVIDER)
 
     def patients(self) -> DataFrame:
-        return self.tables.snapshot(c.PATIENT)
+        return self.table(c.PATIENT)
 
     def claims(self) -> DataFrame:
-        return self.tables.snapshot(c.CLAIM)
+        return self.table(c.CLAIM)
 
     def rejects(self) -> DataFrame:
-        return self.tables.snapshot(c.REJECT_CLAIM)
+        return self.table(c.REJECT_CLAIM)
 
     def register_views(self) -> None:
         """The three reports as temporary views for SQL."""
@@ -74,8 +80,16 @@ class ClaimsWarehouse:
     ) -> None:
         target = self.tables.snapshot(spec)
         changes = plan_changes(target, staged, merge, created_at, scratch, self.tables.next_id(spec))
-        if not (changes.inserted.isEmpty() and changes.updated.isEmpty()):
-            self.tables.commit(self.tables.write(spec, apply_changes(target, changes, merge)))
+        self.tables.commit(self._write_changes(spec, changes, apply_changes(target, changes, merge)))
+
+    def _write_changes(self, spec: TableSpec, changes: Changes, merged: DataFrame) -> list[Written]:
+        """Write what a merge changed, which may be nothing."""
+        if not changes.parts:
+            return []
+        version, _, _ = self.tables.write(spec, merged, changes.parts)
+        rows = self.tables.row_count(spec) + changes.inserted_rows
+        last_id = self.tables.next_id(spec) - 1 + changes.inserted_rows
+        return [Written(spec.name, version, changes.parts, rows, last_id)]
 
     def upsert_claims(
         self, staged: Staged, run_id: int, at: datetime, options: Options, scratch: Scratch
@@ -83,23 +97,38 @@ class ClaimsWarehouse:
         """Divert broken claims, upsert the others, publish both together; returns rejects."""
         resolved = c.resolve_claims(
             staged.df,
-            self.patients(),
-            self.providers(),
+            self.tables.snapshot(c.PATIENT),
+            self.tables.snapshot(c.PROVIDER),
             fold_case=options.fold_case,
             hot=staged.hot,
             spread_by=F.col(ROW_SEQUENCE),
         )
         # Joined once, read twice: by the rejects and by the upsert.
-        evaluated, _ = scratch.write(c.evaluate_claims(resolved))
-        written = self._write_rejects(evaluated, staged.partitions, run_id, at)
-        rejects = sum(w.row_count for w in written)
-        written += self._merge_claims(c.valid_claims(evaluated), at, scratch)
-        self.tables.commit(written)
+        month = c.submit_month(F.col("DateSubmitted"))
+        evaluated, found = scratch.write(
+            c.evaluate_claims(resolved),
+            {"months": F.collect_set(F.when(F.col(BROKEN_RULES) == 0, month))},
+        )
+        reject_table, rejects = self._write_rejects(evaluated, staged.partitions, run_id, at)
+        target = self.tables.snapshot(c.CLAIM, found["months"])
+        changes = plan_changes(
+            target,
+            c.valid_claims(evaluated),
+            c.CLAIM_MERGE,
+            at,
+            scratch,
+            self.tables.next_id(c.CLAIM),
+            month,
+        )
+        touched = self.tables.snapshot(c.CLAIM, changes.parts)
+        merged = apply_changes(touched, changes, c.CLAIM_MERGE).withColumn("SubmitMonth", month)
+        self.tables.commit([*reject_table, *self._write_changes(c.CLAIM, changes, merged)])
         return rejects
 
     def _write_rejects(
         self, evaluated: DataFrame, partitions: int, run_id: int, at: datetime
-    ) -> list[Written]:
+    ) -> tuple[list[Written], int]:
+        """Rejects of this run, in place of those an earlier try of the run left behind."""
         rejects = c.stamp_rejects(
             c.rejected_claims(evaluated),
             run_id,
@@ -108,24 +137,10 @@ class ClaimsWarehouse:
             partitions,
             self.tables.next_id(c.REJECT_CLAIM),
         )
-        written = self.tables.write(c.REJECT_CLAIM, rejects)
-        if not written:
-            # A retry without rejects replaces those of the first try by nothing.
-            version = self.tables.next_version(c.REJECT_CLAIM)
-            written = [Written(c.REJECT_CLAIM.name, str(run_id), version, 0, None)]
-        return written
-
-    def _merge_claims(self, valid: DataFrame, at: datetime, scratch: Scratch) -> list[Written]:
-        month = c.submit_month(F.col("DateSubmitted"))
-        months = [row[0] for row in valid.select(month).distinct().collect()]
-        target = self.tables.snapshot(c.CLAIM, months)
-        changes = plan_changes(target, valid, c.CLAIM_MERGE, at, scratch, self.tables.next_id(c.CLAIM))
-        changed = changes.updated.select(month).union(changes.inserted.select(month)).distinct()
-        touched = [row[0] for row in changed.collect()]
-        if not touched:
-            return []
-        merged = apply_changes(self.tables.snapshot(c.CLAIM, touched), changes, c.CLAIM_MERGE)
-        return self.tables.write(c.CLAIM, merged.withColumn("SubmitMonth", month))
+        part = [str(run_id)]
+        version, rows, max_id = self.tables.write(c.REJECT_CLAIM, rejects, part)
+        written = Written(c.REJECT_CLAIM.name, version, part, max_id=max_id, empty=rows == 0)
+        return [written], rows
 
     # -- the run ----------------------------------------------------------------------
 
@@ -140,6 +155,7 @@ class ClaimsWarehouse:
         Dimensions come first, each published by itself; rejects and claims are published
         together. After an error the run is recorded as FAILED and the error raised again.
         """
+        self.tables.refresh()
         run_id = self.audit.start_run(run_id)
         scratch = Scratch(self.spark)
         try:

@@ -72,16 +72,21 @@ class Scratch:
 
 
 def write_observed(
-    df: DataFrame, path: str, metrics: dict[str, Column] | None = None
+    df: DataFrame,
+    path: str,
+    metrics: dict[str, Column] | None = None,
+    partition_col: str | None = None,
 ) -> tuple[DataFrame, dict[str, object]]:
     """Overwrite ``path`` with ``df``; aggregate ``metrics`` while the rows stream past."""
     spark = df.sparkSession
-    found: dict[str, object] = {}
-    if metrics:
-        observation = Observation()
-        observed = df.observe(observation, *[c.alias(name) for name, c in metrics.items()])
-        observed.write.mode("overwrite").parquet(path)
-        found = dict(observation.get)
-    else:
-        df.write.mode("overwrite").parquet(path)
+    observation = Observation()
+    rows = df.observe(observation, *[c.alias(n) for n, c in metrics.items()]) if metrics else df
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(partition_col) if partition_col else writer).parquet(path)
+    found = dict(observation.get) if metrics else {}
     return spark.read.schema(df.schema).parquet(path), found
+
+
+def append_row(spark: SparkSession, columns: list[Column], path: str) -> None:
+    """Append one row of literals as one file, which appears whole or not at all."""
+    spark.range(0, 1, 1, 1).select(*columns).write.mode("append").json(path)

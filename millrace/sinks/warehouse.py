@@ -3,27 +3,51 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from millrace.schemas import TableSpec
+from millrace.session import append_row, write_observed
 
-_WHOLE = ""  # partition value of a table that has no partition column
-_LOG = "table string, part string, version bigint, row_count bigint, max_id bigint"
+WHOLE = ""  # the one partition of a table that has no partition column
+
+_LOG = (
+    "entries array<struct<table: string, version: bigint, parts: array<string>, "
+    "row_count: bigint, max_id: bigint, empty: boolean>>"
+)
 
 
 @dataclass(frozen=True)
 class Written:
-    """Files of one partition, written but not visible before they are committed."""
+    """New content of some partitions, not visible before it is committed.
+
+    ``row_count`` is that of the whole table afterwards, ``max_id`` the highest new id.
+    ``empty`` says that the partitions have no rows, and so no files, from now on.
+    """
 
     table: str
-    part: str
     version: int
-    row_count: int
-    max_id: int | None
+    parts: Sequence[str]
+    row_count: int | None = None
+    max_id: int | None = None
+    empty: bool = False
+
+
+@dataclass
+class TableState:
+    """What the log says about a table: a version per partition, a count, the last id."""
+
+    versions: dict[str, int] = field(default_factory=dict)
+    empty: set[str] = field(default_factory=set)
+    row_count: int = 0
+    max_id: int = 0
+
+    @property
+    def last_version(self) -> int:
+        return max(self.versions.values(), default=0)
 
 
 class Warehouse:
@@ -40,87 +64,107 @@ class Warehouse:
         self.root = root.rstrip("/")
         self._log_path = f"{self.root}/log"
         spark.createDataFrame([], _LOG).write.mode("ignore").json(self._log_path)
+        self._state: dict[str, TableState] = {}
+        self.refresh()
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
     def log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).json(self._log_path)
-
-    def partitions(self, spec: TableSpec) -> DataFrame:
-        """The current version, rows and id of each partition of a table."""
-        return (
-            self.log()
-            .filter(F.col("table") == spec.name)
-            .groupBy("part")
-            .agg(
-                F.max("version").alias("version"),
-                F.max_by("row_count", "version").alias("row_count"),
-            )
+        """One row per commit and table."""
+        return self.spark.read.schema(_LOG).json(self._log_path).select(F.inline("entries"))
+
+    def refresh(self) -> None:
+        """Read the state of all tables: a version per partition, as many as there are."""
+        log = self.log()
+        latest = (
+            log.select("table", "version", "empty", F.explode("parts").alias("part"))
+            .groupBy("table", "part")
+            .agg(F.max("version").alias("version"), F.max_by("empty", "version").alias("empty"))
         )
+        totals = log.groupBy("table").agg(
+            F.max_by("row_count", "version").alias("row_count"), F.max("max_id").alias("max_id")
+        )
+        self._state = {}
+        for row in latest.join(totals, "table", "left").collect():
+            state = self._state.setdefault(row["table"], TableState())
+            state.versions[row["part"]] = row["version"]
+            if row["empty"]:
+                state.empty.add(row["part"])
+            state.row_count, state.max_id = row["row_count"] or 0, row["max_id"] or 0
+
+    def state(self, spec: TableSpec) -> TableState:
+        return self._state.setdefault(spec.name, TableState())
 
     def snapshot(self, spec: TableSpec, parts: Sequence[str] | None = None) -> DataFrame:
         """The visible rows of a table, or of some of its partitions.
 
         Columns added to the specification later are NULL in older files.
         """
-        current = [
-            (row["part"], row["version"])
-            for row in self.partitions(spec).filter("row_count > 0").collect()
-            if parts is None or row["part"] in parts
-        ]
+        state = self.state(spec)
+        versions, wanted = state.versions, set(state.versions if parts is None else parts)
+        current = [p for p in versions if p in wanted and p not in state.empty]
         if not current:
             return self.spark.createDataFrame([], spec.schema)
         base = self.path(spec.name)
         paths = [
-            f"{base}/v={version}" + (f"/{spec.partition_col}={part}" if spec.partition_col else "")
-            for part, version in sorted(current)
+            f"{base}/v={versions[p]}" + (f"/{spec.partition_col}={p}" if spec.partition_col else "")
+            for p in sorted(current)
         ]
         schema = StructType([*spec.schema.fields, StructField("v", IntegerType())])
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("v")
 
     def row_count(self, spec: TableSpec) -> int:
-        """Rows of a table, from the log alone."""
-        return self.partitions(spec).agg(F.sum("row_count")).first()[0] or 0
+        """Rows of a table, known without a scan."""
+        return self.state(spec).row_count
 
     def next_id(self, spec: TableSpec) -> int:
         """One more than any id ever given out."""
-        return (self.log().filter(F.col("table") == spec.name).agg(F.max("max_id")).first()[0] or 0) + 1
+        return self.state(spec).max_id + 1
 
-    def next_version(self, spec: TableSpec) -> int:
-        return (self.log().filter(F.col("table") == spec.name).agg(F.max("version")).first()[0] or 0) + 1
+    def write(
+        self, spec: TableSpec, df: DataFrame, parts: Sequence[str] = (WHOLE,)
+    ) -> tuple[int, int, int | None]:
+        """Write the whole new content of ``parts``; returns version, rows and highest id.
 
-    def write(self, spec: TableSpec, df: DataFrame) -> list[Written]:
-        """Write the whole new content of each partition that occurs in ``df``.
-
-        Rows are gathered by partition first, large ones over several tasks, which keeps
-        both the files few and a partition with most of the rows from being one task.
+        With several partitions the rows are gathered by partition first, a large one over
+        several tasks: that keeps the files few, and a partition that has most of the rows
+        from being one task.
         """
-        version = self.next_version(spec)
-        target = self.path(spec.name, f"v={version}")
+        version = self.state(spec).last_version + 1
         rows = df.select(*spec.columns)
-        if spec.partition_col:
-            rows.hint("rebalance", spec.partition_col).write.mode("overwrite").partitionBy(
-                spec.partition_col
-            ).parquet(target)
-            part = F.col(spec.partition_col).cast("string")
-        else:
-            rows.write.mode("overwrite").parquet(target)
-            part = F.lit(_WHOLE)
-        max_id = F.max(spec.id_col) if spec.id_col else F.lit(None).cast("bigint")
-        stats = (
-            self.spark.read.schema(spec.schema)
-            .parquet(target)
-            .groupBy(part.alias("part"))
-            .agg(F.count("*").alias("row_count"), max_id.alias("max_id"))
+        if spec.partition_col and len(parts) > 1:
+            rows = rows.hint("rebalance", spec.partition_col)
+        _, found = write_observed(
+            rows,
+            self.path(spec.name, f"v={version}"),
+            {"rows": F.count(F.lit(1)), "max_id": F.max(spec.id_col)},
+            partition_col=spec.partition_col,
         )
-        return [
-            Written(spec.name, row["part"], version, row["row_count"], row["max_id"])
-            for row in stats.collect()
-        ]
+        return version, found["rows"], found["max_id"]
 
     def commit(self, written: Iterable[Written]) -> None:
         """Make written files of any number of tables visible at once."""
-        rows = [(w.table, w.part, w.version, w.row_count, w.max_id) for w in written]
-        if rows:
-            self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").json(self._log_path)
+        written = list(written)
+        if not written:
+            return
+        entries = F.array(
+            *[
+                F.struct(
+                    F.lit(w.table).alias("table"),
+                    F.lit(w.version).cast("bigint").alias("version"),
+                    F.lit(list(w.parts)).cast("array<string>").alias("parts"),
+                    F.lit(w.row_count).cast("bigint").alias("row_count"),
+                    F.lit(w.max_id).cast("bigint").alias("max_id"),
+                    F.lit(w.empty).alias("empty"),
+                )
+                for w in written
+            ]
+        )
+        append_row(self.spark, [entries.alias("entries")], self._log_path)
+        for w in written:
+            state = self._state.setdefault(w.table, TableState())
+            state.versions.update({part: w.version for part in w.parts})
+            state.empty = state.empty - set(w.parts) | (set(w.parts) if w.empty else set())
+            state.row_count = w.row_count or 0
+            state.max_id = max(state.max_id, w.max_id or 0)
