@@ -32,8 +32,8 @@ def hot_hashes(
     return [entry["item"] for entry in top if entry["count"] > floor]
 
 
-def _equal(left: list[str], right: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(x) == F.col(y) for x, y in zip(left, right, strict=True)])
+def _equal(left: list[Column], right: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [x == F.col(y) for x, y in zip(left, right, strict=True)])
 
 
 def resolve_keys(
@@ -53,43 +53,40 @@ def resolve_keys(
 
     The join has no broadcast hint: Spark compares both sides' sizes with its threshold,
     before and while it runs. Rows whose key hash is in ``hot`` take their id from a
-    broadcast of just those few dimension rows; they go through the shuffle under
-    ``spread_by``, a number that differs between rows, so they fill all partitions evenly.
+    broadcast of just those few dimension rows. In the shuffle join they are routed by
+    ``spread_by``, a number that differs between rows, and so fill all partitions evenly;
+    all other rows are routed by their key. Should such a number happen to be the route of
+    the row's own key, the join finds the same id once more.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"how must be left or inner, not {how}")
     fact_names, dim_names = [f for f, _ in on], [d for _, d in on]
-    fact_keys = [f"_fact_key{i}" for i in range(len(on))]
+    # Compared as expressions: copies of the keys would be shuffled along with each row.
+    keys = rule.columns(fact, fact_names, dim_names)
     dim_keys = [f"_dim_key{i}" for i in range(len(on))]
-    fact_columns = fact.columns
-    keyed = rule.columns(fact, fact_names, dim_names)
-    probe = fact.select("*", *[c.alias(n) for c, n in zip(keyed, fact_keys)])
     lookup = dim.select(
         *[c.alias(n) for c, n in zip(rule.columns(dim, dim_names), dim_keys)], F.col(id_col)
     )
-    same_key = _equal(fact_keys, dim_keys)
+    columns = [F.col(f"`{c}`") for c in fact.columns]
     if not hot:
-        joined = probe.join(lookup, same_key, how)
-        return joined.select(*[f"`{c}`" for c in fact_columns], id_col)
+        return fact.join(lookup, _equal(keys, dim_keys), how).select(*columns, id_col)
 
     if spread_by is None:
         raise ValueError("hot keys need spread_by, a number that differs between rows")
-    hot = list(hot)
-    few = lookup.filter(key_hash([F.col(k) for k in dim_keys]).isin(hot)).select(
+    route, dim_route = key_hash(keys), key_hash([F.col(k) for k in dim_keys])
+    few = lookup.filter(dim_route.isin(list(hot))).select(
         *[F.col(k).alias(f"_hot{k}") for k in dim_keys], F.col(id_col).alias("_hot_id")
     )
-    probe = probe.withColumn("_is_hot", key_hash([F.col(k) for k in fact_keys]).isin(hot)).withColumn(
-        "_spread", F.when(F.col("_is_hot"), spread_by + 1).otherwise(F.lit(0)).cast("bigint")
+    probe = fact.withColumn("_is_hot", route.isin(list(hot))).withColumn(
+        "_route", F.when(F.col("_is_hot"), spread_by).otherwise(route)
     )
-    hot_match = F.col("_is_hot") & _equal(fact_keys, [f"_hot{k}" for k in dim_keys])
+    hot_match = F.col("_is_hot") & _equal(keys, [f"_hot{k}" for k in dim_keys])
     joined = probe.join(F.broadcast(few), hot_match, "left").join(
-        lookup.withColumn("_cold", F.lit(0).cast("bigint")),
-        same_key & (F.col("_spread") == F.col("_cold")),
+        lookup.withColumn("_dim_route", dim_route),
+        _equal(keys, dim_keys) & (F.col("_route") == F.col("_dim_route")),
         "left",
     )
-    resolved = joined.select(
-        *[f"`{c}`" for c in fact_columns], F.coalesce("_hot_id", id_col).alias(id_col)
-    )
+    resolved = joined.select(*columns, F.coalesce("_hot_id", id_col).alias(id_col))
     return resolved if how == "left" else resolved.filter(F.col(id_col).isNotNull())
 
 

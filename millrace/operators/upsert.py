@@ -57,27 +57,32 @@ def one_row_per_key(source: DataFrame, merge: Merge) -> DataFrame:
     """
     keys = merge.rule.columns(source, list(merge.keys))
     names = [f"_key{i}" for i in range(len(keys))]
-    plain = [F.col(f"`{c}`") for c in merge.source_cols]
-    folded = [
-        merge.rule.comparable(F.col(f"`{c}`"), source.schema[c].dataType, "").alias(f"_cmp{i}")
-        for i, c in enumerate(merge.source_cols)
-    ]
-    row = F.struct(*(folded if merge.rule.fold_case else []), *plain)
+    # A key column that is compared as it is comes back from the group, not from the row.
+    as_is = {
+        k: n
+        for k, n in zip(merge.keys, names)
+        if k not in merge.rule.null_sentinels and not merge.rule.fold_case
+    }
+    carried = [c for c in merge.source_cols if c not in as_is]
+    row = F.struct(*[F.col(f"`{c}`") for c in carried])
+    if merge.rule.fold_case:
+        # Rows that differ in case alone count as one; the fields to compare come first.
+        compared = F.struct(
+            *[merge.rule.comparable(F.col(f"`{c}`"), source.schema[c].dataType, "") for c in carried]
+        )
+        row = F.struct(compared.alias("compared"), row.alias("row"))
     reduced = source.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(
         F.min(row).alias("_least"), F.max(row).alias("_greatest")
     )
-    if merge.rule.fold_case:
-        differs = reduce(
-            lambda a, b: a | b,
-            [
-                ~F.col(f"_least._cmp{i}").eqNullSafe(F.col(f"_greatest._cmp{i}"))
-                for i in range(len(folded))
-            ],
-        )
-    else:
-        differs = ~F.col("_least").eqNullSafe(F.col("_greatest"))
-    values = [F.col(f"_least.`{c}`").alias(c) for c in merge.source_cols]
-    return reduced.select(*names, *values, differs.alias("_ambiguous"))
+    inner, values = (".compared", "_least.row") if merge.rule.fold_case else ("", "_least")
+    return reduced.select(
+        *names,
+        *[
+            F.col(as_is[c]).alias(c) if c in as_is else F.col(f"{values}.`{c}`").alias(c)
+            for c in merge.source_cols
+        ],
+        (~F.col(f"_least{inner}").eqNullSafe(F.col(f"_greatest{inner}"))).alias("_ambiguous"),
+    )
 
 
 def ambiguous_keys(source: DataFrame, keys: Sequence[str], rule: KeyRule = KeyRule()) -> DataFrame:
@@ -123,7 +128,7 @@ def plan_changes(
         one_row_per_key(source, merge)
         .join(known, same_key, "left")
         .withColumn("_changed", ~reduce(lambda a, b: a & b, same_values, F.lit(True)))
-        .select(*source_keys, *merge.source_cols, "_ambiguous", "_id", "_changed")
+        .select(*merge.source_cols, "_ambiguous", "_id", "_changed")
     )
     is_new = F.col("_id").isNull()
     is_updated = ~is_new & F.col("_changed")
@@ -145,9 +150,9 @@ def plan_changes(
         )
     if next_id is None:
         next_id = (target.agg(F.max(merge.id_col)).first()[0] or 0) + 1
-    new = batch.filter(is_new).select(*source_keys, *merge.source_cols)
+    new = batch.filter(is_new).select(*merge.source_cols)
     if found["new"]:
-        order = [F.col(k).asc_nulls_first() for k in source_keys]
+        order = [k.asc_nulls_first() for k in merge.rule.columns(new, list(merge.keys))]
         new = assign_ids(new, order, merge.id_col, next_id, scratch)
     else:
         new = new.withColumn(merge.id_col, F.lit(None).cast("bigint"))
