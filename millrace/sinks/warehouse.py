@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from millrace.schemas import TableSpec
 from millrace.session import append_row, write_observed
 
+_VERSION = "table_version"  # directory level, kept out of the rows
 WHOLE = ""  # the one partition of a table that has no partition column
 
 _LOG = (
@@ -108,11 +109,11 @@ class Warehouse:
             return self.spark.createDataFrame([], spec.schema)
         base = self.path(spec.name)
         paths = [
-            f"{base}/v={versions[p]}" + (f"/{spec.partition_col}={p}" if spec.partition_col else "")
+            f"{base}/{_VERSION}={versions[p]}" + (f"/{spec.partition_col}={p}" if spec.partition_col else "")
             for p in sorted(current)
         ]
-        schema = StructType([*spec.schema.fields, StructField("v", IntegerType())])
-        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("v")
+        schema = StructType([*spec.schema.fields, StructField(_VERSION, IntegerType())])
+        return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop(_VERSION)
 
     def row_count(self, spec: TableSpec) -> int:
         """Rows of a table, known without a scan."""
@@ -137,7 +138,7 @@ class Warehouse:
             rows = rows.hint("rebalance", spec.partition_col)
         _, found = write_observed(
             rows,
-            self.path(spec.name, f"v={version}"),
+            self.path(spec.name, f"{_VERSION}={version}"),
             {"rows": F.count(F.lit(1)), "max_id": F.max(spec.id_col)},
             partition_col=spec.partition_col,
         )
