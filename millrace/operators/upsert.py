@@ -106,9 +106,10 @@ def plan_changes(
 ) -> Changes:
     """Compare a batch with the target and number the new rows in key order.
 
-    Each side is shuffled once, the target without the columns the match does not need.
-    What is kept afterwards has the size of the batch. Rows that would be overwritten
-    with the values they have are left out. ``part`` computes a row's partition from the
+    The target is read without the columns the match does not need, and first reduced to
+    the keys of the batch: if those are few enough to broadcast, the target is not shuffled
+    at all, and otherwise once. What is kept afterwards has the size of the batch. Rows that
+    would be overwritten with the values they have are left out. ``part`` computes a row's partition from the
     columns of the source.
     """
     source_keys = [f"_key{i}" for i in range(len(merge.keys))]
@@ -124,9 +125,10 @@ def plan_changes(
     same_values = [
         F.col(f"`{c}`").eqNullSafe(F.col(f"`_old_{c}`")) for c in merge.update_cols
     ]
+    batch_rows = one_row_per_key(source, merge)
+    hits = known.join(batch_rows.select(*source_keys), same_key, "left_semi")
     matched = (
-        one_row_per_key(source, merge)
-        .join(known, same_key, "left")
+        batch_rows.join(hits, same_key, "left")
         .withColumn("_changed", ~reduce(lambda a, b: a & b, same_values, F.lit(True)))
         .select(*merge.source_cols, "_ambiguous", "_id", "_changed")
     )

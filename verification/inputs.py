@@ -85,25 +85,26 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "5-LOW", "Complete")
         .otherwise("REJECTED")
     )
-    patient = customers(spark, sf_dir).select(
-        "c_custkey",
-        F.col("FirstName").alias("PatientFirstName"),
-        F.col("LastName").alias("PatientLastName"),
-        F.col("BirthDate").alias("PatientBirthDate"),
+    nation = table(spark, sf_dir, "nation")
+    patient_nation = nation.select(
+        F.col("n_nationkey").alias("pn_key"), F.col("n_name").alias("PatientLastName")
     )
-    provider = suppliers(spark, sf_dir).select(
-        "s_suppkey", F.col("Name").alias("ProviderName"), F.col("Region").alias("ProviderRegion")
+    provider_nation = nation.select(
+        F.col("n_nationkey").alias("rn_key"), F.col("n_name").alias("ProviderRegion")
     )
+    # Plain tables one by one: Spark knows their sizes, but not that of a join of them.
     return (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(patient, F.col("o_custkey") == F.col("c_custkey"))
-        .join(provider, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(patient_nation, F.col("c_nationkey") == F.col("pn_key"))
+        .join(provider_nation, F.col("s_nationkey") == F.col("rn_key"))
         .select(
-            "PatientFirstName",
+            F.col("c_name").alias("PatientFirstName"),
             "PatientLastName",
-            "PatientBirthDate",
-            "ProviderName",
+            birth_date().alias("PatientBirthDate"),
+            F.col("s_name").alias("ProviderName"),
             "ProviderRegion",
             billed.cast("decimal(18,2)").alias("AmountBilled"),
             F.when(~is_open, (billed * discount * tax).cast("decimal(18,2)")).alias("AmountPaid"),

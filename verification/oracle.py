@@ -222,7 +222,7 @@ known AS (
 SELECT o_orderkey, CAST(visit AS VARCHAR) AS visit, c_custkey AS found_id
 FROM visits LEFT JOIN known ON o_custkey = c_custkey
   AND COALESCE(visit, DATE '1900-01-01') = COALESCE(since, DATE '1900-01-01')""",
-    "fk_missing": f"""WITH {_SUPPLIERS}
+    "fk_violations": f"""WITH {_SUPPLIERS}
 SELECT l_suppkey, COUNT(*) AS row_count FROM lineitem
 WHERE l_suppkey NOT IN (SELECT s_suppkey FROM suppliers WHERE s_acctbal >= 0) GROUP BY l_suppkey""",
     **{f"rule_{code.lower()}": _with_left(_rule(code)) for code in _CODES},
@@ -238,18 +238,18 @@ WHERE l_suppkey NOT IN (SELECT s_suppkey FROM suppliers WHERE s_acctbal >= 0) GR
         + " ELSE 1 END AS BIGINT) AS broken_count FROM resolved) r WHERE broken_count >= 2"
     ),
     "valid_claims": _with_left(f"SELECT {_VALID_OUT} FROM ({_VALID}) v"),
-    "upsert_provider": f"""WITH {_SUPPLIERS},
+    "upsert_dim": f"""WITH {_SUPPLIERS},
 first AS (SELECT Name, Region, Specialty FROM suppliers WHERE s_acctbal < 6000),
 batch AS (SELECT Name, Region, Specialty || ' II' AS Specialty FROM suppliers WHERE s_acctbal >= 2000),
 {_upsert(['Name', 'Region'], ['Specialty'], 'ProviderID')}
 SELECT ProviderID, Name, Region, Specialty, CreatedAt FROM merged""",
-    "upsert_patient": _PATIENT_UPSERT,
+    "upsert_dim_null_key": _PATIENT_UPSERT,
     "upsert_twice": _PATIENT_UPSERT,
-    "upsert_claim_basic": _claim_upsert("INNER", "SELECT * FROM resolved"),
-    "upsert_claim_checked": _claim_upsert("LEFT", _VALID),
-    "ambiguous_lines": """SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count
+    "upsert_fact_basic": _claim_upsert("INNER", "SELECT * FROM resolved"),
+    "upsert_fact_dq": _claim_upsert("LEFT", _VALID),
+    "ambiguous_keys": """SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count
 FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
-    "assign_line_ids": """SELECT 1000 + row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS line_id,
+    "assign_ids": """SELECT 1000 + row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS line_id,
   l_orderkey, l_linenumber FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k""",
     "distinct_rows": """SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus,
   CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date FROM lineitem""",
@@ -268,7 +268,7 @@ FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVIN
 FROM lineitem""",
     "read_wrapped_feed": _TYPED_CLAIMS,
     "read_plain_feed": _TYPED_CLAIMS,
-    "contract_counts": f"""WITH {_CLAIMS}, c AS (
+    "contract_violations": f"""WITH {_CLAIMS}, c AS (
   SELECT COUNT(*) FILTER (WHERE Status = 'paid') AS no_provider,
          COUNT(*) FILTER (WHERE AmountBilled <= 0) AS no_amount,
          COUNT(*) FILTER (WHERE AmountPaid IS NULL AND LENGTH(Status) * 5 > 30) AS long_status
@@ -294,13 +294,13 @@ WHERE ts >= {_AS_OF} - INTERVAL 24 HOURS AND ts <= {_AS_OF} GROUP BY 1""",
     "run_rejects": f"""SELECT event_id AS RejectID, UPPER(event_type) AS RuleCode,
   {_EVENT_RUN} AS RunID FROM events
 WHERE ts >= {_AS_OF} AND ts < {_AS_OF} + INTERVAL 1 HOUR""",
-    "run_history": f"WITH {_RUN_LOG} SELECT * FROM runs",
+    "audit_counters": f"WITH {_RUN_LOG} SELECT * FROM runs",
     "latest_runs": f"WITH {_RUN_LOG} SELECT * FROM runs ORDER BY RunID DESC LIMIT 50",
     "run_claims": f"""WITH {_RUN_TABLES}
 SELECT row_number() OVER (ORDER BY v.PatientID, v.ProviderID, v.DateSubmitted, v.AmountBilled)
   AS ClaimID, {_VALID_OUT.replace('PatientID, ProviderID', 'v.PatientID, v.ProviderID', 1)}
 FROM valid v""",
-    "run_rejected": f"WITH {_RUN_TABLES} SELECT r.*, CAST(1 AS BIGINT) AS RunID FROM rejects r",
+    "run_rejects_table": f"WITH {_RUN_TABLES} SELECT r.*, CAST(1 AS BIGINT) AS RunID FROM rejects r",
     "run_counts": f"""WITH {_RUN_TABLES}, n AS (
   SELECT (SELECT COUNT(*) FROM providers) AS p, (SELECT COUNT(*) FROM patients) AS t,
          (SELECT COUNT(*) FROM stg) AS s, (SELECT COUNT(*) FROM valid) AS v,

@@ -38,25 +38,34 @@ GIVEN_TABLES = (
 )
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
-    return fn
+COVERS: dict[str, tuple[str, ...]] = {}
+
+
+def query(name: str, *operators: str) -> Callable[[Query], Query]:
+    """Register a query and the operators of the survey it exercises."""
+
+    def register(fn: Query) -> Query:
+        QUERIES[name] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
+        COVERS[name] = operators
+        return fn
+
+    return register
 
 
 # -- key resolution -----------------------------------------------------------------------
 
 
-@query
+@query("resolve_inner", "J1", "J3", "F6")
 def resolve_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.resolved_claims(spark, sf_dir, "inner")
 
 
-@query
+@query("resolve_left", "J2", "J3", "P1")
 def resolve_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.resolved_claims(spark, sf_dir)
 
 
-@query
+@query("resolve_hot_keys", "J2", "J3", "K2", "A4")
 def resolve_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frequent keys found while staging, then given the path of their own."""
     staged = load_staging(
@@ -76,7 +85,7 @@ def resolve_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop(ROW_SEQUENCE)
 
 
-@query
+@query("null_sentinel_join", "J3", "F6", "F8")
 def null_sentinel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates against customer dates, where NULL and 1900-01-01 are the same."""
     sentinel = F.lit(c.UNKNOWN_BIRTH).cast("date")
@@ -104,7 +113,7 @@ def null_sentinel_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("o_orderkey", "visit", "found_id")
 
 
-@query
+@query("fk_violations", "J5")
 def fk_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fk_violations(
         table(spark, sf_dir, "lineitem"), inputs.providers(spark, sf_dir), "l_suppkey", "ProviderID"
@@ -114,7 +123,7 @@ def fk_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- quality rules ------------------------------------------------------------------------
 
 
-def _register_rule(code: str) -> None:
+def _register_rule(code: str, operator: str, *functions: str) -> None:
     def one_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
         resolved = inputs.resolved_claims(spark, sf_dir)
         gate = c.unresolved_rule()
@@ -122,26 +131,29 @@ def _register_rule(code: str) -> None:
         rejected = c.with_resolved_names(reject_rows(evaluate_rules(resolved, gate, rules), gate, rules))
         return rejected.filter(F.col("RuleCode") == code).drop("RulePosition")
 
-    QUERIES[f"rule_{code.lower()}"] = lambda spark, sf_dir: portable(one_rule(spark, sf_dir))
+    query(f"rule_{code.lower()}", operator, *functions)(one_rule)
 
 
-for _code in ("FK_NOT_FOUND", "NEGATIVE_AMOUNT", "OVERPAID", "DATE_ORDER", "BAD_STATUS"):
-    _register_rule(_code)
+_register_rule("FK_NOT_FOUND", "Q1", "P3", "F7", "F8")
+_register_rule("NEGATIVE_AMOUNT", "Q2", "P4", "P7")
+_register_rule("OVERPAID", "Q3", "P4", "P7")
+_register_rule("DATE_ORDER", "Q4", "P4", "P7")
+_register_rule("BAD_STATUS", "Q5", "P4", "F9", "F10")
 
 
-@query
+@query("rejects_all", "Q6", "M9", "U1", "P2", "P3", "P4", "P7", "F7", "F8", "F13")
 def rejects_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.rejected_claims(inputs.evaluated_claims(spark, sf_dir)).drop("RulePosition")
 
 
-@query
+@query("rejects_by_rule", "R2", "G4")
 def rejects_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: stage, resolve, evaluate, and count the rejects of the run by rule."""
     rejects = c.rejected_claims(inputs.evaluated_claims(spark, sf_dir))
     return reports.rejects_by_run_and_rule(rejects.withColumn("RunID", F.lit(1).cast("bigint")))
 
 
-@query
+@query("multi_rule_rows", "Q6", "F13")
 def multi_rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         inputs.evaluated_claims(spark, sf_dir)
@@ -151,7 +163,7 @@ def multi_rule_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
+@query("valid_claims", "Q7", "P5", "P7", "G1")
 def valid_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.valid_claims(inputs.evaluated_claims(spark, sf_dir)).distinct()
 
@@ -167,7 +179,7 @@ def _numbered(df: DataFrame, merge: Merge, scratch: Scratch) -> DataFrame:
     )
 
 
-@query
+@query("upsert_dim", "M1", "M5", "M7", "M8", "J4")
 def upsert_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch, merge = Scratch(spark), c.provider_merge()
     rows = inputs.suppliers(spark, sf_dir)
@@ -192,14 +204,14 @@ def _patient_loads(spark: SparkSession, sf_dir: str, scratch: Scratch) -> tuple[
     return target, source
 
 
-@query
+@query("upsert_dim_null_key", "M2", "M5", "M7", "M8", "J3", "J4")
 def upsert_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     target, source = _patient_loads(spark, sf_dir, scratch)
     return upsert(target, source, c.patient_merge(), SECOND_LOAD, scratch)
 
 
-@query
+@query("upsert_twice", "M10")
 def upsert_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark)
     target, source = _patient_loads(spark, sf_dir, scratch)
@@ -223,29 +235,29 @@ def _upsert_claims(spark: SparkSession, sf_dir: str, resolved: DataFrame) -> Dat
     return upsert(target, source, c.CLAIM_MERGE, SECOND_LOAD, scratch)
 
 
-@query
+@query("upsert_fact_basic", "M3", "M5", "J1", "J4")
 def upsert_claim_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_claims(spark, sf_dir, inputs.resolved_claims(spark, sf_dir, "inner"))
 
 
-@query
+@query("upsert_fact_dq", "M4", "M5", "Q7", "J4")
 def upsert_claim_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_claims(spark, sf_dir, c.valid_claims(inputs.evaluated_claims(spark, sf_dir)))
 
 
-@query
+@query("ambiguous_keys", "M6")
 def ambiguous_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ambiguous_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("assign_ids", "M7")
 def assign_line_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     order = [F.col("l_orderkey"), F.col("l_linenumber")]
     return assign_ids(keys, order, "line_id", 1001, Scratch(spark))
 
 
-@query
+@query("distinct_rows", "G1")
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "lineitem")
@@ -257,7 +269,7 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- types and text -----------------------------------------------------------------------
 
 
-@query
+@query("coerce_numbers", "F1", "F3", "F4")
 def coerce_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts as feeds spell them: plain, with blanks, exponents, or not numbers at all."""
     amount = F.col("value").cast("decimal(18,2)").cast("string")
@@ -278,7 +290,7 @@ def coerce_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(raw, {"money": c.MONEY, "number": "float", "whole": "int", "absent": "str"})
 
 
-@query
+@query("coerce_dates", "F1", "F5")
 def coerce_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates with single digits, blanks, times or remarks."""
     iso = F.date_format("o_orderdate", "yyyy-MM-dd")
@@ -295,13 +307,13 @@ def coerce_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(raw, {"day": "date"})
 
 
-@query
+@query("trim_text", "F2", "F14")
 def trim_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     padded = F.concat(F.lit("\t  "), F.col("text"), F.lit("\u00a0\u3000\r\n"))
     return table(spark, sf_dir, "documents").select("doc_id", strip_text(padded).alias("text"))
 
 
-@query
+@query("na_tokens", "S3")
 def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     cell = (
@@ -314,7 +326,7 @@ def na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", na_to_null(cell).alias("cell"))
 
 
-@query
+@query("split_single_column", "S4", "S5", "S5a", "S5b", "S7", "F14")
 def split_single_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as text of one column, cut at the delimiter named by the header."""
     line = F.concat_ws(
@@ -336,7 +348,7 @@ def _written_feed(df: DataFrame, columns: list[str], path: str, delimiter: str =
     return path
 
 
-@query
+@query("read_wrapped_feed", "S1", "S2", "S5", "S5a", "S5b", "S6", "F1")
 def read_wrapped_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{Scratch(spark).path}/feed"
     _written_feed(inputs.claims(spark, sf_dir), c.STG_CLAIM.columns, path, ";")
@@ -344,7 +356,7 @@ def read_wrapped_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(feed.checked(), c.TYPES["StgClaim"])
 
 
-@query
+@query("read_plain_feed", "S1", "S2", "S3", "S4", "S6", "S7", "F1")
 def read_plain_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A comma-separated feed with a superfluous column and missing values."""
     path = f"{Scratch(spark).path}/feed"
@@ -354,7 +366,7 @@ def read_plain_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coerce_types(feed.checked(), c.TYPES["StgClaim"])
 
 
-@query
+@query("contract_violations", "K4")
 def contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claims from texts that are too long or missing, counted per rule of the contract."""
     rows = inputs.claims(spark, sf_dir).withColumns(
@@ -372,7 +384,7 @@ def contract_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- counts, reports, history -------------------------------------------------------------
 
 
-@query
+@query("table_counts", "G2", "A4", "A5")
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [
         table(spark, sf_dir, name).agg(F.count("*").alias("row_count")).select(
@@ -383,33 +395,33 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-@query
+@query("rejects_by_date_rule", "R1", "G4", "F11")
 def rejects_by_date_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.rejects_by_date_and_rule(inputs.event_rejects(spark, sf_dir))
 
 
-@query
+@query("rejects_by_run_rule", "R2", "G4")
 def rejects_by_run_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.rejects_by_run_and_rule(inputs.event_rejects(spark, sf_dir))
 
 
-@query
+@query("rejects_last_24h", "R5")
 def rejects_last_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.rejects_in_last_day(inputs.event_rejects(spark, sf_dir), AS_OF)
 
 
-@query
+@query("run_rejects", "P6", "R4", "G3")
 def run_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_id = int(AS_OF.timestamp()) // 3600
     return reports.rejects_of_run(inputs.event_rejects(spark, sf_dir), run_id).drop("IngestedAt")
 
 
-@query
+@query("audit_counters", "A1", "A2", "A3")
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.fold_runs(inputs.event_run_log(spark, sf_dir))
 
 
-@query
+@query("latest_runs", "R3", "L1")
 def latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.latest_runs(audit.fold_runs(inputs.event_run_log(spark, sf_dir)))
 
@@ -434,19 +446,19 @@ def _loaded(spark: SparkSession, sf_dir: str, runs: int = 1) -> ClaimsWarehouse:
     return warehouse
 
 
-@query
+@query("run_claims", "X1", "X2", "K1", "K2", "K3", "K5", "M1", "M2", "M4")
 def run_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The claim table after a run over feeds written from the tables."""
     return _loaded(spark, sf_dir).claims().drop("CreatedAt", "SubmitMonth")
 
 
-@query
+@query("run_rejects_table", "X1", "X3", "K6", "K7", "M9", "Q1", "Q2", "Q3", "Q4", "Q5")
 def run_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reject table after a run."""
     return _loaded(spark, sf_dir).rejects().drop("RejectID", "IngestedAt")
 
 
-@query
+@query("run_counts", "A1", "A2", "A3", "A4", "A5", "A6", "A8", "F12", "M10")
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run history after the same feeds were loaded twice."""
     return _loaded(spark, sf_dir, runs=2).audit.runs().drop("StartedAt", "EndedAt")
