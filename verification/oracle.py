@@ -199,10 +199,15 @@ resolved AS (SELECT * FROM found),
 valid AS ({_VALID}),
 rejects AS ({_REJECTS})"""
 
-_NUMBER_TEXT = """CASE event_type WHEN 'signup' THEN CAST(value AS DECIMAL(18,2))
+_MONEY = """CASE event_type WHEN 'signup' THEN CAST(value AS DECIMAL(18,2))
   WHEN 'click' THEN CAST(-10 * CAST(value AS DECIMAL(18,2)) AS DECIMAL(18,2))
   WHEN 'purchase' THEN CAST(value AS DECIMAL(18,2)) END"""
 
+# The number as its text says, so that minus zero stays minus zero.
+_NUMBER = """CAST(CASE event_type WHEN 'click' THEN '-' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || 'e1'
+  WHEN 'signup' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR)
+  WHEN 'purchase' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS DOUBLE)"""
+
 _TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -253,8 +258,8 @@ FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVIN
   l_orderkey, l_linenumber FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k""",
     "distinct_rows": """SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus,
   CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_date FROM lineitem""",
-    "coerce_numbers": f"""SELECT event_id, CAST({_NUMBER_TEXT} AS DOUBLE) AS money,
-  CAST({_NUMBER_TEXT} AS DOUBLE) AS number,
+    "coerce_numbers": f"""SELECT event_id, CAST({_MONEY} AS DOUBLE) AS money,
+  {_NUMBER} AS number,
   CASE WHEN event_type <> 'error' THEN user_id END AS whole FROM events""",
     "coerce_dates": """SELECT o_orderkey, CASE
   WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN NULL
