@@ -209,3 +209,13 @@ def test_views(house, write, spark):
         "RunID", "StartedAt", "EndedAt", "Status", "StgProviderCount", "StgPatientCount",
         "StgClaimCount", "ProviderCount", "PatientCount", "ClaimCount", "RejectTotal",
     ]
+
+
+def test_all_claims_rejected_then_none(house, write):
+    house.run(write([CLAIMS[8], CLAIMS[9], CLAIMS[12]]))
+    assert counts(house, 1)[6:] == (0, 3)
+    assert house.claims().count() == 0
+    house.run(write(CLAIMS[:2]))
+    assert counts(house, 2)[6:] == (2, 0)
+    house.run(write([CLAIMS[8]]))
+    assert counts(house, 3)[6:] == (2, 1)
