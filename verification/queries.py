@@ -45,7 +45,12 @@ def query(name: str, *operators: str) -> Callable[[Query], Query]:
     """Register a query and the operators of the survey it exercises."""
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: portable(fn(spark, sf_dir))
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # The tables' times have no zone; the SQL twins read them as UTC.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return portable(fn(spark, sf_dir))
+
+        QUERIES[name] = run
         COVERS[name] = operators
         return fn
 
