@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import chat, pii, simhash
+from millrace.llm import chat, neighbours, pii, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,14 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(documents))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(_table(spark, sf_dir, "documents"), texts=False).drop("kept")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     return simhash.hex_fingerprint(simhash.simhash_components(documents))
@@ -33,6 +42,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_pii": op3_pii,
+    "op7_neighbours": op7_neighbours,
+    "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
 }
 ORACLE: dict[str, str] = {}
