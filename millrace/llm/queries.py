@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, neighbours, pii, simhash, substrings
+from millrace.llm import chat, decontaminate, language, neighbours, pieces, pii, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_forged_chat(_table(spark, sf_dir, "conversations"))
     return chat.chat_digests(chat.format_chats(turns))
@@ -26,6 +32,19 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_digest(pii.find_pii(documents))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.tokenize_and_verify(documents, pieces.read_model()).drop("text")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").withColumn(
+        "held_out", F.coalesce(language.fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    )
+    model = language.train(documents.filter("not held_out").select("doc_id", "text", "lang"))
+    return language.predict(documents.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -40,8 +59,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_pii": op3_pii,
+    "op4_sentencepiece": op4_sentencepiece,
+    "op5_language": op5_language,
     "op7_neighbours": op7_neighbours,
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
