@@ -4,9 +4,9 @@ A text is a vector of hashed character n-grams (1 to ``LONGEST``, in lower case,
 everything but letters read as one space), weighted by the logarithm of their number and by
 how few of the sampled texts hold them, and scaled to length one. Each language has several
 centroids, clustered from a bounded sample of its labelled texts. A text gets the language of
-the centroid with the largest cosine, and is rejected if it lies farther from that centroid
-than ``slack`` times the distance at which the farthest text of that language's sample lies
-from its own centroid.
+the centroid with the largest cosine. The reach of a language's centroids is a distance: the
+farthest text of its sample has some cosine with its own centroid, and a text whose cosine is
+less than ``share`` of that lies beyond their reach and is rejected.
 
 Defined results: a null text and a text without letters are ``und``, with score 0, rejected;
 repeated rows repeat their result; rows without a label teach nothing; with nothing to learn
@@ -36,7 +36,7 @@ DIMENSIONS = 1 << _BITS
 #: Labelled texts of each language that the centroids are made from, chosen by a hash.
 SAMPLE = 400
 CLUSTERS = 4
-SLACK = 1.5
+SHARE = 0.25
 #: More languages than this would make the model too large to send along with the tasks.
 MOST_LANGUAGES = 1000
 _GROUP_CHARS = 1 << 20
@@ -147,7 +147,7 @@ class LanguageModel:
 
 
 def train(
-    labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, slack: float = SLACK
+    labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS, share: float = SHARE
 ) -> LanguageModel:
     """Centroids from ``doc_id, text, lang``: at most ``sample`` texts of each language are read.
 
@@ -202,10 +202,10 @@ def train(
         )
 
     groups = found.groupBy("lang").applyInArrow(fit, "lang string, n long, members binary")
-    return _assemble(groups, slack)
+    return _assemble(groups, share)
 
 
-def _assemble(groups: DataFrame, slack: float) -> LanguageModel:
+def _assemble(groups: DataFrame, share: float) -> LanguageModel:
     """Weights from all sampled texts, then centroids and their reach under these weights."""
     scratch = Scratch(groups.sparkSession)
     stored, _ = scratch.write(groups)
@@ -235,7 +235,7 @@ def _assemble(groups: DataFrame, slack: float) -> LanguageModel:
             for row in batch.to_pylist():
                 vectors = _unit(_members(row["members"]) * weights)
                 center = _unit(vectors.sum(axis=0, keepdims=True))[0]
-                reach = slack * float((1 - vectors @ center).max())
+                reach = 1 - share * float((vectors @ center).min())
                 out.append(
                     {"lang": row["lang"], "reach": reach, "center": center.astype(np.float32).tobytes()}
                 )
