@@ -21,10 +21,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.arrow import chunks, flat_text, hash_words, mix, split_words
+from millrace.llm.bloom import Bloom, build_bloom
 from millrace.session import Scratch
 
 #: In 15 aligned tokens any 3 substitutions, and in 20 any 4, leave some place of some mask
@@ -33,9 +34,6 @@ MASKS = ("11111", "1101011", "110010011", "1010010101")
 SPAN = max(map(len, MASKS))
 WINDOW = 20
 AGREEMENT = 0.8
-#: Bits of the filter: 16 for each benchmark hash, within these bounds.
-LEAST_BITS, MOST_BITS = 20, 28
-_PROBES = 4
 
 
 def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -63,10 +61,6 @@ def _seeds(tokens: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray,
         yield value, at
 
 
-def _probe(value: np.ndarray, i: int, bits: int) -> np.ndarray:
-    return mix(value + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(64 - bits)
-
-
 def _test_seeds(benchmark: DataFrame) -> DataFrame:
     """``seed, item_id, item, place`` for every mask and place of every item."""
 
@@ -110,53 +104,22 @@ def _item_tokens(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _filter_bits(seeds: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """The Bloom filter of the seeds: its size has a bound whatever their number is."""
-    bits = min(max(math.ceil(math.log2(16 * max(n, 1))), LEAST_BITS), MOST_BITS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            value = batch.column("seed").to_numpy().view(np.uint64)
-            for i in range(_PROBES):
-                place = _probe(value, i, bits)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array((place >> np.uint64(6)).astype(np.int64)),
-                        pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64)),
-                    ],
-                    ["word", "bits"],
-                )
-
-    words = (
-        seeds.select("seed").distinct().mapInArrow(run, "word long, bits long")
-        .groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    )
-    out = np.zeros(1 << (bits - 6), np.uint64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return out, bits
-
-
 _REGIONS = "doc_id long, start long, region array<long>, hits array<struct<seed:long,place:int>>"
 
 
-def _regions(
-    documents: DataFrame, bloom: np.ndarray, bits: int, reach: int
-) -> DataFrame:
+def _regions(documents: DataFrame, bloom: Bloom, reach: int) -> DataFrame:
     """Stretches of documents around seeds that pass the filter, with these seeds."""
-    shared = documents.sparkSession.sparkContext.broadcast(bloom)
+    shared = documents.sparkSession.sparkContext.broadcast((bloom.words, bloom.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known = Bloom(*shared.value)
         for table in chunks(batches, "text"):
             tokens, first = _tokens(table)
             seeds, places = [], []
             for value, at in _seeds(tokens, first):
-                for i in range(_PROBES):
-                    place = _probe(value, i, bits)
-                    hit = (known[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) > 0
-                    value, at = value[hit], at[hit]
-                seeds.append(value)
-                places.append(at)
+                hit = known.find(value)
+                seeds.append(value[hit])
+                places.append(at[hit])
             if not sum(map(len, places)):
                 continue
             seed, at = np.concatenate(seeds), np.concatenate(places)
@@ -226,10 +189,10 @@ def find_contamination(
     ).distinct()
     items, _ = scratch.write(_item_tokens(keyed))
     seeds, found = scratch.write(_test_seeds(keyed), {"n": F.count("*")})
-    bloom, bits = _filter_bits(seeds, found["n"])
+    bloom = build_bloom(seeds.select("seed").distinct(), found["n"])
     # A window that holds a hit reaches at most so far to either side of it.
     regions, _ = scratch.write(
-        _regions(documents, bloom, bits, window).withColumn("id", F.monotonically_increasing_id())
+        _regions(documents, bloom, window).withColumn("id", F.monotonically_increasing_id())
     )
     # A seed of a passage in many documents is one row of the benchmark's side.
     candidates = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, language, neighbours, pieces, pii, simhash, substrings
+from millrace.llm import chat, decontaminate, language, lines, neighbours, pieces, pii, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.hex_fingerprint(simhash.simhash_components(documents))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(documents)
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_formatting": op2_chat_formatting,
@@ -67,5 +72,6 @@ QUERIES: dict[str, Query] = {
     "op7_neighbours": op7_neighbours,
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
+    "op10_lines": op10_lines,
 }
 ORACLE: dict[str, str] = {}
