@@ -155,9 +155,15 @@ def train(
     most rows weighs no more than another, and the choice is the same however rows are dealt.
     """
     order = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    usable = labelled.filter("lang is not null and doc_id is not null and text is not null").select(
+        "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_h")
+    )
+    # Hashes below this bound leave about twice the sample of each language to put in order.
+    bound = F.lit(float(1 << 64)) * F.least(F.lit(1.0), F.lit(2.0 * sample) / F.count("*"))
+    bounds = usable.groupBy("lang").agg((bound - float(1 << 63)).alias("_bound"))
     chosen = (
-        labelled.filter("lang is not null and doc_id is not null and text is not null")
-        .select("doc_id", "lang", F.xxhash64("doc_id", "lang").alias("_h"))
+        usable.join(bounds, "lang")
+        .filter(F.col("_h").cast("double") <= F.col("_bound"))
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= sample)
         .select("doc_id", "lang", "_place")

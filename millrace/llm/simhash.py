@@ -265,5 +265,31 @@ def simhash_components(
     )
 
 
+def keep_one(
+    df: DataFrame, text: str = "text", shingle: int = 3, max_bits: int = 2, shard: int = 4096
+) -> DataFrame:
+    """The rows of ``df`` with one row of each component: the one with the least doc_id.
+
+    A null doc_id comes last; of rows with one doc_id, one of each component stays.
+    """
+    scratch = Scratch(df.sparkSession)
+    # Rows are numbered as they are written, so that copies of a row can be told apart.
+    rows, _ = scratch.write(df.withColumn("_row", F.monotonically_increasing_id()))
+    prints = add_fingerprint(
+        rows.select(F.col("_row").alias("doc_id"), F.col(f"`{text}`").alias("text")), "text", shingle
+    ).select(F.col("doc_id").alias("_row"), "fingerprint")
+    prints, _ = scratch.write(prints)
+    distinct = prints.select("fingerprint").distinct()
+    roots = connected_components(link_fingerprints(distinct, max_bits, shard=shard), scratch)
+    named = prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+        "_row", F.coalesce("root", "fingerprint").alias("root")
+    )
+    order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")
+    first = (
+        named.join(rows.select("_row", "doc_id"), "_row").groupBy("root").agg(F.min(order).alias("f"))
+    )
+    return rows.join(first.select(F.col("f._row").alias("_row")), "_row", "left_semi").drop("_row")
+
+
 def hex_fingerprint(df: DataFrame) -> DataFrame:
     return df.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
