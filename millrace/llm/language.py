@@ -161,6 +161,8 @@ def train(
     # Hashes below this bound leave about twice the sample of each language to put in order.
     bound = F.lit(float(1 << 64)) * F.least(F.lit(1.0), F.lit(2.0 * sample) / F.count("*"))
     bounds = usable.groupBy("lang").agg((bound - float(1 << 63)).alias("_bound"))
+    if bounds.count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     chosen = (
         usable.join(bounds, "lang")
         .filter(F.col("_h").cast("double") <= F.col("_bound"))
@@ -169,7 +171,8 @@ def train(
         .select("doc_id", "lang", "_place")
     )
     texts = (
-        labelled.join(chosen, ["doc_id", "lang"])
+        # At most MOST_LANGUAGES * sample ids: no text is shuffled to find its place.
+        labelled.join(F.broadcast(chosen), ["doc_id", "lang"])
         .select("lang", "_place", "text")
         .dropDuplicates(["lang", "_place"])
     )
@@ -253,8 +256,6 @@ def _assemble(groups: DataFrame, share: float) -> LanguageModel:
     found = stored.mapInArrow(centroid, "lang string, reach double, center binary").toArrow()
     scratch.drop()
     by = sorted(found.to_pylist(), key=lambda r: (r["lang"], r["center"]))
-    if len({r["lang"] for r in by}) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     return LanguageModel(
         [r["lang"] for r in by],
         np.stack([np.frombuffer(r["center"], np.float32) for r in by])

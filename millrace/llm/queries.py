@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, language, lines, neighbours, pieces, pii, simhash, substrings
+from millrace.llm import chat, decontaminate, language, lines, mixing, neighbours, pieces, pii, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,15 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(documents.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = language.fold(F.col("doc_id"), 10)
+    return mixing.score_documents(
+        _table(spark, sf_dir, "documents"),
+        held_out=F.coalesce(fold == 0, F.lit(True)),
+        mix_fold=fold == 9,
+    )
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -69,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op3_pii": op3_pii,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_language": op5_language,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_neighbours": op7_neighbours,
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
