@@ -477,7 +477,7 @@ def base_scores(docs: DataFrame, training: DataFrame, keys: list[str], scratch:
             keys1, keys2 = (table[k].combine_chunks().to_numpy() for k in (k1, k2))
             numbers, begin = np.unique(bucket, return_index=True)
             packed = []
-            for a, b in zip(begin, np.append(begin[1:], len(bucket)), strict=True):
+            for a, b in zip(begin, [*begin[1:], len(bucket)], strict=False):
                 tokens, local = np.unique(code[a:b], return_inverse=True)
                 docs_, doc = np.unique(row[a:b], return_inverse=True)
                 packed.append(
