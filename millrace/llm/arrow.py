@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Text that a task holds at a time, whatever the size of its partition.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 #: The bytes \x20 and \x09-\x0D, which separate words.
 IS_SPACE = np.zeros(256, dtype=bool)
@@ -43,6 +43,9 @@ def chunks(
             start = stop
     if held:
         yield pa.Table.from_batches(held)
+    # Python workers go on to other tasks: they keep no buffers of this one.
+    del held
+    pa.default_memory_pool().release_unused()
 
 
 def flat_text(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

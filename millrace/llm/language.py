@@ -39,7 +39,7 @@ CLUSTERS = 4
 SHARE = 0.25
 #: More languages than this would make the model too large to send along with the tasks.
 MOST_LANGUAGES = 1000
-_GROUP_CHARS = 1 << 20
+_GROUP_CHARS = 1 << 18
 
 
 def _normal(column: pa.ChunkedArray) -> list[str]:

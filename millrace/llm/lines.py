@@ -41,6 +41,7 @@ SIMILARITY = 0.8
 #: 0.9 with one of 0.99999; lines below 0.2 do so about once in 260 pairs.
 BANDS, ROWS = 12, 5
 SLICE_CHARS = 4 << 20
+_GROUP_CHARS = 1 << 18
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -116,8 +117,11 @@ def _bands(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
         for table in chunks(batches, "text"):
             _, texts, ids, _ = _distinct(table["text"])
             kept = [i for i, t in enumerate(texts) if t]
-            for start in range(0, len(kept), 4096):
-                part = kept[start : start + 4096]
+            # So many shingles at a time, and single lines that have more.
+            ends = np.cumsum([len(texts[i]) for i in kept]) // _GROUP_CHARS
+            for part in np.split(np.array(kept, np.int64), np.flatnonzero(np.diff(ends)) + 1):
+                if not len(part):
+                    continue
                 signature = _signatures([texts[i] for i in part], shingle, bands * rows)
                 names = pa.array([ids[i] for i in part], pa.binary())
                 for b in range(bands):

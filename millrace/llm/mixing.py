@@ -57,7 +57,7 @@ _BUCKETS = 64
 _GROUPS = 32
 _STRETCH_SCALE = 16.0
 _SCORE_BYTES = 1 << 14
-_MIX_BYTES = 4 << 20
+_MIX_BYTES = 2 << 20
 
 
 def _framed(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

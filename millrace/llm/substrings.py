@@ -32,6 +32,8 @@ from millrace.llm.arrow import Words, chunks, flat_text, hash_words, mix, split_
 
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
+#: Text in which a task finds repetitions by itself; what it sends is packed by this much.
+SCAN_BYTES = 8 << 20
 #: Rows that carry marks go past the buckets: a run of repeated windows of one document.
 _MARK = -1
 
@@ -143,7 +145,7 @@ def _scan(
     batches: Iterator[pa.RecordBatch], window: int, mer: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
     """Marks of windows repeated within a chunk; one copy of every window for its bucket."""
-    for table in chunks(batches, "text"):
+    for table in chunks(batches, "text", SCAN_BYTES):
         data, offsets = flat_text(table["text"])
         words = split_words(data, offsets)
         starts, text = _window_starts(words.first, window)
