@@ -45,11 +45,12 @@ ORDERS = (1, 2, 3, 4, 6)
 #: So many of the orders are short contexts.
 SHORT = 2
 #: Slots of each order's table, as powers of two; a slot has the 15 nodes of four bits.
-SLOT_BITS = (12, 15, 17, 18, 19)
+SLOT_BITS = (12, 16, 17, 18, 19)
 _PAD = max(ORDERS)
 _END = 0xFF
-#: Entries of a table that are summed, sent and stored together.
-_PART = 1 << 16
+#: Slots of a table that are summed, sent and stored together, and their entries.
+_PART_SLOTS = 1 << 12
+_PART = 16 * _PART_SLOTS
 BLOCK = 256
 GAIN_RATE = 3.0
 WEIGHT_RATE = 0.5
@@ -58,6 +59,8 @@ _GROUPS = 32
 _STRETCH_SCALE = 16.0
 _SCORE_BYTES = 1 << 14
 _MIX_BYTES = 2 << 20
+#: Different windows that a counting task holds before it counts their bits.
+_MERGE = 1 << 20
 
 
 def _framed(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,18 +86,23 @@ def _contexts(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     return value
 
 
-def _entries(context: np.ndarray, byte: np.ndarray, order: int) -> np.ndarray:
-    """The eight table entries, one for each bit, of each byte after its context."""
+def _slots(context: np.ndarray, high: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the first and of the last four bits of a byte after its context."""
     k = ORDERS[order]
     shift = np.uint64(64 - SLOT_BITS[order])
     own = mix((context & np.uint64((1 << 8 * k) - 1)) * np.uint64(8) + np.uint64(k))
+    low = mix(own ^ (high.astype(np.uint64) + np.uint64(1)))
+    return (own >> shift).astype(np.int32), (low >> shift).astype(np.int32)
+
+
+def _entries(context: np.ndarray, byte: np.ndarray, order: int) -> np.ndarray:
+    """The eight table entries, one for each bit, of each byte after its context."""
     high = byte >> 4
-    low_slot = mix(own ^ (high.astype(np.uint64) + np.uint64(1))) >> shift
-    high_slot = own >> shift
+    high_slot, low_slot = _slots(context, high, order)
     out = np.empty((8, len(byte)), np.int32)
     for bit in range(4):
-        out[bit] = high_slot.astype(np.int32) * 16 + (1 << bit) + (high >> (4 - bit))
-        out[4 + bit] = low_slot.astype(np.int32) * 16 + (1 << bit) + ((byte & 15) >> (4 - bit))
+        out[bit] = high_slot * 16 + (1 << bit) + (high >> (4 - bit))
+        out[4 + bit] = low_slot * 16 + (1 << bit) + ((byte & 15) >> (4 - bit))
     return out
 
 
@@ -105,53 +113,71 @@ def _bits(byte: np.ndarray) -> np.ndarray:
 _COUNTS = "part int, grp int, counts binary"
 
 
-def _pack(part: int, group: int, zeros_ones: np.ndarray) -> dict:
-    raw = zeros_ones.astype("<u4").tobytes()
+def _pack(part: int, group: int, counts: np.ndarray) -> dict:
+    raw = counts.astype("<u4").tobytes()
     return {"part": part, "grp": group, "counts": pa.compress(raw, "zstd", asbytes=True)}
 
 
 def _unpack(counts: bytes) -> np.ndarray:
-    raw = pa.decompress(counts, 2 * _PART * 4, "zstd", asbytes=True)
-    return np.frombuffer(raw, "<u4").reshape(2, _PART).astype(np.int64)
+    """How often each four bits followed, for the slots of a part."""
+    raw = pa.decompress(counts, _PART * 4, "zstd", asbytes=True)
+    return np.frombuffer(raw, "<u4").astype(np.int64)
 
 
 def _sizes() -> list[int]:
     return [16 << b for b in SLOT_BITS]
 
 
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    windows, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(windows)
+    windows, times = windows[order], times[order]
+    first = np.flatnonzero(np.append(True, windows[1:] != windows[:-1])[: len(windows)])
+    return windows[first], np.add.reduceat(times, first) if len(first) else times
+
+
+def _part_counts(windows: np.ndarray, times: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts of all tables that these windows touch, with the counts of their four bits."""
+    context, byte = windows >> np.uint64(8), (windows & np.uint64(255)).astype(np.int32)
+    base = 0
+    for order, bits in enumerate(SLOT_BITS):
+        high, low = _slots(context, byte >> 4, order)
+        places = np.concatenate([high * 16 + (byte >> 4), low * 16 + (byte & 15)])
+        sort = np.argsort(places, kind="stable")
+        places, weights = places[sort], np.tile(times, 2)[sort]
+        parts = (1 << bits) // _PART_SLOTS
+        bounds = np.searchsorted(places, np.arange(parts + 1) * _PART)
+        for part, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if b > a:
+                yield base + part, np.bincount(places[a:b] - part * _PART, weights[a:b], _PART)
+        base += parts
+
+
 def _count_contexts(docs: DataFrame) -> DataFrame:
     """Each task's bit counts, in parts of the tables that it touched."""
 
+    def packed(group: int, windows: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for part, counts in _part_counts(windows, times):
+            yield pa.RecordBatch.from_pylist(
+                [_pack(part, group % _GROUPS, counts)], schema=_COUNTS_ARROW
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [np.zeros((2, size), np.uint32) for size in _sizes()]
         group = 0
+        held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        fresh: list[tuple[np.ndarray, np.ndarray]] = []
         for table in chunks(batches, "text"):
             data, places, _ = _framed(table["text"])
             group ^= int(data[: 1 << 16].astype(np.int64).sum()) + len(data)
             # Every different context and byte is handled once, with its frequency.
             whole = (_contexts(data, places) << np.uint64(8)) | data[places].astype(np.uint64)
-            seen, times = np.unique(whole, return_counts=True)
-            byte = (seen & np.uint64(255)).astype(np.int32)
-            ones = _bits(byte)
-            for order, held in enumerate(counts):
-                entries = _entries(seen >> np.uint64(8), byte, order)
-                for bit in range(8):
-                    for value in (0, 1):
-                        at = ones[bit] == value
-                        np.add.at(held[value], entries[bit][at], times[at].astype(np.uint32))
-        rows, number = [], 0
-        for held in counts:
-            for start in range(0, held.shape[1], _PART):
-                part = np.zeros((2, _PART), np.uint32)
-                some = held[:, start : start + _PART]
-                if some.any():
-                    part[:, : some.shape[1]] = some
-                    rows.append(_pack(number, group % _GROUPS, part))
-                number += 1
-                if len(rows) >= 16:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_COUNTS_ARROW)
-                    rows = []
-        yield pa.RecordBatch.from_pylist(rows, schema=_COUNTS_ARROW)
+            fresh.append(np.unique(whole, return_counts=True))
+            if sum(len(w) for w, _ in fresh) > _MERGE:
+                held, fresh = _merged([held, *fresh]), []
+                if len(held[0]) > _MERGE:
+                    yield from packed(group, *held)
+                    held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        yield from packed(group, *_merged([held, *fresh]))
 
     return docs.select("text").mapInArrow(run, _COUNTS)
 
@@ -170,7 +196,7 @@ def _sum_parts(counts: DataFrame, *keys: str) -> DataFrame:
                 if key != held:
                     if held is not None:
                         yield _summed(held, total)
-                    held, total = key, np.zeros((2, _PART), np.int64)
+                    held, total = key, np.zeros(_PART, np.int64)
                 total += _unpack(row["counts"])
         if held is not None:
             yield _summed(held, total)
@@ -188,15 +214,20 @@ def _stretched(counts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                zeros, ones = _unpack(row["counts"]) + 0.03
-                logit = np.rint(np.log(ones / zeros) * _STRETCH_SCALE)
+                nibbles = _unpack(row["counts"]).reshape(_PART_SLOTS, 16)
+                logit = np.zeros((_PART_SLOTS, 16))
+                for bit in range(4):
+                    # The nodes of a bit: what followed each value of the bits before it.
+                    pair = nibbles.reshape(_PART_SLOTS, 1 << bit, 2, 8 >> bit).sum(axis=3) + 0.03
+                    logit[:, 1 << bit : 2 << bit] = np.log(pair[:, :, 1] / pair[:, :, 0])
+                logit = np.rint(logit.ravel() * _STRETCH_SCALE)
                 small = np.clip(logit, -127, 127).astype(np.int8)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["part"]], pa.int32()), pa.array([small.tobytes()], pa.binary())],
                     ["part", "logits"],
                 )
 
-    out = np.zeros(sum(max(s, _PART) for s in _sizes()), np.int8)
+    out = np.zeros(sum(_sizes()), np.int8)
     for row in counts.mapInArrow(run, "part int, logits binary").toArrow().to_pylist():
         out[row["part"] * _PART : (row["part"] + 1) * _PART] = np.frombuffer(row["logits"], np.int8)
     return out
@@ -235,9 +266,9 @@ class Mixer:
         out = np.empty((len(windows), len(ORDERS), 8), np.float32)
         start = 0
         for order, size in enumerate(_sizes()):
-            table = self.tables[start : start + max(size, _PART)]
+            table = self.tables[start : start + size]
             out[:, order] = table[_entries(context, byte, order)].T
-            start += max(size, _PART)
+            start += size
         out *= 1 / _STRETCH_SCALE
         return out
 

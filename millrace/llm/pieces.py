@@ -176,19 +176,26 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         self.model = PieceModel.parse(model)
-        self.whole = self.model.tokenizer()
-        self.words = self.model.tokenizer(prefix=False) if self.model.word_by_word else None
+        # With words on their own the prefix is one more space, and one tokenizer does for all.
+        self.by_word = self.model.word_by_word
+        self.tokenizer = self.model.tokenizer(prefix=not self.by_word)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts and the offsets of each text's."""
-        if self.words is None or any(MARK in t for t in texts):
-            return _flat([e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)])
-        return self._encode_words(texts)
+        if self.by_word:
+            prefix = " " if self.model.dummy_prefix else ""
+            texts = [prefix + t if t else "" for t in texts]
+            if not any(MARK in t for t in texts):
+                return self._encode_words(texts)
+        return self._encode_whole(texts)
+
+    def _encode_whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return _flat([e.ids for e in found])
 
     def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Every different word of the batch is encoded once, with the spaces before it."""
-        prefix = " " if self.model.dummy_prefix else ""
-        data, bounds = flat_text(pa.array([prefix + t if t else "" for t in texts], pa.large_string()))
+        data, bounds = flat_text(pa.array(texts, pa.large_string()))
         starts_word = data == 0x20
         starts_word[1:] &= data[:-1] != 0x20
         starts_word[bounds[:-1][bounds[:-1] < len(data)]] = True
@@ -197,15 +204,14 @@ class Codec:
             len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(np.ascontiguousarray(data))
         ).dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False)
-        found = self.words.encode_batch_fast(words.dictionary.to_pylist(), add_special_tokens=False)
-        ids, first = _flat([e.ids for e in found])
+        ids, first = self._encode_whole(words.dictionary.to_pylist())
         sizes = np.diff(first)[codes]
         ends = np.cumsum(sizes)
         at = np.repeat(first[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
         return ids[at], np.append(0, ends)[np.searchsorted(starts, bounds)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.whole.decode_batch(ids, skip_special_tokens=False)
+        return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -240,7 +246,7 @@ def encode_pieces(
     text: str = "text",
     into: str = "token_ids",
     threads: int = 2,
-    batch_bytes: int = 2 << 20,
+    batch_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Add ``into``, the ids of each text; a column of that name is replaced."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -264,7 +270,7 @@ def decode_pieces(
     ids: str = "token_ids",
     into: str = "decoded",
     threads: int = 2,
-    batch_bytes: int = 2 << 20,
+    batch_bytes: int = 1 << 20,
 ) -> DataFrame:
     """Add ``into``, the text of each row's ids; null ids give null."""
     shared = df.sparkSession.sparkContext.broadcast(model)
@@ -289,7 +295,7 @@ def decode_pieces(
 
 
 def tokenize_and_verify(
-    df: DataFrame, model: bytes, text: str = "text", threads: int = 2, batch_bytes: int = 2 << 20
+    df: DataFrame, model: bytes, text: str = "text", threads: int = 2, batch_bytes: int = 1 << 20
 ) -> DataFrame:
     """Add ``token_ids``, ``n_tokens`` and ``round_trip``: whether decoding gives the text back.
 
