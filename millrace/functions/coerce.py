@@ -11,7 +11,7 @@ from millrace.functions.text import strip_text
 
 DATE_PATTERN = "yyyy-M-d"
 
-# The whole days a nanosecond timestamp can hold; other dates become NULL.
+# The whole days a nanosecond timestamp can hold.
 FIRST_DATE = "1677-09-22"
 LAST_DATE = "2262-04-11"
 
@@ -53,28 +53,39 @@ def to_bigint(c: Column) -> Column:
     return F.when(_finite(c) | c.rlike(_INFINITY), F.coalesce(whole, not_whole))
 
 
-def to_date(c: Column, pattern: str = DATE_PATTERN) -> Column:
-    """Date when the whole text, blanks included, has exactly the pattern."""
-    parsed = F.try_to_date(c.cast("string"), pattern)
-    return F.when(parsed.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), parsed)
+def _in_nanoseconds(value: Column, nanoseconds: bool) -> Column:
+    if not nanoseconds:
+        return value
+    first, last = F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")
+    return F.when(value.cast("date").between(first, last), value)
 
 
-def to_timestamp(c: Column, pattern: str = DATE_PATTERN) -> Column:
-    parsed = F.try_to_timestamp(c.cast("string"), F.lit(pattern))
-    day = parsed.cast("date")
-    return F.when(day.between(F.lit(FIRST_DATE).cast("date"), F.lit(LAST_DATE).cast("date")), parsed)
+def to_date(c: Column, pattern: str = DATE_PATTERN, nanoseconds: bool = False) -> Column:
+    """Date when the whole text, blanks included, has exactly the pattern.
+
+    ``nanoseconds`` turns dates that a nanosecond timestamp cannot hold into NULL.
+    """
+    return _in_nanoseconds(F.try_to_date(c.cast("string"), pattern), nanoseconds)
+
+
+def to_timestamp(c: Column, pattern: str = DATE_PATTERN, nanoseconds: bool = False) -> Column:
+    return _in_nanoseconds(F.try_to_timestamp(c.cast("string"), F.lit(pattern)), nanoseconds)
 
 
 def coerce_column(
-    c: Column, target: str, null_text: str | None = None, date_pattern: str = DATE_PATTERN
+    c: Column,
+    target: str,
+    null_text: str | None = None,
+    date_pattern: str = DATE_PATTERN,
+    nanoseconds: bool = False,
 ) -> Column:
     decimal = _DECIMAL.fullmatch(target)
     if decimal:
         return to_decimal(c, int(decimal[1]), int(decimal[2]))
     if target == "date":
-        return to_date(c, date_pattern)
+        return to_date(c, date_pattern, nanoseconds)
     if target.startswith("datetime"):
-        return to_timestamp(c, date_pattern)
+        return to_timestamp(c, date_pattern, nanoseconds)
     if target == "float":
         return to_double(c)
     if target == "int":
@@ -87,6 +98,7 @@ def coerce_types(
     mapping: dict[str, str],
     null_text: str | None = None,
     date_pattern: str = DATE_PATTERN,
+    nanoseconds: bool = False,
 ) -> DataFrame:
     """Coerce the mapped columns in one projection; columns that are absent are skipped.
 
@@ -95,7 +107,7 @@ def coerce_types(
     """
     return df.select(
         *[
-            coerce_column(F.col(f"`{c}`"), mapping[c], null_text, date_pattern).alias(c)
+            coerce_column(F.col(f"`{c}`"), mapping[c], null_text, date_pattern, nanoseconds).alias(c)
             if c in mapping
             else F.col(f"`{c}`")
             for c in df.columns

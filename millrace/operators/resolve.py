@@ -2,40 +2,60 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import KeyRule, key_hash
 
-# At most 1 / HOT_SHARE keys can each hold more than HOT_SHARE of the rows, which bounds
-# what resolve_keys broadcasts for them.
-HOT_SHARE = 0.01
-HOT_MIN_ROWS = 1_000_000
-_CANDIDATES = 200
-_TRACKED = 20_000
+# A key is hot if it alone would fill more than this part of an even shuffle partition. Fewer
+# than partitions / HOT_PART keys can be, which bounds what resolve_keys broadcasts for them.
+HOT_PART = 0.25
+# The sketch follows so many keys for each that may be hot, up to what it allows.
+_TRACKED = 8
+_MOST_TRACKED = 1_000_000
+
+
+def hot_share(spark: SparkSession) -> float:
+    """The share of all rows from which on a key is hot."""
+    return HOT_PART / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_key_metric(fact: DataFrame, columns: list[str], rule: KeyRule, sentinels: list[str]) -> Column:
     """Aggregate of the most frequent key hashes; small enough to ride along with a write."""
     keys = rule.columns(fact, columns, sentinels)
-    return F.call_function("approx_top_k", key_hash(keys), F.lit(_CANDIDATES), F.lit(_TRACKED))
+    wanted = min(math.ceil(1 / hot_share(fact.sparkSession)), _MOST_TRACKED // _TRACKED)
+    return F.call_function("approx_top_k", key_hash(keys), F.lit(wanted), F.lit(wanted * _TRACKED))
 
 
-def hot_hashes(
-    top: Sequence, rows: int, share: float = HOT_SHARE, min_rows: int = HOT_MIN_ROWS
-) -> list[int]:
+def hot_hashes(top: Sequence, rows: int, share: float) -> list[int]:
     """Hashes of the keys worth a path of their own; wrong guesses cost time, not rows."""
-    floor = max(min_rows, rows * share)
-    return [entry["item"] for entry in top if entry["count"] > floor]
+    return [entry["item"] for entry in top if entry["count"] > rows * share]
 
 
 def _equal(left: list[Column], right: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [x == F.col(y) for x, y in zip(left, right, strict=True)])
 
 
+def needed_rows(
+    dim: DataFrame, fact: DataFrame, on: Sequence[tuple[str, str]], rule: KeyRule = KeyRule()
+) -> DataFrame:
+    """The rows of ``dim`` whose key occurs in ``fact``.
+
+    The keys of a small batch are few enough to broadcast, and of a large dimension only what
+    the batch needs is shuffled afterwards. ``fact`` should be a written table: it is read
+    here for its keys alone.
+    """
+    fact_names, dim_names = [f for f, _ in on], [d for _, d in on]
+    names = [f"_batch_key{i}" for i in range(len(on))]
+    keys = rule.columns(fact, fact_names, dim_names)
+    used = fact.select(*[k.alias(n) for k, n in zip(keys, names)]).distinct()
+    return dim.join(used, _equal(rule.columns(dim, dim_names), names), "left_semi")
+
+
 def resolve_keys(
     fact: DataFrame,
     dim: DataFrame,

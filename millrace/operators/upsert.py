@@ -85,16 +85,6 @@ def one_row_per_key(source: DataFrame, merge: Merge) -> DataFrame:
     )
 
 
-def ambiguous_keys(source: DataFrame, keys: Sequence[str], rule: KeyRule = KeyRule()) -> DataFrame:
-    """Keys with more than one distinct row, and how many they have."""
-    return (
-        source.distinct()
-        .groupBy(*[c.alias(k) for c, k in zip(rule.columns(source, list(keys)), keys)])
-        .agg(F.count("*").alias("row_count"))
-        .filter("row_count > 1")
-    )
-
-
 def plan_changes(
     target: DataFrame,
     source: DataFrame,
@@ -125,12 +115,21 @@ def plan_changes(
     same_values = [
         F.col(f"`{c}`").eqNullSafe(F.col(f"`_old_{c}`")) for c in merge.update_cols
     ]
-    batch_rows = one_row_per_key(source, merge)
+    # Written once: the batch is scanned and shuffled for this reduction and never again.
+    batch_rows, reduced = scratch.write(
+        one_row_per_key(source, merge), {"ambiguous": F.count_if("_ambiguous")}
+    )
+    if reduced["ambiguous"]:
+        sample = batch_rows.filter("_ambiguous").select(*merge.keys).limit(20).collect()
+        raise AmbiguousSourceError(
+            f"{reduced['ambiguous']} keys have different source rows, such as "
+            + "; ".join(str(tuple(row)) for row in sample)
+        )
     hits = known.join(batch_rows.select(*source_keys), same_key, "left_semi")
     matched = (
         batch_rows.join(hits, same_key, "left")
         .withColumn("_changed", ~reduce(lambda a, b: a & b, same_values, F.lit(True)))
-        .select(*merge.source_cols, "_ambiguous", "_id", "_changed")
+        .select(*merge.source_cols, "_id", "_changed")
     )
     is_new = F.col("_id").isNull()
     is_updated = ~is_new & F.col("_changed")
@@ -138,18 +137,11 @@ def plan_changes(
     batch, found = scratch.write(
         matched,
         {
-            "ambiguous": F.count_if("_ambiguous"),
             "new": F.count_if(is_new),
             "updated": F.count_if(is_updated),
             "parts": F.collect_set(F.when(is_new | is_updated, part)),
         },
     )
-    if found["ambiguous"]:
-        sample = batch.filter("_ambiguous").select(*merge.keys).limit(20).collect()
-        raise AmbiguousSourceError(
-            f"{found['ambiguous']} keys have different source rows, such as "
-            + "; ".join(str(tuple(row)) for row in sample)
-        )
     if next_id is None:
         next_id = (target.agg(F.max(merge.id_col)).first()[0] or 0) + 1
     new = batch.filter(is_new).select(*merge.source_cols)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions.keys import KeyRule
 from millrace.operators.ids import unordered_ids
 from millrace.operators.quality import Rule, evaluate_rules, reject_rows, valid_rows
-from millrace.operators.resolve import resolve_keys
+from millrace.operators.resolve import needed_rows, resolve_keys
 from millrace.operators.upsert import Merge
 from millrace.schemas import Field, TableSpec, text
 from millrace.sinks.staging import KeyProbe
@@ -157,10 +157,17 @@ def resolve_claims(
     fold_case: bool = False,
     hot: Mapping[str, Sequence[int]] | None = None,
     spread_by: Column | None = None,
+    reduce: bool = False,
 ) -> DataFrame:
-    """Claims with PatientID and ProviderID, NULL (or, if ``inner``, absent) if unknown."""
+    """Claims with PatientID and ProviderID, NULL (or, if ``inner``, absent) if unknown.
+
+    ``reduce`` cuts the dimensions down to the keys of ``claims``, a written table, first.
+    """
     hot = hot or {}
     rule = key_rule(fold_case)
+    if reduce:
+        patients = needed_rows(patients, claims, _PATIENT_ON, rule)
+        providers = needed_rows(providers, claims, _PROVIDER_ON, rule)
     found = resolve_keys(
         claims, patients, _PATIENT_ON, "PatientID", how, rule, hot.get("patient", ()), spread_by
     )

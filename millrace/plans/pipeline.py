@@ -28,11 +28,17 @@ _FEEDS = {"providers": c.STG_PROVIDER, "patients": c.STG_PATIENT, "claims": c.ST
 
 @dataclass(frozen=True)
 class Options:
-    """``null_text_*`` replace missing text in plain and in repaired feeds; NULL if not set."""
+    """``null_text_*`` replace missing text in plain and in repaired feeds; NULL if not set.
+
+    ``nanosecond_dates`` turns dates outside 1677-09-22 to 2262-04-11 into NULL.
+    """
 
     fold_case: bool = False
     multi_line: bool = False
     date_pattern: str = DATE_PATTERN
+    nanosecond_dates: bool = False
+    separator: str = ","
+    encoding: str = "UTF-8"
     null_text_plain: str | None = None
     null_text_repaired: str | None = None
 
@@ -44,6 +50,7 @@ class ClaimsWarehouse:
         self.spark = spark
         self.tables = Warehouse(spark, root)
         self.audit = RunAudit(spark, self.tables.path("runs"))
+        self._views = False
 
     def table(self, spec: TableSpec) -> DataFrame:
         """The rows of a table as of now."""
@@ -62,8 +69,14 @@ class ClaimsWarehouse:
     def rejects(self) -> DataFrame:
         return self.table(c.REJECT_CLAIM)
 
+    def rejects_of_run(self, run_id: int) -> DataFrame:
+        """The rejects of one run; no other run's folder is listed or read."""
+        self.tables.refresh()
+        return self.tables.snapshot(c.REJECT_CLAIM, [str(run_id)])
+
     def register_views(self) -> None:
-        """The three reports as temporary views for SQL."""
+        """The three reports as temporary views for SQL, renewed at the end of every run."""
+        self._views = True
         rejects = self.rejects()
         reports.rejects_by_date_and_rule(rejects).createOrReplaceTempView("vw_DQ_Claim_Summary")
         reports.latest_runs(self.audit.runs()).createOrReplaceTempView("vw_ETL_Run_Summary")
@@ -72,9 +85,18 @@ class ClaimsWarehouse:
     # -- steps of a run ---------------------------------------------------------------
 
     def stage(self, spec: TableSpec, path: str | list[str], options: Options) -> Staged:
-        feed = read_feed(self.spark, path, spec.columns, multi_line=options.multi_line)
+        feed = read_feed(
+            self.spark,
+            path,
+            spec.columns,
+            multi_line=options.multi_line,
+            separator=options.separator,
+            encoding=options.encoding,
+        )
         null_text = options.null_text_repaired if feed.repaired else options.null_text_plain
-        typed = coerce_types(feed.df, c.TYPES[spec.name], null_text, options.date_pattern)
+        typed = coerce_types(
+            feed.df, c.TYPES[spec.name], null_text, options.date_pattern, options.nanosecond_dates
+        )
         feed = Feed(typed.select(*spec.columns, WIDTH), feed.header_width, feed.repaired)
         probes = c.key_probes(options.fold_case) if spec is c.STG_CLAIM else None
         return load_staging(feed, spec, self.tables.path("staging", spec.name), probes)
@@ -106,6 +128,7 @@ class ClaimsWarehouse:
             fold_case=options.fold_case,
             hot=staged.hot,
             spread_by=F.col(ROW_SEQUENCE),
+            reduce=True,
         )
         # Joined once, read twice: by the rejects and by the upsert.
         month = c.submit_month(F.col("DateSubmitted"))
@@ -182,11 +205,17 @@ class ClaimsWarehouse:
             }
             self.audit.update_run_counts(run_id, staged, final, rejects)
             self.audit.finish_run(run_id, "SUCCESS")
-        except BaseException:
-            self.audit.finish_run(run_id, "FAILED")
+        except BaseException as error:
+            try:
+                self.audit.finish_run(run_id, "FAILED")
+            except Exception as e:  # noqa: BLE001 - the first error is the one to raise
+                error.add_note(f"the failure of run {run_id} could not be recorded: {e}")
             raise
         finally:
             scratch.drop()
+            if self._views:
+                self.register_views()
+        # Fixed text.
         message = (
             f"Run {run_id} complete. Final Claim rows: {final['claim']}. Rejects this run: {rejects}"
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class TableSpec:
 
     @property
     def schema(self) -> StructType:
-        return StructType([StructField(f.name, _parse_datatype_string(f.type)) for f in self.fields])
+        return StructType.fromDDL(", ".join(f"`{f.name}` {f.type}" for f in self.fields))
 
 
 def text(name: str, max_length: int, required: bool = False) -> Field:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import KeyRule
-from millrace.operators.resolve import HOT_MIN_ROWS, HOT_SHARE, hot_hashes, hot_key_metric
+from millrace.operators.resolve import hot_hashes, hot_key_metric, hot_share
 from millrace.schemas import TableSpec
 from millrace.session import write_observed
 from millrace.sources.feeds import WIDTH, Feed
@@ -78,8 +78,6 @@ def load_staging(
     spec: TableSpec,
     path: str,
     probes: Mapping[str, KeyProbe] | None = None,
-    hot_share: float = HOT_SHARE,
-    hot_min_rows: int = HOT_MIN_ROWS,
 ) -> Staged:
     """Replace the staging table at ``path`` by typed rows and check them.
 
@@ -104,9 +102,8 @@ def load_staging(
     if isinstance(feed, Feed):
         feed.check_width(found["widest"])
     check_contract(found, spec)
-    hot = {
-        name: hot_hashes(found[f"hot {name}"], found["rows"], hot_share, hot_min_rows) for name in probes
-    }
+    share = hot_share(df.sparkSession)
+    hot = {name: hot_hashes(found[f"hot {name}"], found["rows"], share) for name in probes}
     return Staged(written.drop(WIDTH), found["rows"], found["last_sequence"] + 1, hot)
 
 

@@ -128,13 +128,12 @@ class Warehouse:
     ) -> tuple[int, int, int | None]:
         """Write the whole new content of ``parts``; returns version, rows and highest id.
 
-        With several partitions the rows are gathered by partition first, a large one over
-        several tasks: that keeps the files few, and a partition that has most of the rows
-        from being one task.
+        The rows are gathered by partition first, a large one over several tasks: that keeps
+        the files few, and a partition that has most of the rows from being one task.
         """
         version = self.state(spec).last_version + 1
         rows = df.select(*spec.columns)
-        if spec.partition_col and len(parts) > 1:
+        if spec.partition_col:
             rows = rows.hint("rebalance", spec.partition_col)
         _, found = write_observed(
             rows,

@@ -18,7 +18,7 @@ def test_dates_need_the_whole_text_to_match(spark):
     cases = {
         "2025-10-02": date(2025, 10, 2),
         "2025-1-6": date(2025, 1, 6),
-        "2025-10-02      <-- overpaid": None,
+        "2025-10-02 (late)": None,
         "2025": None,
         "2025-10-05 13:00:00": None,
         " 2025-10-06": None,
@@ -27,13 +27,21 @@ def test_dates_need_the_whole_text_to_match(spark):
         "2025/10/02": None,
         "20251002": None,
         "": None,
+        "1600-01-01": date(1600, 1, 1),
+        "9999-12-31": date(9999, 12, 31),
+    }
+    assert coerce(spark, [*cases, None], "date") == [*cases.values(), None]
+
+
+def test_nanosecond_dates_on_request(spark):
+    cases = {
         "1500-01-01": None,
         "1677-09-21": None,
         "1677-09-22": date(1677, 9, 22),
         "2262-04-11": date(2262, 4, 11),
         "2262-04-12": None,
     }
-    assert coerce(spark, [*cases, None], "date") == [*cases.values(), None]
+    assert coerce(spark, list(cases), "date", nanoseconds=True) == list(cases.values())
 
 
 def test_date_pattern_and_timestamps(spark):

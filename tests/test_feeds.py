@@ -53,8 +53,41 @@ def test_line_break_in_quotes(spark, write, rows):
     assert rows(read_feed(spark, path, ["a", "b"], multi_line=True).checked()) == [("1", "x\ny")]
 
 
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ('a,b\n1,"x\n2,y"\n3,4\n', [("1", "x\n2,y"), ("3", "4")]),
+        ('"a,b,c"\n"A,South,x\ny"\n"B,West,z"\n', [("A", "South", "x\ny"), ("B", "West", "z")]),
+    ],
+)
+def test_halves_of_the_right_width_are_not_taken_for_rows(spark, write, rows, text, expected):
+    path, names = write(text), ["a", "b", "c"][: len(expected[0])]
+    with pytest.raises(FeedError, match="2 lines have an odd number of quotes"):
+        read_feed(spark, path, names)
+    assert rows(read_feed(spark, path, names, multi_line=True).checked()) == expected
+
+
+@pytest.mark.parametrize("header, other", [("a,a,b", "b,a,a"), ("a,,b", "b,,a")])
+def test_made_up_names_do_not_hide_another_order(spark, write, tmp_path, rows, header, other):
+    write(f"{header}\n1,2,3\n", "one.csv")
+    write(f"{header}\r\n7,8,9\r\n", "same.csv")
+    assert len(rows(read_feed(spark, str(tmp_path), ["a", "b"]).checked())) == 2
+    write(f"{other}\n4,5,6\n", "two.csv")
+    with pytest.raises(FeedError, match="2 different headers"):
+        read_feed(spark, str(tmp_path), ["a", "b"])
+
+
+def test_separator_and_encoding(spark, write, rows):
+    path = write('Größe;b\n"x;y";1\n"ü ""q""";NA\n', encoding="latin-1")
+    feed = read_feed(spark, path, ["Größe", "b"], separator=";", encoding="ISO-8859-1")
+    assert not feed.repaired
+    assert rows(feed.checked()) == [("x;y", "1"), ('ü "q"', None)]
+    with pytest.raises(FeedError, match="widest row"):
+        read_feed(spark, write("a;b\n1;2;3\n"), ["a"], separator=";").checked()
+
+
 def test_missing_column_and_missing_file(spark, write, tmp_path):
-    with pytest.raises(ValueError, match=r"Missing expected columns: \['z'\]. Found: \['a', 'b'\]"):
+    with pytest.raises(ValueError, match=r"lacks the columns \['z'\]; its header has \['a', 'b'\]"):
         read_feed(spark, write("a,b\n1,2\n"), ["a", "z"])
     with pytest.raises(AnalysisException):
         read_feed(spark, str(tmp_path / "none.csv"), ["a"])
@@ -107,5 +140,5 @@ def test_shape_feed_renames(spark, rows):
     df = spark.createDataFrame([("1,2",), ("3,4",)], "`x,y` string")
     assert rows(shape_feed(df, ["y", "x"], ["second", "first"]).checked()) == [("2", "1"), ("4", "3")]
     assert shape_feed(df, ["y"], ["second"]).df.columns[0] == "second"
-    with pytest.raises(ValueError, match="Missing expected"):
+    with pytest.raises(ValueError, match="lacks the columns"):
         shape_feed(spark.createDataFrame([("1",)], "x string"), ["y"])

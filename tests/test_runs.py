@@ -7,33 +7,29 @@ import pytest
 
 from millrace.plans import claims as c
 from millrace.plans import pipeline
+from millrace.plans.audit import COUNT_COLUMNS
 from millrace.plans.pipeline import ClaimsWarehouse, Options
 
-PROVIDERS = [
-    "Lakeside Clinic,East,Family Medicine", "Harbor Hospital,South,Surgery", "Pine Center,North,Urology",
-    "Oak Medical,Northwest,Dermatology", "Cedar Practice,South,Family Medicine",
-    "Summit Hospital,East,Radiology", "Canyon Health,West,Hematology", "Birch Clinic,North,Internal Medicine",
-]
+# Each claim is here for one reason, named beside it.
+PROVIDERS = ["Ulm Dental,South,Teeth", "Kiel Eyes,North,Eyes", "Jena Bones,East,Bones", "Ulm Dental,East,Teeth"]
 PATIENTS = [
-    "Ada,Quinn,1990-02-11,F", "Bo,Reyes,1984-07-02,M", "Cal,Stone,1979-10-14,M", "Dee,Tran,1992-06-22,F",
-    "Eli,Usman,2000-01-05,M", "Fay,Voss,1988-05-09,F", "Gus,West,1981-09-16,M", "Hana,Xu,1994-12-27,F",
-    "Ian,York,1976-03-30,M", "Joy,Zane,1999-08-13,F",
+    "Nils,Arp,1961-12-31,M", "Vera,Bock,2010-03-01,F", "Nils,Bock,1961-12-31,X", "Ute,Cron,1945-05-08,F",
+    "Tom,Dorn,1999-02-28,M",
 ]
 CLAIMS = [
-    "Ada,Quinn,1990-02-11,Lakeside Clinic,East,150.00,120.00,Paid,2025-10-01,2025-10-05",
-    "Bo,Reyes,1984-07-02,Harbor Hospital,South,300.00,0.00,Submitted,2025-10-03,",
-    "Cal,Stone,1979-10-14,Pine Center,North,750.00,750.00,Paid,2025-09-29,2025-10-02",
-    "Dee,Tran,1992-06-22,Oak Medical,Northwest,520.00,520.00,Paid,2025-10-01,2025-10-01",
-    "Eli,Usman,2000-01-05,Cedar Practice,South,380.00,0.00,Submitted,2025-09-28,",
-    "Fay,Voss,1988-05-09,Summit Hospital,East,820.00,600.00,Paid,2025-10-02,2025-10-06",
-    "Gus,West,1981-09-16,Canyon Health,West,1200.00,1200.00,Paid,2025-09-25,2025-09-28",
-    "Hana,Xu,1994-12-27,Birch Clinic,North,475.00,475.00,Paid,2025-10-01,2025-10-04",
-    "Ian,York,1976-03-30,Lakeside Clinic,East,210.00,220.00,Paid,2025-09-30,2025-10-02      <-- too much",
-    "Joy,Zane,1999-08-13,Harbor Hospital,South,350.00,350.00,Complete,2025-10-02,2025-10-05     <-- status",
-    "Ada,Quinn,1990-02-11,Summit Hospital,East,-150.00,0.00,Submitted,2025-09-27,            <-- negative",
-    "Bo,Reyes,1984-07-02,Cedar Practice,South,400.00,600.00,Paid,2025-10-03,2025-09-28  <-- date order",
-    "Cal,Stone,1979-10-14,Nobody Known,West,700.00,0.00,Submitted,2025-10-01,             <-- no provider",
+    "Vera,Bock,2010-03-01,Kiel Eyes,North,12.50,,submitted,2024-02-29,",  # valid, not paid, other case
+    "Vera,Bock,2010-03-01,Kiel Eyes,North,12.51,12.51,PAID,2024-02-29,2024-02-29",  # valid, paid that day
+    "Ute,Cron,1945-05-08,Jena Bones,East,0.00,0.00,Rejected,2023-12-31,",  # valid, nothing billed
+    "Nils,Arp,1961-12-31,Ulm Dental,East,99.90,45.00,Paid,2024-01-15,2024-04-01",  # valid, paid in part
+    "Nils,Bock,1961-12-31,Ulm Dental,South,99.90,45.00,Paid,2024-01-15,2024-04-01",  # valid, other people
+    "Tom,Dorn,1999-02-28,Kiel Eyes,South,70.00,0.00,Paid,2024-03-03,2024-03-04",  # no such provider
+    "Tim,Dorn,1999-02-28,Kiel Eyes,North,71.00,0.00,Paid,2024-03-03,2024-03-04",  # no such patient
+    "Tom,Dorn,1999-02-28,Jena Bones,East,-1.00,-5.00,Paid,2024-03-05,2024-03-06",  # negative
+    "Ute,Cron,1945-05-08,Ulm Dental,South,20.00,20.01,Paid,2024-02-02,2024-02-01",  # overpaid, before it was sent
+    "Ute,Cron,1945-05-08,Ulm Dental,South,21.00,21.00,Closed,2024-02-02,2024-02-03",  # status
+    "Nils,Arp,1961-12-31,Jena Bones,East,30.00,10.00,Paid,2024-02-02,2024-02-30",  # valid, a day that is none
 ]
+GOOD, NO_PROVIDER, NO_PATIENT, NEGATIVE, BAD_STATUS = CLAIMS[0], CLAIMS[5], CLAIMS[6], CLAIMS[7], CLAIMS[9]
 HEADERS = {
     "providers": c.STG_PROVIDER.columns, "patients": c.STG_PATIENT.columns, "claims": c.STG_CLAIM.columns,
 }
@@ -71,28 +67,35 @@ def counts(house, run_id):
     )
 
 
-EXPECTED = {"FK_NOT_FOUND": 1, "NEGATIVE_AMOUNT": 1, "OVERPAID": 3, "BAD_STATUS": 1}
+EXPECTED = {"FK_NOT_FOUND": 2, "NEGATIVE_AMOUNT": 1, "OVERPAID": 1, "DATE_ORDER": 1, "BAD_STATUS": 1}
+LOADED = (4, 5, 11, 4, 5, 6, 6)
 
 
 def test_first_and_second_run(house, write, rows, capsys):
     result = house.run(write()).first()
-    message = "Run 1 complete. Final Claim rows: 8. Rejects this run: 6"
-    assert tuple(result) == (1, "SUCCESS", 8, 6, message) and message in capsys.readouterr().out
-    assert counts(house, 1) == ("SUCCESS", 8, 10, 13, 8, 10, 8, 6)
+    message = "Run 1 complete. Final Claim rows: 6. Rejects this run: 6"
+    assert tuple(result) == (1, "SUCCESS", 6, 6, message) and message in capsys.readouterr().out
+    assert counts(house, 1) == ("SUCCESS", *LOADED)
     assert by_rule(house, 1) == EXPECTED
-    assert house.providers().count() == 8 and house.patients().count() == 10
+    assert house.providers().count() == 4 and house.patients().count() == 5
     claims, patients = rows(house.claims()), rows(house.patients())
-    assert len(claims) == 8
-    fk = house.rejects().filter("RuleCode = 'FK_NOT_FOUND'").first()
-    assert fk["Reason"] == "Could not resolve Provider from natural keys."
+    assert len(claims) == 6
+    reasons = {r["Reason"]: r for r in house.rejects().filter("RuleCode = 'FK_NOT_FOUND'").collect()}
+    assert reasons.keys() == {f"Could not resolve {who} from natural keys." for who in ("Patient", "Provider")}
+    fk = reasons["Could not resolve Provider from natural keys."]
     assert fk["ResolvedPatientID"] is not None and fk["ResolvedProviderID"] is None
-    assert fk["DatePaid"] is None and fk["AmountBilled"] == Decimal("700.00")
+    assert fk["DatePaid"] == date(2024, 3, 4) and fk["AmountBilled"] == Decimal("70.00")
+    started, ended = house.audit.runs().select("StartedAt", "EndedAt").first()
+    assert started <= ended
 
     house.run(write())
-    assert counts(house, 2) == ("SUCCESS", 8, 10, 13, 8, 10, 8, 6)
+    assert counts(house, 2) == ("SUCCESS", *LOADED)
     assert rows(house.claims()) == claims and rows(house.patients()) == patients
     assert by_rule(house, 2) == EXPECTED and house.rejects().count() == 12
     assert house.rejects().select("RejectID").distinct().count() == 12
+    assert {r["RunID"] for r in house.rejects_of_run(2).collect()} == {2}
+    assert house.rejects_of_run(2).count() == 6 and house.rejects_of_run(3).count() == 0
+    assert len(house.rejects_of_run(2).inputFiles()) < len(house.rejects().inputFiles())
     # An unchanged batch writes no new version of a table.
     assert set(house.tables.state(c.CLAIM).versions.values()) == {1}
     assert set(house.tables.state(c.PROVIDER).versions.values()) == {1}
@@ -101,46 +104,45 @@ def test_first_and_second_run(house, write, rows, capsys):
 def test_updates_and_late_dimensions(house, write, spark):
     house.run(write())
     before = {r["ClaimID"]: r for r in house.claims().collect()}
-    changed = [line.replace("300.00,0.00,Submitted,2025-10-03,", "300.00,250.00,Paid,2025-10-03,2025-10-20")
-               for line in CLAIMS]
-    extra = "Ada,Quinn,1990-02-11,Lakeside Clinic,East,90.00,80.00,Paid,2025-10-03,2025-09-28"
-    house.run(write([*changed, extra], providers=[*PROVIDERS, "Nobody Known,West,New"]))
+    changed = [GOOD.replace("12.50,,submitted,2024-02-29,", "12.50,12.00,Paid,2024-02-29,2024-03-20"), *CLAIMS[1:]]
+    extra = "Tom,Dorn,1999-02-28,Kiel Eyes,North,5.00,4.00,Paid,2024-02-10,2024-02-09"
+    house.run(write([*changed, extra], providers=[*PROVIDERS, "Kiel Eyes,South,New"]))
     after = {r["ClaimID"]: r for r in house.claims().collect()}
-    assert len(after) == 9 and set(before) < set(after)
-    assert by_rule(house, 2) == {"NEGATIVE_AMOUNT": 1, "OVERPAID": 3, "BAD_STATUS": 1, "DATE_ORDER": 1}
+    assert len(after) == 7 and set(before) < set(after)
+    assert by_rule(house, 2) == {**EXPECTED, "FK_NOT_FOUND": 1, "DATE_ORDER": 2}
     assert all(after[i]["CreatedAt"] == before[i]["CreatedAt"] for i in before)
     differing = [i for i in before if after[i] != before[i]]
     assert len(differing) == 1
     row = after[differing[0]]
-    assert (row["AmountPaid"], row["Status"], row["DatePaid"]) == (Decimal("250.00"), "Paid", date(2025, 10, 20))
-    assert house.providers().filter("ProviderID = 9").first()["Name"] == "Nobody Known"
-    # September was not touched, October was.
-    assert house.tables.state(c.CLAIM).versions == {"2025-09": 1, "2025-10": 2}
+    assert (row["AmountPaid"], row["Status"], row["DatePaid"]) == (Decimal("12.00"), "Paid", date(2024, 3, 20))
+    assert house.providers().filter("ProviderID = 5").first()["Region"] == "South"
+    # Months without a change keep their files.
+    assert house.tables.state(c.CLAIM).versions == {"2023-12": 1, "2024-01": 1, "2024-02": 2, "2024-03": 2}
 
 
 def test_retry_of_a_run_replaces_its_rejects(house, write):
     house.run(write(), run_id=5)
     house.run(write(), run_id=5)
     assert house.rejects().count() == 6
-    house.run(write(CLAIMS[:8]), run_id=5)
+    house.run(write(CLAIMS[:5]), run_id=5)
     assert house.rejects().count() == 0
     assert house.audit.runs().count() == 1 and counts(house, 5)[-1] == 0
 
 
 def test_duplicate_claims_and_duplicate_rejects(house, write):
-    house.run(write([*CLAIMS, CLAIMS[0], CLAIMS[9]]))
-    assert counts(house, 1)[6:] == (8, 7)
+    house.run(write([*CLAIMS, GOOD, BAD_STATUS]))
+    assert counts(house, 1)[6:] == (6, 7)
 
 
 @pytest.mark.parametrize(
     "feeds, error",
     [
         ({"claims": []}, "empty"),
-        ({"patients": [*PATIENTS, "Ada,Quinn,1990-02-11,X"]}, "different source rows"),
-        ({"claims": [*CLAIMS, CLAIMS[0].replace("120.00", "130.00")]}, "different source rows"),
-        ({"claims": [CLAIMS[0].replace("150.00", "n/a")]}, "AmountBilled is missing in 1"),
-        ({"providers": ["x" * 201 + ",East,None"]}, "longer than 200"),
-        ({"claims": [*CLAIMS, CLAIMS[0] + ",more"]}, "widest row"),
+        ({"patients": [*PATIENTS, PATIENTS[0].replace(",M", ",F")]}, "different source rows"),
+        ({"claims": [*CLAIMS, GOOD.replace("12.50,,", "12.50,1.00,")]}, "different source rows"),
+        ({"claims": [GOOD.replace("12.50", "n/a")]}, "AmountBilled is missing in 1"),
+        ({"providers": ["x" * 201 + ",North,Eyes"]}, "longer than 200"),
+        ({"claims": [*CLAIMS, GOOD + ",more"]}, "widest row"),
     ],
 )
 def test_failed_runs(house, write, feeds, error):
@@ -157,7 +159,7 @@ def test_missing_file_fails_the_run_but_not_the_next(house, write):
         house.run(feeds)
     assert counts(house, 1)[0] == "FAILED"
     house.run(write())
-    assert counts(house, 2)[0] == "SUCCESS" and house.claims().count() == 8
+    assert counts(house, 2)[0] == "SUCCESS" and house.claims().count() == 6
 
 
 def test_failed_claims_leave_dimensions_updated(house, write, monkeypatch):
@@ -167,14 +169,14 @@ def test_failed_claims_leave_dimensions_updated(house, write, monkeypatch):
     monkeypatch.setattr(pipeline, "apply_changes", lambda t, ch, m: broken() if m is c.CLAIM_MERGE else t.unionByName(ch.inserted))
     with pytest.raises(RuntimeError, match="lost"):
         house.run(write())
-    assert house.providers().count() == 8 and house.patients().count() == 10
+    assert house.providers().count() == 4 and house.patients().count() == 5
     assert house.claims().count() == 0 and house.rejects().count() == 0
 
 
 def test_missing_text_in_both_forms(house, write, tmp_path):
     feeds = write()
     plain = tmp_path / "plain.csv"
-    plain.write_text("Name,Region,Specialty\nLakeside Clinic,East,\nHarbor Hospital,South,NA\n")
+    plain.write_text("Name,Region,Specialty\nUlm Dental,East,\nKiel Eyes,North,NA\n")
     options = Options(null_text_plain="nan", null_text_repaired="None")
     house.run({**feeds, "providers": str(plain)}, options=options)
     assert {r["Specialty"] for r in house.providers().collect()} == {"nan"}
@@ -183,39 +185,55 @@ def test_missing_text_in_both_forms(house, write, tmp_path):
 
 
 def test_case_insensitive_keys(house, write):
-    louder = [line.replace("Lakeside Clinic", "LAKESIDE clinic") for line in CLAIMS]
+    louder = [line.replace("Kiel Eyes", "KIEL eyes") for line in CLAIMS]
     house.run(write(louder), options=Options(fold_case=True))
-    assert counts(house, 1)[6:] == (8, 6)
+    assert counts(house, 1)[6:] == (6, 6)
 
 
 def test_unknown_birth_dates(house, write):
-    patients = [PATIENTS[0].replace("1990-02-11", ""), *PATIENTS[1:]]
-    claims = [CLAIMS[0].replace("1990-02-11", "1900-01-01"), *CLAIMS[1:]]
+    patients = [line.replace("2010-03-01", "") for line in PATIENTS]
+    claims = [GOOD.replace("2010-03-01", "1900-01-01"), *CLAIMS[1:]]
     house.run(write(claims, patients))
-    # The first claim resolves; the negative one still names the birth date.
-    assert by_rule(house, 1) == {"FK_NOT_FOUND": 2, "OVERPAID": 2, "BAD_STATUS": 1}
-    assert house.claims().count() == 8
+    # The first claim resolves; the second still names the birth date.
+    assert by_rule(house, 1) == {**EXPECTED, "FK_NOT_FOUND": 3}
+    assert house.claims().count() == 5
     assert house.patients().filter("BirthDate IS NULL").count() == 1
 
 
-def test_views(house, write, spark):
-    house.run(write())
+def test_far_dates_are_kept_or_dropped_on_request(house, write):
+    patients = [line.replace("1945-05-08", "1600-01-01") for line in PATIENTS]
+    house.run(write(patients=patients))
+    assert house.patients().filter("BirthDate = DATE '1600-01-01'").count() == 1
+    house.run(write(patients=patients), options=Options(nanosecond_dates=True))
+    assert house.patients().filter("BirthDate IS NULL").count() == 1
+
+
+def test_other_separator_and_encoding(house, write, tmp_path):
+    feeds = write()
+    lines = ["Name;Region;Specialty", '"Köln; West";North;Ohren']
+    (tmp_path / "semicolons.csv").write_bytes("\n".join(lines).encode("latin-1"))
+    options = Options(separator=";", encoding="ISO-8859-1")
+    with pytest.raises(ValueError, match="widest row has 4 fields, the header has 3"):
+        house.run({**feeds, "providers": str(tmp_path / "semicolons.csv")})
+    house.run({**feeds, "providers": str(tmp_path / "semicolons.csv")}, options=options)
+    assert house.providers().select("Name").first()[0] == "Köln; West"
+
+
+def test_views_follow_the_runs(house, write, spark):
     house.run(write())
     house.register_views()
+    house.run(write())
     assert spark.sql("SELECT SUM(RejectCount) FROM vw_DQ_Claim_Summary").first()[0] == 12
     assert [r[0] for r in spark.sql("SELECT RunID FROM vw_ETL_Run_Summary").collect()] == [2, 1]
-    assert spark.sql("SELECT * FROM vw_ETL_Run_DQ_Breakdown").count() == 8
-    assert spark.table("vw_ETL_Run_Summary").columns == [
-        "RunID", "StartedAt", "EndedAt", "Status", "StgProviderCount", "StgPatientCount",
-        "StgClaimCount", "ProviderCount", "PatientCount", "ClaimCount", "RejectTotal",
-    ]
+    assert spark.sql("SELECT * FROM vw_ETL_Run_DQ_Breakdown").count() == 10
+    assert spark.table("vw_ETL_Run_Summary").columns == ["RunID", "StartedAt", "EndedAt", "Status", *COUNT_COLUMNS]
 
 
 def test_all_claims_rejected_then_none(house, write):
-    house.run(write([CLAIMS[8], CLAIMS[9], CLAIMS[12]]))
+    house.run(write([NO_PROVIDER, NO_PATIENT, BAD_STATUS]))
     assert counts(house, 1)[6:] == (0, 3)
     assert house.claims().count() == 0
     house.run(write(CLAIMS[:2]))
     assert counts(house, 2)[6:] == (2, 0)
-    house.run(write([CLAIMS[8]]))
+    house.run(write([NEGATIVE]))
     assert counts(house, 3)[6:] == (2, 1)

@@ -252,7 +252,7 @@ SELECT ProviderID, Name, Region, Specialty, CreatedAt FROM merged""",
     "upsert_twice": _PATIENT_UPSERT,
     "upsert_fact_basic": _claim_upsert("INNER", "SELECT * FROM resolved"),
     "upsert_fact_dq": _claim_upsert("LEFT", _VALID),
-    "ambiguous_keys": """SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count
+    "ambiguous_keys": """SELECT l_orderkey, l_linenumber
 FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
     "assign_ids": """SELECT 1000 + row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS line_id,
   l_orderkey, l_linenumber FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) k""",
@@ -264,6 +264,8 @@ FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVIN
     "coerce_dates": """SELECT o_orderkey, CASE
   WHEN o_orderpriority IN ('3-MEDIUM', '5-LOW') THEN NULL
   WHEN o_orderpriority = '2-HIGH' AND o_orderstatus IN ('O', 'F') THEN NULL
+  WHEN o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT'
+    THEN CASE WHEN o_orderkey % 2 = 0 THEN '9999-12-31' ELSE '1600-01-01' END
   ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day FROM orders""",
     "trim_text": f"SELECT doc_id, trim(text, {_WHITESPACE}) AS text FROM documents",
     "na_tokens": """SELECT event_id, CASE event_type WHEN 'purchase' THEN props WHEN 'click' THEN ' NA '

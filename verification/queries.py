@@ -15,7 +15,7 @@ from millrace.functions.text import na_to_null, strip_text
 from millrace.operators.ids import assign_ids
 from millrace.operators.quality import evaluate_rules, reject_rows
 from millrace.operators.resolve import fk_violations, resolve_keys
-from millrace.operators.upsert import Merge, ambiguous_keys, upsert
+from millrace.operators.upsert import Merge, one_row_per_key, upsert
 from millrace.plans import audit, reports
 from millrace.plans import claims as c
 from millrace.plans.pipeline import ClaimsWarehouse
@@ -78,8 +78,6 @@ def resolve_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         c.STG_CLAIM,
         f"{Scratch(spark).path}/staging",
         c.key_probes(),
-        hot_share=0.0005,
-        hot_min_rows=0,
     )
     return c.resolve_claims(
         staged.df,
@@ -252,7 +250,11 @@ def upsert_claim_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ambiguous_keys", "M6")
 def ambiguous_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ambiguous_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    """Keys that stop an upsert, found as runs find them."""
+    lines = table(spark, sf_dir, "lineitem")
+    keys = ("l_orderkey", "l_linenumber")
+    merge = Merge(keys, tuple(n for n in lines.columns if n not in keys), "line_id", "created_at")
+    return one_row_per_key(lines, merge).filter("_ambiguous").select(*keys)
 
 
 @query("assign_ids", "M7")
@@ -306,6 +308,7 @@ def coerce_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((priority == "2-HIGH") & (status == "F"), F.concat(F.lit(" "), iso))
         .when(priority == "3-MEDIUM", F.concat(iso, F.lit(" 13:00:00")))
         .when(priority == "5-LOW", F.date_format("o_orderdate", "yyyy"))
+        .when(status == "P", F.when(F.col("o_orderkey") % 2 == 0, "9999-12-31").otherwise("1600-01-01"))
         .otherwise(iso)
     )
     raw = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day"))
