@@ -110,7 +110,7 @@ def _confirmed(kind: str, value: Column) -> Column:
         parts = F.split(value, r"\.")
         return F.forall(
             parts,
-            lambda p: F.length(F.ltrim(F.lit("0"), p)) <= F.lit(3),
+            lambda p: F.length(F.ltrim(p, F.lit("0"))) <= F.lit(3),
         ) & F.forall(parts, lambda p: F.right(p, F.lit(3)).cast("int") <= 255)
     if kind == "card":
         digits = _digits(value)

@@ -105,6 +105,15 @@ def test_personal_data_against_plain_patterns(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_parts_of_an_address_are_read_whole(spark):
+    texts = ["10.0.19041.1", "1234.1.1.1", "0001.1.1.1", "1.1.1.1000 1.2.3.255", "00256.1.1.1", "1.1.1.4294967297"]
+    got = {r.doc_id: r for r in pii.pii_digest(pii.find_pii(documents(spark, list(enumerate(texts))))).collect()}
+    for i, text in enumerate(texts):
+        base = plain_spans(text)
+        assert (got[i].spans, got[i].n_ip) == (base, base.count("ip")), text
+        assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+
+
 SAMPLES = {
     "en": "the house and the garden of that with this from there",
     "de": "der die und das nicht auch über schön groß mit einer",
