@@ -42,7 +42,6 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 5
 SLICE_CHARS = 4 << 20
 _GROUP_CHARS = 1 << 18
-_EMPTY = np.uint32(0xFFFFFFFF)
 
 
 def _lines(column: pa.ChunkedArray) -> tuple[pa.LargeStringArray, np.ndarray]:
@@ -94,19 +93,22 @@ def _signatures(texts: list[str], shingle: int, bins: int) -> np.ndarray:
     hashes, first = _shingles(texts, shingle)
     line = np.repeat(np.arange(len(texts)), np.diff(first))
     place = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    signature = np.full(len(texts) * bins, _EMPTY)
+    signature = np.full(len(texts) * bins, np.uint32(0xFFFFFFFF))
     np.minimum.at(signature, line * bins + place, hashes.astype(np.uint32))
-    signature = signature.reshape(len(texts), bins)
-    open_ = np.flatnonzero((signature == _EMPTY).any(axis=1))
+    # Any value can be a minimum or come of borrowing, so none can mark an empty bin.
+    filled = np.zeros(len(signature), bool)
+    filled[line * bins + place] = True
+    signature, filled = signature.reshape(len(texts), bins), filled.reshape(len(texts), bins)
+    open_ = np.flatnonzero(~filled.all(axis=1))
     while len(open_):
-        part = signature[open_]
-        empty = part == _EMPTY
+        part, full = signature[open_], filled[open_]
         # The next bin's value, changed so that own and borrowed values differ.
-        part[empty] = np.where(
-            np.roll(part, -1, axis=1) == _EMPTY, _EMPTY, np.roll(part, -1, axis=1) * np.uint32(0x9E3779B1) + np.uint32(1)
-        )[empty]
-        signature[open_] = part
-        open_ = open_[(part == _EMPTY).any(axis=1)]
+        borrowed = np.roll(part, -1, axis=1) * np.uint32(0x9E3779B1) + np.uint32(1)
+        takes = ~full & np.roll(full, -1, axis=1)
+        part[takes] = borrowed[takes]
+        full |= takes
+        signature[open_], filled[open_] = part, full
+        open_ = open_[~full.all(axis=1)]
     return signature
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import signal
 
 import numpy as np
 import xxhash
@@ -141,6 +142,29 @@ def test_similar_lines(spark):
     assert lines.dedup_lines(frame.limit(0)).count() == 0
 
 
+def test_signatures_end_for_any_hash(monkeypatch):
+    # The first comes of borrowing as the greatest value, the second is a minimum with it.
+    lows = [0xE2E9A15E, 0xFFFFFFFF]
+    assert (lows[0] * 0x9E3779B1 + 1) % 2**32 == 0xFFFFFFFF
+    hashes = np.array([(1 << 63) + low for low in lows], np.uint64)
+    monkeypatch.setattr(lines, "_shingles", lambda texts, size: (hashes, np.arange(3)))
+
+    def stop(*_):
+        raise TimeoutError
+
+    held = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(20)
+    try:
+        got = lines._signatures(["a", "b"], 8, 60)
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, held)
+    for row, low in zip(got.tolist(), lows, strict=True):
+        for step in range(60):
+            assert row[(30 - step) % 60] == low
+            low = (low * 0x9E3779B1 + 1) % 2**32
+
+
 def test_neighbours_have_exact_scores_and_high_recall(spark):
     rng = np.random.default_rng(3)
     centers = rng.standard_normal((10, 24))
