@@ -1,7 +1,10 @@
 """Approximate nearest neighbours by inner product: multiprobe p-stable hashing.
 
-Vectors are scaled into the unit ball and get one more component that lifts them onto the
-sphere, where the least Euclidean distance is the largest inner product. Each of ``tables``
+Points are parted by length: a range ends at half the length it begins with, and the first
+begins with the longest vector. The vectors of a range are scaled by its greatest length into
+the unit ball and get one more component that lifts them onto the sphere, where the least
+Euclidean distance is the largest inner product; so a few long vectors do not draw the others
+together. Queries visit the buckets of every range. Each of ``tables``
 tables hashes a point with ``hashes`` functions ``floor((a x + b) / width)``, a Gaussian and
 b uniform. A query visits its own bucket and perturbed ones, in the order of their estimated
 chance to hold a near point: the perturbations are a fixed sequence over the ranks of the
@@ -10,9 +13,10 @@ bucket of any table are candidates, and candidates are ranked by their exact inn
 
 Points are dealt in blocks by their id, queries in blocks too, and each pair of blocks is a
 task's group: no bucket, however full, meets in one task, and a task holds two blocks. Within
-a group the products of a block of queries with a block of points are formed together, which
-is cheaper than gathering candidates one by one; products of points in no visited bucket are
-discarded. Every task keeps the best of its group for each query.
+a group the members of the visited buckets are gathered and only they are scored. A query
+whose buckets hold fewer than ``k`` of the group's points, or so many (one in ``DENSE``) that
+products with all points cost less than gathering, is scored against all points of the group.
+Every task keeps the best of its group for each query.
 
 Defined results: vectors that are null, empty, zero, of another length than most (the smaller
 of two equally frequent lengths), or hold null or non-finite components take no part; rows
@@ -31,6 +35,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TABLES, HASHES, WIDTH, PROBES = 5, 8, 2.0, 400
+#: A query that visits one in so many points of a group or more is scored against all of them.
+DENSE = 8
+#: The last range of lengths takes all that are shorter.
+_RANGES = 60
 _RESULT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
@@ -159,13 +167,10 @@ def nearest(
         q, q_ids = _once(values[asks], ids[asks])
         if not len(v) or not len(q):
             return _RESULT.empty_table()
-        scaled = v / longest
-        lift = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1, keepdims=True)))
-        lifted = np.concatenate([scaled, lift], axis=1)
-        numbered = [np.unique(hasher.buckets(lifted, t), return_inverse=True) for t in range(tables)]
+        members = _members(v, longest, hasher, tables)
         found = []
         for start in range(0, len(q), 256):
-            found.append(_rank(q[start : start + 256], q_ids[start : start + 256], v, v_ids, hasher, numbered, k))
+            found.append(_rank(q[start : start + 256], q_ids[start : start + 256], v, v_ids, hasher, members, k))
         return pa.concat_tables(found)
 
     merged = (
@@ -189,27 +194,67 @@ def _once(values: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[new], ids[new]
 
 
+#: For each table and range: its buckets, where each one's points begin, and the points.
+Members = list[list[tuple[np.ndarray, np.ndarray, np.ndarray]]]
+
+
+def _members(v: np.ndarray, longest: float, hasher: Hasher, tables: int) -> Members:
+    scaled = v / longest
+    length = np.sqrt((scaled * scaled).sum(axis=1))
+    halvings = np.floor(-np.log2(np.maximum(length, 2.0**-_RANGES)))
+    halvings = np.clip(halvings, 0, _RANGES)
+    scaled *= np.exp2(halvings)[:, None]
+    lift = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(axis=1, keepdims=True)))
+    lifted = np.concatenate([scaled, lift], axis=1)
+    ranges = [np.flatnonzero(halvings == h) for h in np.unique(halvings)]
+    out: Members = []
+    for table in range(tables):
+        buckets = hasher.buckets(lifted, table)
+        out.append([])
+        for points in ranges:
+            points = points[np.argsort(buckets[points], kind="stable")]
+            known, first = np.unique(buckets[points], return_index=True)
+            out[-1].append((known, np.append(first, len(points)), points))
+    return out
+
+
+def _visited(lifted: np.ndarray, n: int, hasher: Hasher, members: Members) -> np.ndarray:
+    """Whether a query, by row, visits a bucket with the point, by column."""
+    candidate = np.zeros((len(lifted), n), bool)
+    for table, ranges in enumerate(members):
+        wanted = hasher.probes(lifted, table)
+        for known, first, points in ranges:
+            at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+            row, probe = np.nonzero(known[at] == wanted)
+            bucket = at[row, probe]
+            counts = first[bucket + 1] - first[bucket]
+            begin = np.cumsum(counts) - counts
+            place = np.repeat(first[bucket] - begin, counts) + np.arange(counts.sum())
+            candidate[np.repeat(row, counts), points[place]] = True
+    return candidate
+
+
 def _rank(
     q: np.ndarray,
     q_ids: np.ndarray,
     v: np.ndarray,
     v_ids: np.ndarray,
     hasher: Hasher,
-    numbered: list[tuple[np.ndarray, np.ndarray]],
+    members: Members,
     k: int,
 ) -> pa.Table:
     norm = np.sqrt((q * q).sum(axis=1, keepdims=True))
     lifted = np.concatenate([q / norm, np.zeros((len(q), 1))], axis=1)
-    candidate = np.zeros((len(q), len(v)), bool)
-    for table, (known, number) in enumerate(numbered):
-        wanted = hasher.probes(lifted, table)
-        at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
-        hit = known[at] == wanted
-        visited = np.zeros((len(q), len(known)), bool)
-        visited[np.nonzero(hit)[0], at[hit]] = True
-        candidate |= visited[:, number]
-    candidate &= q_ids[:, None] != v_ids[None, :]
-    scores = np.where(candidate, q @ v.T, -np.inf)
+    other = q_ids[:, None] != v_ids[None, :]
+    candidate = _visited(lifted, len(v), hasher, members) & other
+    n = candidate.sum(axis=1)
+    whole = (n < k) | (n * DENSE >= len(v))
+    candidate[whole] = other[whole]
+    scores = np.full(candidate.shape, -np.inf)
+    scores[whole] = np.where(other[whole], q[whole] @ v.T, -np.inf)
+    for i in np.flatnonzero(~whole):
+        points = np.flatnonzero(candidate[i])
+        scores[i, points] = v[points] @ q[i]
     if len(v) > k:
         worst = np.partition(scores, len(v) - k, axis=1)[:, len(v) - k]
     else:

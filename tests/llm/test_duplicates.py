@@ -192,6 +192,37 @@ def test_neighbours_have_exact_scores_and_high_recall(spark):
     assert neighbours.nearest(frame.limit(0), frame.vec_id % 20 == 0).count() == 0
 
 
+def test_neighbours_of_vectors_of_unequal_length(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((1000, 24))
+    vectors /= np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    vectors[7] *= 50
+    frame = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in neighbours.nearest(frame, frame.vec_id % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    recall = []
+    for q in range(0, 1000, 20):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        assert len(got[q]) == 20
+        recall.append(len(got[q] & set(np.argsort(-scores)[:20].tolist())) / 20)
+    assert np.mean(recall) >= 0.9 and min(recall) >= 0.5
+
+
+def test_few_members_of_buckets_are_gathered_and_more_are_sought_without():
+    rng = np.random.default_rng(6)
+    v = rng.standard_normal((600, 24)) * np.exp(rng.standard_normal((600, 1)))
+    ids = np.arange(600)
+    longest = np.sqrt((v**2).sum(axis=1)).max()
+    for probes in (1, 60):
+        hasher = neighbours.Hasher(24, 2, 8, 2.0, probes, 1)
+        members = neighbours._members(v, longest, hasher, 2)
+        assert all(sorted(np.concatenate([p for _, _, p in t]).tolist()) == ids.tolist() for t in members)
+        found = neighbours._rank(v[:50], ids[:50], v, ids, hasher, members, 20)
+        assert collections.Counter(found["query_id"].to_pylist()) == {i: 20 for i in range(50)}
+
+
 def test_probes_begin_with_the_own_bucket_and_are_all_different():
     hasher = neighbours.Hasher(5, 2, 4, 2.0, 40, 1)
     points = np.random.default_rng(1).standard_normal((30, 6))
