@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, language, lines, mixing, neighbours, pieces, pii, simhash, substrings
+from millrace.llm import (
+    chat,
+    decontaminate,
+    importance,
+    language,
+    lines,
+    mixing,
+    neighbours,
+    pieces,
+    pii,
+    simhash,
+    substrings,
+    topk,
+)
+from millrace.llm.oracle import ORACLE as ORACLE  # noqa: PLC0414
+from millrace.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +87,16 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents)
 
 
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), Scratch(spark)
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_chat_formatting": op2_chat_formatting,
@@ -83,5 +108,6 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
     "op10_lines": op10_lines,
+    "op12_top_k": op12_top_k,
+    "op13_importance": op13_importance,
 }
-ORACLE: dict[str, str] = {}
