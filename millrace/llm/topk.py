@@ -136,8 +136,9 @@ def _group(table: pa.Table, dimensions: int, scale: float, bounds: list[tuple[in
         else:
             row, point = np.nonzero(other)
             score = _large_scores(some, v)[row, point]
-        reached = score >= q_cut[start : start + _STEP][row]
-        row, point, score = row[reached], point[reached], score[reached]
+        if exact:
+            reached = score >= q_cut[start : start + _STEP][row]
+            row, point, score = row[reached], point[reached], score[reached]
         # ``~`` reverses the order of whole numbers without an overflow.
         order = np.lexsort((v_ids[point], ~score, row))
         row, point, score = row[order], point[order], score[order]
