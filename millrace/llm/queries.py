@@ -17,6 +17,7 @@ from millrace.llm import (
     neighbours,
     pieces,
     pii,
+    repair,
     simhash,
     substrings,
     topk,
@@ -87,6 +88,10 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(documents)
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damaged_and_repaired(_table(spark, sf_dir, "conversations"))
+
+
 def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -108,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
     "op10_lines": op10_lines,
+    "op11_repair": op11_repair,
     "op12_top_k": op12_top_k,
     "op13_importance": op13_importance,
 }
