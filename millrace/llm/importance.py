@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import chunks
+from millrace.llm.arrow import chunks, flat_text
 from millrace.operators.ids import assign_ids
 from millrace.session import Scratch
 
@@ -52,9 +52,12 @@ class Features:
 
 def text_features(texts: pa.ChunkedArray | pa.Array, max_run: int, buckets: int) -> Features:
     """The buckets of all features of each text, and its number of words."""
-    lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-    if isinstance(lowered, pa.ChunkedArray):
-        lowered = lowered.combine_chunks()
+    # Laid out from offset 0: the kernel returns arrays with wrong offsets for slices.
+    data, offsets = flat_text(texts)
+    plain = pa.LargeStringArray.from_buffers(
+        len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))
+    )
+    lowered = pc.ascii_lower(plain)
     parts = pc.split_pattern_regex(lowered, _BREAKS)
     flat, owner = pc.list_flatten(parts), pc.list_parent_indices(parts)
     # Breaks at the ends of a text leave empty parts.
