@@ -40,22 +40,6 @@ def _equal(left: list[Column], right: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [x == F.col(y) for x, y in zip(left, right, strict=True)])
 
 
-def needed_rows(
-    dim: DataFrame, fact: DataFrame, on: Sequence[tuple[str, str]], rule: KeyRule = KeyRule()
-) -> DataFrame:
-    """The rows of ``dim`` whose key occurs in ``fact``.
-
-    The keys of a small batch are few enough to broadcast, and of a large dimension only what
-    the batch needs is shuffled afterwards. ``fact`` should be a written table: it is read
-    here for its keys alone.
-    """
-    fact_names, dim_names = [f for f, _ in on], [d for _, d in on]
-    names = [f"_batch_key{i}" for i in range(len(on))]
-    keys = rule.columns(fact, fact_names, dim_names)
-    used = fact.select(*[k.alias(n) for k, n in zip(keys, names)]).distinct()
-    return dim.join(used, _equal(rule.columns(dim, dim_names), names), "left_semi")
-
-
 def resolve_keys(
     fact: DataFrame,
     dim: DataFrame,

@@ -14,6 +14,9 @@ from millrace.functions.keys import KeyRule
 from millrace.operators.ids import assign_ids
 from millrace.session import Scratch
 
+_KEPT, _UPDATED, _NEW = 0, 1, 2
+_STATE = "_merge_state"
+
 
 class AmbiguousSourceError(ValueError):
     """Different source rows claim the same key."""
@@ -33,58 +36,156 @@ class Merge:
     def source_cols(self) -> list[str]:
         return [*self.keys, *self.update_cols]
 
+    @property
+    def key_names(self) -> list[str]:
+        return [f"_key{i}" for i in range(len(self.keys))]
+
+    def as_is(self) -> dict[str, str]:
+        """Key columns that are compared as they are, with the name of their comparable form."""
+        return {
+            k: n
+            for k, n in zip(self.keys, self.key_names)
+            if k not in self.rule.null_sentinels and not self.rule.fold_case
+        }
+
+    def keyed(self, source: DataFrame) -> DataFrame:
+        """The comparable keys, and the columns that do not follow from them."""
+        keys = self.rule.columns(source, list(self.keys))
+        return source.select(
+            *[k.alias(n) for k, n in zip(keys, self.key_names)],
+            *[F.col(f"`{c}`") for c in self.source_cols if c not in self.as_is()],
+        )
+
 
 @dataclass(frozen=True)
 class Changes:
-    """The rows of a target that change (``id_col`` and new values) and the rows to add.
+    """A written merge: the rows the target had, with new values, and the rows to add.
 
-    ``parts`` are the partitions of the target that get other content.
+    ``parts`` are the partitions of the target that get other content, ``part`` computes the
+    partition of a row.
     """
 
-    updated: DataFrame
+    rows: DataFrame
     inserted: DataFrame
     updated_rows: int
     inserted_rows: int
     parts: list[str]
+    part: Column
 
 
-def one_row_per_key(source: DataFrame, merge: Merge) -> DataFrame:
-    """Distinct source rows reduced to one per key, ``_ambiguous`` where there were more.
+def _compared(keyed: DataFrame, merge: Merge) -> list[Column]:
+    """The values by which rows of one key are told apart."""
+    return [
+        merge.rule.comparable(F.col(f"`{c}`"), keyed.schema[c].dataType, "")
+        for c in keyed.columns
+        if c not in merge.key_names
+    ]
 
-    The least and the greatest row of a key differ exactly when it has several distinct
-    rows. Both are found before the shuffle, so the copies of a frequent key do not meet
-    in one task, and the result is already distributed and sorted for the join on the key.
+
+def key_fingerprints(source: DataFrame, merge: Merge) -> DataFrame:
+    """Per key the number of its rows, and whether their values differ.
+
+    The least and the greatest of two 64-bit hashes are numbers, so that this is a hash
+    aggregate before and after the shuffle: nothing is sorted, the copies of a frequent key
+    are counted where they are, and no values travel. Hashes of equal rows are equal; those of
+    two different rows are so with a chance of 2^-128.
     """
-    keys = merge.rule.columns(source, list(merge.keys))
-    names = [f"_key{i}" for i in range(len(keys))]
-    # A key column that is compared as it is comes back from the group, not from the row.
-    as_is = {
-        k: n
-        for k, n in zip(merge.keys, names)
-        if k not in merge.rule.null_sentinels and not merge.rule.fold_case
-    }
-    carried = [c for c in merge.source_cols if c not in as_is]
-    row = F.struct(*[F.col(f"`{c}`") for c in carried])
-    if merge.rule.fold_case:
-        # Rows that differ in case alone count as one; the fields to compare come first.
-        compared = F.struct(
-            *[merge.rule.comparable(F.col(f"`{c}`"), source.schema[c].dataType, "") for c in carried]
-        )
-        row = F.struct(compared.alias("compared"), row.alias("row"))
-    reduced = source.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(
-        F.min(row).alias("_least"), F.max(row).alias("_greatest")
+    keyed = merge.keyed(source)
+    values = _compared(keyed, merge)
+    # The hash function leaves missing values out: which ones are missing is hashed as well.
+    missing = F.array(F.lit(False), *[v.isNull() for v in values])
+    hashes = [F.xxhash64(F.lit(seed), missing, *values) for seed in (1, 2)]
+    differ = reduce(lambda a, b: a | b, [F.min(h) != F.max(h) for h in hashes])
+    return keyed.groupBy(*merge.key_names).agg(F.count("*").alias("_rows"), differ.alias("_differ"))
+
+
+def ambiguous_keys(source: DataFrame, merge: Merge) -> DataFrame:
+    """Keys with different source rows, found by hashes and then compared value by value."""
+    suspects = key_fingerprints(source, merge).filter("_differ").select(
+        *[F.col(n).alias(f"_suspect{n}") for n in merge.key_names]
+    )
+    keyed = merge.keyed(source)
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_suspect{n}")) for n in merge.key_names])
+    row = F.struct(*[v.alias(f"v{i}") for i, v in enumerate(_compared(keyed, merge))])
+    bounds = keyed.join(suspects, same, "left_semi").groupBy(*merge.key_names).agg(
+        F.min(row).alias("_least"), F.max(row).alias("_greatest"), F.min(F.struct(*keyed.columns)).alias("_row")
     )
-    inner, values = (".compared", "_least.row") if merge.rule.fold_case else ("", "_least")
-    return reduced.select(
-        *names,
-        *[
-            F.col(as_is[c]).alias(c) if c in as_is else F.col(f"{values}.`{c}`").alias(c)
-            for c in merge.source_cols
-        ],
-        (~F.col(f"_least{inner}").eqNullSafe(F.col(f"_greatest{inner}"))).alias("_ambiguous"),
+    as_is = merge.as_is()
+    return bounds.filter(~F.col("_least").eqNullSafe(F.col("_greatest"))).select(
+        *[(F.col(as_is[k]) if k in as_is else F.col(f"_row.`{k}`")).alias(k) for k in merge.keys]
     )
 
 
+def check_batch(source: DataFrame, merge: Merge) -> int:
+    """The number of rows that repeat another; different rows of one key are an error.
+
+    Reads the batch once, without the order or the values of its rows.
+    """
+    found = key_fingerprints(source, merge).agg(
+        F.count_if("_differ").alias("suspects"), (F.sum("_rows") - F.count("*")).alias("copies")
+    ).first()
+    if found["suspects"]:
+        ambiguous = ambiguous_keys(source, merge)
+        count = ambiguous.count()
+        if count:
+            sample = ambiguous.limit(20).collect()
+            raise AmbiguousSourceError(
+                f"{count} keys have different source rows, such as " + "; ".join(str(tuple(row)) for row in sample)
+            )
+    return found["copies"] or 0
+
+
+def one_row_per_key(source: DataFrame, merge: Merge, copies: int) -> DataFrame:
+    """The comparable keys and the values of a checked batch, without its ``copies``.
+
+    Copies are dropped by a hash aggregate before the shuffle. If letters of any case are equal,
+    the least spelling of a key stands for all.
+    """
+    keyed = merge.keyed(source)
+    if not copies:
+        return keyed
+    if not merge.rule.fold_case:
+        return keyed.distinct()
+    values = [c for c in keyed.columns if c not in merge.key_names]
+    least = F.min(F.struct(*[F.col(f"`{c}`") for c in values])).alias("_row")
+    return keyed.groupBy(*merge.key_names).agg(least).select(*merge.key_names, "_row.*")
+
+
+def merge_rows(target: DataFrame, batch: DataFrame, merge: Merge) -> DataFrame:
+    """Every row of the target and of the batch after the merge, in one join.
+
+    ``_STATE`` tells kept, updated and new rows apart; new ones have no id yet. Whole rows of the
+    target meet the batch, so neither is read or moved a second time.
+    """
+    as_is = merge.as_is()
+    values = {c: F.col(as_is.get(c, f"_new_{c}")) for c in merge.source_cols}
+    incoming = batch.select(
+        *merge.key_names,
+        *[F.col(f"`{c}`").alias(f"_new_{c}") for c in batch.columns if c not in merge.key_names],
+        F.lit(True).alias("_in_batch"),
+    )
+    keys = merge.rule.columns(target, list(merge.keys))
+    same_key = reduce(lambda a, b: a & b, [k == F.col(n) for k, n in zip(keys, merge.key_names)])
+    is_new = F.col(f"`{merge.id_col}`").isNull()
+    same_values = reduce(
+        lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(values[c]) for c in merge.update_cols], F.lit(True)
+    )
+    state = (
+        F.when(is_new, F.lit(_NEW)).when(F.col("_in_batch") & ~same_values, F.lit(_UPDATED)).otherwise(F.lit(_KEPT))
+    )
+    joined = target.join(incoming, same_key, "full_outer").withColumn(_STATE, state)
+
+    def after(c: str) -> Column:
+        old = F.col(f"`{c}`")
+        if c in merge.update_cols:
+            return F.when(F.col(_STATE) == _KEPT, old).otherwise(values[c]).alias(c)
+        if c in merge.keys:
+            return F.when(F.col(_STATE) == _NEW, values[c]).otherwise(old).alias(c)
+        return old
+
+    return joined.select(*[after(c) for c in target.columns], _STATE)
+
+
 def plan_changes(
     target: DataFrame,
     source: DataFrame,
@@ -94,57 +195,27 @@ def plan_changes(
     next_id: int | None = None,
     part: Column | None = None,
 ) -> Changes:
-    """Compare a batch with the target and number the new rows in key order.
+    """Merge a batch with the partitions of the target it may touch; number the new rows.
 
-    The target is read without the columns the match does not need, and first reduced to
-    the keys of the batch: if those are few enough to broadcast, the target is not shuffled
-    at all, and otherwise once. What is kept afterwards has the size of the batch. Rows that
-    would be overwritten with the values they have are left out. ``part`` computes a row's partition from the
-    columns of the source.
+    The batch is checked by a narrow aggregate, then batch and target are shuffled once by the
+    key and the merged rows are written to the scratch folder. From there come the new rows,
+    numbered in key order, and the partitions with a change. ``part`` computes a row's
+    partition from the columns of the source; ``target`` has to hold all partitions of the batch.
     """
-    source_keys = [f"_key{i}" for i in range(len(merge.keys))]
-    target_keys = [f"_target_key{i}" for i in range(len(merge.keys))]
-    known = target.select(
-        *[c.alias(n) for c, n in zip(merge.rule.columns(target, list(merge.keys)), target_keys)],
-        F.col(f"`{merge.id_col}`").alias("_id"),
-        *[F.col(f"`{c}`").alias(f"_old_{c}") for c in merge.update_cols],
-    )
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(s) == F.col(t) for s, t in zip(source_keys, target_keys)]
-    )
-    same_values = [
-        F.col(f"`{c}`").eqNullSafe(F.col(f"`_old_{c}`")) for c in merge.update_cols
-    ]
-    # Written once: the batch is scanned and shuffled for this reduction and never again.
-    batch_rows, reduced = scratch.write(
-        one_row_per_key(source, merge), {"ambiguous": F.count_if("_ambiguous")}
-    )
-    if reduced["ambiguous"]:
-        sample = batch_rows.filter("_ambiguous").select(*merge.keys).limit(20).collect()
-        raise AmbiguousSourceError(
-            f"{reduced['ambiguous']} keys have different source rows, such as "
-            + "; ".join(str(tuple(row)) for row in sample)
-        )
-    hits = known.join(batch_rows.select(*source_keys), same_key, "left_semi")
-    matched = (
-        batch_rows.join(hits, same_key, "left")
-        .withColumn("_changed", ~reduce(lambda a, b: a & b, same_values, F.lit(True)))
-        .select(*merge.source_cols, "_id", "_changed")
-    )
-    is_new = F.col("_id").isNull()
-    is_updated = ~is_new & F.col("_changed")
+    batch = one_row_per_key(source, merge, check_batch(source, merge))
     part = F.lit("") if part is None else part
-    batch, found = scratch.write(
-        matched,
+    changed = F.col(_STATE) != _KEPT
+    merged, found = scratch.write(
+        merge_rows(target, batch, merge),
         {
-            "new": F.count_if(is_new),
-            "updated": F.count_if(is_updated),
-            "parts": F.collect_set(F.when(is_new | is_updated, part)),
+            "new": F.count_if(F.col(_STATE) == _NEW),
+            "updated": F.count_if(F.col(_STATE) == _UPDATED),
+            "parts": F.collect_set(F.when(changed, part)),
         },
     )
     if next_id is None:
-        next_id = (target.agg(F.max(merge.id_col)).first()[0] or 0) + 1
-    new = batch.filter(is_new).select(*merge.source_cols)
+        next_id = (merged.agg(F.max(f"`{merge.id_col}`")).first()[0] or 0) + 1
+    new = merged.filter(F.col(_STATE) == _NEW).select(*merge.source_cols)
     if found["new"]:
         order = [k.asc_nulls_first() for k in merge.rule.columns(new, list(merge.keys))]
         new = assign_ids(new, order, merge.id_col, next_id, scratch)
@@ -155,26 +226,19 @@ def plan_changes(
         *merge.source_cols,
         F.lit(created_at).cast("timestamp").alias(merge.created_col),
     )
-    updated = batch.filter(is_updated).select(F.col("_id").alias(merge.id_col), *merge.source_cols)
-    return Changes(updated, inserted, found["updated"], found["new"], sorted(found["parts"]))
+    rows = merged.filter(F.col(_STATE) != _NEW).drop(_STATE)
+    return Changes(rows, inserted, found["updated"], found["new"], sorted(found["parts"]), part)
 
 
-def apply_changes(target: DataFrame, changes: Changes, merge: Merge) -> DataFrame:
-    """The target after the changes: ids and creation times stay, no row is removed."""
-    new_values = changes.updated.select(
-        F.col(f"`{merge.id_col}`").alias("_id"),
-        *[F.col(f"`{c}`").alias(f"_new_{c}") for c in merge.update_cols],
-    )
-    is_updated = F.col("_id").isNotNull()
-    kept = target.join(new_values, F.col(f"`{merge.id_col}`") == F.col("_id"), "left").select(
-        *[
-            F.when(is_updated, F.col(f"`_new_{c}`")).otherwise(F.col(f"`{c}`")).alias(c)
-            if c in merge.update_cols
-            else F.col(f"`{c}`")
-            for c in target.columns
-        ]
-    )
-    return kept.unionByName(changes.inserted, allowMissingColumns=True)
+def merged_rows(changes: Changes) -> DataFrame:
+    """All rows after the merge: ids and creation times stay, no row is removed."""
+    return changes.rows.unionByName(changes.inserted, allowMissingColumns=True)
+
+
+def apply_changes(changes: Changes) -> DataFrame:
+    """The new content of the partitions that change."""
+    touched = changes.rows.filter(changes.part.isin(changes.parts))
+    return touched.unionByName(changes.inserted, allowMissingColumns=True)
 
 
 def upsert(
@@ -185,5 +249,4 @@ def upsert(
     scratch: Scratch,
     next_id: int | None = None,
 ) -> DataFrame:
-    changes = plan_changes(target, source, merge, created_at, scratch, next_id)
-    return apply_changes(target, changes, merge)
+    return merged_rows(plan_changes(target, source, merge, created_at, scratch, next_id))

@@ -8,13 +8,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import KeyRule
+from millrace.functions.keys import KeyRule, key_hash
 from millrace.operators.ids import unordered_ids
+from millrace.operators.keyfilter import KeyColumns, KeyFilter, prune_dimension
 from millrace.operators.quality import Rule, evaluate_rules, reject_rows, valid_rows
-from millrace.operators.resolve import needed_rows, resolve_keys
+from millrace.operators.resolve import resolve_keys
 from millrace.operators.upsert import Merge
 from millrace.schemas import Field, TableSpec, text
-from millrace.sinks.staging import KeyProbe
 
 MONEY = "decimal(18,2)"
 
@@ -52,17 +52,33 @@ STG_PATIENT = TableSpec(
 )
 STG_CLAIM = TableSpec("StgClaim", _CLAIM_FEED)
 
+# The bucket follows from the natural key: a row and its later versions are in the same bucket,
+# so an upsert reads only the buckets of its batch and rewrites only those that change.
+BUCKET = "KeyBucket"
+
 PROVIDER = TableSpec(
     "Provider",
-    (Field("ProviderID", "bigint", True), *STG_PROVIDER.fields, Field("CreatedAt", "timestamp", True)),
+    (
+        Field("ProviderID", "bigint", True),
+        *STG_PROVIDER.fields,
+        Field("CreatedAt", "timestamp", True),
+        Field(BUCKET, "string", True),
+    ),
     id_col="ProviderID",
     created_col="CreatedAt",
+    partition_col=BUCKET,
 )
 PATIENT = TableSpec(
     "Patient",
-    (Field("PatientID", "bigint", True), *STG_PATIENT.fields, Field("CreatedAt", "timestamp", True)),
+    (
+        Field("PatientID", "bigint", True),
+        *STG_PATIENT.fields,
+        Field("CreatedAt", "timestamp", True),
+        Field(BUCKET, "string", True),
+    ),
     id_col="PatientID",
     created_col="CreatedAt",
+    partition_col=BUCKET,
 )
 # The month follows from DateSubmitted, a key column: a claim and its later versions are in
 # the same month, so an upsert reads and rewrites only the months of its batch.
@@ -141,10 +157,16 @@ CLAIM_MERGE = Merge(
 )
 
 
-def key_probes(fold_case: bool = False) -> dict[str, KeyProbe]:
-    """The lookups of a claim, for finding its frequent keys while it is staged."""
+def key_bucket(df: DataFrame, merge: Merge, buckets: int) -> Column:
+    """The bucket of a row's natural key, the same for keys that any comparison takes as equal."""
+    folded = KeyRule(merge.rule.null_sentinels, fold_case=True).columns(df, list(merge.keys))
+    return F.pmod(key_hash(folded), F.lit(buckets)).cast("string")
+
+
+def key_probes(fold_case: bool = False) -> dict[str, KeyColumns]:
+    """The lookups of a claim, for its frequent keys and for the filters of the dimensions."""
     return {
-        name: KeyProbe(tuple(f for f, _ in on), tuple(d for _, d in on), key_rule(fold_case))
+        name: KeyColumns(tuple(f for f, _ in on), tuple(d for _, d in on), key_rule(fold_case))
         for name, on in (("patient", _PATIENT_ON), ("provider", _PROVIDER_ON))
     }
 
@@ -157,17 +179,18 @@ def resolve_claims(
     fold_case: bool = False,
     hot: Mapping[str, Sequence[int]] | None = None,
     spread_by: Column | None = None,
-    reduce: bool = False,
+    filters: Mapping[str, KeyFilter] | None = None,
 ) -> DataFrame:
     """Claims with PatientID and ProviderID, NULL (or, if ``inner``, absent) if unknown.
 
-    ``reduce`` cuts the dimensions down to the keys of ``claims``, a written table, first.
+    ``filters`` of the keys of ``claims`` cut the dimensions down before the joins.
     """
     hot = hot or {}
     rule = key_rule(fold_case)
-    if reduce:
-        patients = needed_rows(patients, claims, _PATIENT_ON, rule)
-        providers = needed_rows(providers, claims, _PROVIDER_ON, rule)
+    if filters:
+        lookups = key_probes(fold_case)
+        patients = prune_dimension(patients, filters["patient"], lookups["patient"])
+        providers = prune_dimension(providers, filters["provider"], lookups["provider"])
     found = resolve_keys(
         claims, patients, _PATIENT_ON, "PatientID", how, rule, hot.get("patient", ()), spread_by
     )

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.coerce import DATE_PATTERN, coerce_types
+from millrace.operators.keyfilter import key_filters
 from millrace.operators.quality import BROKEN_RULES
 from millrace.operators.upsert import Changes, Merge, apply_changes, plan_changes
 from millrace.plans import claims as c
@@ -23,6 +24,9 @@ from millrace.sinks.warehouse import Warehouse, Written
 from millrace.sources.feeds import WIDTH, Feed, read_feed
 
 
+#: Parts of a dimension table in a new warehouse.
+DIMENSION_BUCKETS = 16
+
 _FEEDS = {"providers": c.STG_PROVIDER, "patients": c.STG_PATIENT, "claims": c.STG_CLAIM}
 
 
@@ -44,11 +48,16 @@ class Options:
 
 
 class ClaimsWarehouse:
-    """The final tables, reject table, run history and reports under one root folder."""
+    """The final tables, reject table, run history and reports under one root folder.
+
+    ``buckets`` divides each dimension by natural key. It is fixed when the folder is made; a
+    bucket of some hundred MB is rewritten quickly and costs few files.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = DIMENSION_BUCKETS):
         self.spark = spark
-        self.tables = Warehouse(spark, root)
+        self.tables = Warehouse(spark, root, {"buckets": buckets})
+        self.buckets = int(self.tables.settings["buckets"])
         self.audit = RunAudit(spark, self.tables.path("runs"))
         self._views = False
 
@@ -58,10 +67,10 @@ class ClaimsWarehouse:
         return self.tables.snapshot(spec)
 
     def providers(self) -> DataFrame:
-        return self.table(c.PROVIDER)
+        return self.table(c.PROVIDER).drop(c.BUCKET)
 
     def patients(self) -> DataFrame:
-        return self.table(c.PATIENT)
+        return self.table(c.PATIENT).drop(c.BUCKET)
 
     def claims(self) -> DataFrame:
         return self.table(c.CLAIM)
@@ -98,15 +107,23 @@ class ClaimsWarehouse:
             feed.df, c.TYPES[spec.name], null_text, options.date_pattern, options.nanosecond_dates
         )
         feed = Feed(typed.select(*spec.columns, WIDTH), feed.header_width, feed.repaired)
-        probes = c.key_probes(options.fold_case) if spec is c.STG_CLAIM else None
-        return load_staging(feed, spec, self.tables.path("staging", spec.name), probes)
+        path = self.tables.path("staging", spec.name)
+        if spec is c.STG_CLAIM:
+            return load_staging(feed, spec, path, c.key_probes(options.fold_case))
+        merge = c.provider_merge() if spec is c.STG_PROVIDER else c.patient_merge()
+        return load_staging(feed, spec, path, part=c.key_bucket(feed.df, merge, self.buckets))
 
     def upsert_dimension(
-        self, spec: TableSpec, staged: DataFrame, merge: Merge, created_at: datetime, scratch: Scratch
+        self, spec: TableSpec, staged: Staged, merge: Merge, created_at: datetime, scratch: Scratch
     ) -> None:
-        target = self.tables.snapshot(spec)
-        changes = plan_changes(target, staged, merge, created_at, scratch, self.tables.next_id(spec))
-        self.tables.commit(self._write_changes(spec, changes, apply_changes(target, changes, merge)))
+        """Merge staged rows with the buckets they belong to; rewrite the buckets that change."""
+        target = self.tables.snapshot(spec, staged.parts)
+        bucket = c.key_bucket(staged.df, merge, self.buckets)
+        changes = plan_changes(
+            target, staged.df, merge, created_at, scratch, self.tables.next_id(spec), bucket
+        )
+        merged = apply_changes(changes).withColumn(c.BUCKET, bucket)
+        self.tables.commit(self._write_changes(spec, changes, merged))
 
     def _write_changes(self, spec: TableSpec, changes: Changes, merged: DataFrame) -> list[Written]:
         """Write what a merge changed, which may be nothing."""
@@ -128,7 +145,7 @@ class ClaimsWarehouse:
             fold_case=options.fold_case,
             hot=staged.hot,
             spread_by=F.col(ROW_SEQUENCE),
-            reduce=True,
+            filters=key_filters(staged.df, c.key_probes(options.fold_case), staged.rows),
         )
         # Joined once, read twice: by the rejects and by the upsert.
         month = c.submit_month(F.col("DateSubmitted"))
@@ -147,8 +164,7 @@ class ClaimsWarehouse:
             self.tables.next_id(c.CLAIM),
             month,
         )
-        touched = self.tables.snapshot(c.CLAIM, changes.parts)
-        merged = apply_changes(touched, changes, c.CLAIM_MERGE).withColumn("SubmitMonth", month)
+        merged = apply_changes(changes).withColumn("SubmitMonth", month)
         self.tables.commit([*reject_table, *self._write_changes(c.CLAIM, changes, merged)])
         return rejects
 
@@ -193,9 +209,9 @@ class ClaimsWarehouse:
                     lambda name: self.stage(_FEEDS[name], feeds[name], options), _FEEDS
                 )
             self.upsert_dimension(
-                c.PROVIDER, providers.df, c.provider_merge(options.fold_case), at, scratch
+                c.PROVIDER, providers, c.provider_merge(options.fold_case), at, scratch
             )
-            self.upsert_dimension(c.PATIENT, patients.df, c.patient_merge(options.fold_case), at, scratch)
+            self.upsert_dimension(c.PATIENT, patients, c.patient_merge(options.fold_case), at, scratch)
             rejects = self.upsert_claims(claims, run_id, at, options, scratch)
             staged = {"provider": providers.rows, "patient": patients.rows, "claim": claims.rows}
             final = {

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import KeyRule
+from millrace.operators.keyfilter import KeyColumns
 from millrace.operators.resolve import hot_hashes, hot_key_metric, hot_share
 from millrace.schemas import TableSpec
 from millrace.session import write_observed
@@ -21,23 +21,18 @@ class ContractError(ValueError):
     """Rows that the staging table must not hold."""
 
 
-@dataclass(frozen=True)
-class KeyProbe:
-    """Columns of a fact that are looked up in a dimension, and that dimension's names."""
-
-    columns: tuple[str, ...]
-    dim_columns: tuple[str, ...]
-    rule: KeyRule = KeyRule()
-
-
 @dataclass(frozen=True)
 class Staged:
-    """A written staging table; ``ROW_SEQUENCE`` numbers its rows, with gaps."""
+    """A written staging table; ``ROW_SEQUENCE`` numbers its rows, with gaps.
+
+    ``parts`` are the partitions of the final table that its rows belong to, if asked for.
+    """
 
     df: DataFrame
     rows: int
     partitions: int
     hot: Mapping[str, list[int]] = field(default_factory=dict)
+    parts: Sequence[str] = ()
 
 
 def contract_metrics(spec: TableSpec) -> dict[str, Column]:
@@ -77,12 +72,14 @@ def load_staging(
     feed: Feed | DataFrame,
     spec: TableSpec,
     path: str,
-    probes: Mapping[str, KeyProbe] | None = None,
+    probes: Mapping[str, KeyColumns] | None = None,
+    part: Column | None = None,
 ) -> Staged:
     """Replace the staging table at ``path`` by typed rows and check them.
 
     One job reads, converts, counts, checks and writes. An empty feed, a row of the wrong
-    width, a missing required value or too long a text is an error.
+    width, a missing required value or too long a text is an error. ``part`` computes the
+    partition of the final table, of which there are few, from a row.
     """
     df = feed.df if isinstance(feed, Feed) else feed
     probes = probes or {}
@@ -94,6 +91,8 @@ def load_staging(
         metrics[f"hot {name}"] = hot_key_metric(
             df, list(probe.columns), probe.rule, list(probe.dim_columns)
         )
+    if part is not None:
+        metrics["parts"] = F.collect_set(part)
     width = [WIDTH] if WIDTH in df.columns else []
     rows = df.select(*spec.columns, *width).withColumn(ROW_SEQUENCE, F.monotonically_increasing_id())
     written, found = write_observed(rows, path, metrics)
@@ -104,7 +103,8 @@ def load_staging(
     check_contract(found, spec)
     share = hot_share(df.sparkSession)
     hot = {name: hot_hashes(found[f"hot {name}"], found["rows"], share) for name in probes}
-    return Staged(written.drop(WIDTH), found["rows"], found["last_sequence"] + 1, hot)
+    parts = sorted(found.get("parts") or [])
+    return Staged(written.drop(WIDTH), found["rows"], found["last_sequence"] + 1, hot, parts)
 
 
 def export_jdbc(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,14 +60,23 @@ class Warehouse:
     leaves nothing but unread files that the next attempt overwrites.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, settings: Mapping[str, object] | None = None):
+        """``settings`` are stored when the folder is new; an older folder keeps its own."""
         self.spark = spark
         self.root = root.rstrip("/")
         self._log_path = f"{self.root}/log"
+        self.settings = self._stored(settings or {})
         spark.createDataFrame([], _LOG).write.mode("ignore").json(self._log_path)
         self._state: dict[str, TableState] = {}
         self.refresh()
 
+    def _stored(self, settings: Mapping[str, object]) -> dict[str, str]:
+        path = self.path("settings")
+        names, values = F.lit(list(settings)), F.lit([str(v) for v in settings.values()])
+        pairs = [F.map_from_arrays(names.cast("array<string>"), values.cast("array<string>")).alias("settings")]
+        self.spark.range(0, 1, 1, 1).select(*pairs).write.mode("ignore").json(path)
+        return self.spark.read.schema("settings map<string, string>").json(path).first()["settings"] or {}
+
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 

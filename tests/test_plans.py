@@ -1,14 +1,16 @@
 """Shapes of physical plans that results do not show."""
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import KeyRule
-from millrace.operators.upsert import Merge, one_row_per_key
+from millrace.operators.keyfilter import key_filters
+from millrace.operators.upsert import apply_changes, key_fingerprints, one_row_per_key, plan_changes
 from millrace.plans import claims as c
 from millrace.plans import reports
+from millrace.session import Scratch
 
 
 def plan(df):
@@ -35,16 +37,52 @@ def tables(spark, tmp_path):
     return stored
 
 
-def test_one_shuffle_serves_distinct_check_and_join(shuffled, tables):
-    merge = Merge(("Name", "Region"), ("Specialty",), "ProviderID", "CreatedAt", KeyRule())
-    source = one_row_per_key(tables(c.STG_PROVIDER), merge)
-    target = tables(c.PROVIDER).select("Name", "Region", "ProviderID")
-    joined = source.select("_key0", "_key1", "Specialty", "_ambiguous").join(
-        target, (F.col("_key0") == target.Name) & (F.col("_key1") == target.Region), "left"
+class Recorded(Scratch):
+    """A scratch folder that keeps the plans of what is written to it."""
+
+    def __init__(self, spark):
+        super().__init__(spark)
+        self.plans = []
+
+    def write(self, df, metrics=None):
+        self.plans.append(plan(df))
+        return super().write(df, metrics)
+
+
+def test_a_merge_moves_batch_and_target_once(spark, shuffled, tables):
+    scratch = Recorded(spark)
+    month = c.submit_month(F.col("DateSubmitted"))
+    changes = plan_changes(
+        tables(c.CLAIM), tables(c.STG_CLAIM).selectExpr(
+            "1L as PatientID", "2L as ProviderID", "AmountBilled", "AmountPaid", "Status", "DateSubmitted", "DatePaid"
+        ), c.CLAIM_MERGE, datetime(2024, 1, 1), scratch, 1, month,
     )
-    text = plan(joined)
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
-    assert "partial_min" in text and "SortMergeJoin" in text
+    merged = scratch.plans[0]
+    assert len(re.findall(r"FileScan", merged)) == 2 and "FullOuter" in merged
+    assert len(re.findall(r"Exchange", merged)) == 2 and "Aggregate" not in merged
+    # The new content comes from the written merge alone.
+    assert "Join" not in plan(apply_changes(changes)) and "Exchange" not in plan(apply_changes(changes))
+
+
+def test_batches_are_checked_without_a_sort(shuffled, tables):
+    merge = c.patient_merge()
+    staged = tables(c.STG_PATIENT)
+    for df in (key_fingerprints(staged, merge), one_row_per_key(staged, merge, copies=1)):
+        text = plan(df)
+        assert len(re.findall(r"HashAggregate", text)) == 2 and len(re.findall(r"Exchange", text)) == 1
+        assert "Sort" not in text
+    assert "Gender" not in re.search(r"Exchange hashpartitioning.*", plan(key_fingerprints(staged, merge)))[0]
+    assert "Aggregate" not in plan(one_row_per_key(staged, merge, copies=0))
+
+
+def test_dimensions_are_cut_down_before_they_move(spark, shuffled, tables):
+    staged = tables(c.STG_CLAIM)
+    filters = key_filters(staged, c.key_probes(), 0)
+    text = plan(c.resolve_claims(staged, tables(c.PATIENT), tables(c.PROVIDER), filters=filters))
+    assert len(re.findall(r"FileScan", text)) == 3 and len(re.findall(r"Exchange", text)) == 4
+    # Read upwards from each scan: the filter comes before the first exchange.
+    scans = re.split(r"FileScan", text)[:-1]
+    assert sum("getbit" in scan[scan.rindex("Exchange"):] for scan in scans) == 2
 
 
 def test_rules_need_one_pass_and_rejects_no_shuffle(shuffled, tables):

@@ -120,6 +120,24 @@ def test_updates_and_late_dimensions(house, write, spark):
     assert house.tables.state(c.CLAIM).versions == {"2023-12": 1, "2024-01": 1, "2024-02": 2, "2024-03": 2}
 
 
+def test_a_changed_patient_rewrites_one_bucket(house, write, spark, tmp_path):
+    house.run(write())
+    before = dict(house.tables.state(c.PATIENT).versions)
+    assert len(before) > 1 and set(before.values()) == {1}
+    people = {r["PatientID"]: r for r in house.patients().collect()}
+    house.run(write(patients=[*PATIENTS[:3], PATIENTS[3].replace(",F", ",X"), PATIENTS[4]]))
+    after = house.tables.state(c.PATIENT).versions
+    assert sorted(after.values()) == [1] * (len(before) - 1) + [2]
+    changed = [i for i, r in people.items() if r not in house.patients().collect()]
+    assert len(changed) == 1 and people[changed[0]]["FirstName"] == "Ute"
+    assert set(house.tables.state(c.PROVIDER).versions.values()) == {1}
+    # The number of buckets stays what it was, and a smaller batch reads its own buckets only.
+    again = ClaimsWarehouse(spark, house.tables.root, buckets=3)
+    assert again.buckets == house.buckets
+    again.run(write(patients=PATIENTS[:1], claims=CLAIMS[3:4]))
+    assert again.patients().count() == 5 and sorted(again.tables.state(c.PATIENT).versions.values()) == sorted(after.values())
+
+
 def test_retry_of_a_run_replaces_its_rejects(house, write):
     house.run(write(), run_id=5)
     house.run(write(), run_id=5)
@@ -166,7 +184,10 @@ def test_failed_claims_leave_dimensions_updated(house, write, monkeypatch):
     def broken(*_args, **_kw):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(pipeline, "apply_changes", lambda t, ch, m: broken() if m is c.CLAIM_MERGE else t.unionByName(ch.inserted))
+    apply = pipeline.apply_changes
+    monkeypatch.setattr(
+        pipeline, "apply_changes", lambda ch: broken() if "ClaimID" in ch.rows.columns else apply(ch)
+    )
     with pytest.raises(RuntimeError, match="lost"):
         house.run(write())
     assert house.providers().count() == 4 and house.patients().count() == 5

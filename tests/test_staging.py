@@ -2,9 +2,10 @@ import pytest
 
 from millrace.functions.coerce import coerce_types
 from millrace.functions.keys import KeyRule
+from millrace.operators.keyfilter import KeyColumns
 from millrace.schemas import Field, TableSpec, text
 from millrace.sinks.staging import (
-    ROW_SEQUENCE, ContractError, KeyProbe, contract_violations, export_jdbc, load_staging,
+    ROW_SEQUENCE, ContractError, contract_violations, export_jdbc, load_staging,
 )
 from millrace.sources.feeds import FeedError, read_feed
 
@@ -54,7 +55,7 @@ def test_width_is_checked_while_staging(spark, tmp_path):
 
 def test_frequent_keys_are_found_in_the_same_pass(spark, tmp_path):
     data = [("hot", "x", i) for i in range(400)] + [(f"n{i}", "x", i) for i in range(600)]
-    probe = KeyProbe(("name",), ("name",), KeyRule())
+    probe = KeyColumns(("name",), ("name",), KeyRule())
     args = (frame(spark, data), SPEC, str(tmp_path / "stg"), {"name": probe})
     # The session has three shuffle partitions: from a twelfth of the rows on a key is hot.
     assert len(load_staging(*args).hot["name"]) == 1

@@ -15,7 +15,7 @@ from millrace.functions.text import na_to_null, strip_text
 from millrace.operators.ids import assign_ids
 from millrace.operators.quality import evaluate_rules, reject_rows
 from millrace.operators.resolve import fk_violations, resolve_keys
-from millrace.operators.upsert import Merge, one_row_per_key, upsert
+from millrace.operators.upsert import Merge, ambiguous_keys, upsert
 from millrace.plans import audit, reports
 from millrace.plans import claims as c
 from millrace.plans.pipeline import ClaimsWarehouse
@@ -254,7 +254,7 @@ def ambiguous_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     keys = ("l_orderkey", "l_linenumber")
     merge = Merge(keys, tuple(n for n in lines.columns if n not in keys), "line_id", "created_at")
-    return one_row_per_key(lines, merge).filter("_ambiguous").select(*keys)
+    return ambiguous_keys(lines, merge)
 
 
 @query("assign_ids", "M7")
