@@ -62,8 +62,8 @@ def test_line_break_in_quotes(spark, write, rows):
 )
 def test_halves_of_the_right_width_are_not_taken_for_rows(spark, write, rows, text, expected):
     path, names = write(text), ["a", "b", "c"][: len(expected[0])]
-    with pytest.raises(FeedError, match="2 lines have an odd number of quotes"):
-        read_feed(spark, path, names)
+    with pytest.raises(FeedError, match="[12] lines end within one"):
+        read_feed(spark, path, names).checked()
     assert rows(read_feed(spark, path, names, multi_line=True).checked()) == expected
 
 
@@ -73,8 +73,55 @@ def test_made_up_names_do_not_hide_another_order(spark, write, tmp_path, rows, h
     write(f"{header}\r\n7,8,9\r\n", "same.csv")
     assert len(rows(read_feed(spark, str(tmp_path), ["a", "b"]).checked())) == 2
     write(f"{other}\n4,5,6\n", "two.csv")
+    with pytest.raises(Exception, match="CSV header"):
+        read_feed(spark, str(tmp_path), ["a", "b"]).checked()
     with pytest.raises(FeedError, match="2 different headers"):
-        read_feed(spark, str(tmp_path), ["a", "b"])
+        read_feed(spark, str(tmp_path), ["a", "b"], multi_line=True)
+
+
+def test_quotes_within_a_field_are_text(spark, write, rows):
+    path = write('a,b\n1,5" pipe\n2" x 4",board\n"3 ""ft""",6\'2"\n"",""\n"""",x"\n')
+    want = [("1", '5" pipe'), ('"', 'x"'), ('2" x 4"', "board"), ('3 "ft"', "6'2\""), (None, None)]
+    assert rows(read_feed(spark, path, ["a", "b"]).checked()) == sorted(want, key=lambda r: [str(x) for x in r])
+    for text in ('a,b\n1,"5 pipe\n', 'a,b\n"1,""5"" pipe"",x\n', 'a,b\n5",""" open\n'):
+        with pytest.raises(FeedError, match="1 lines end within one"):
+            read_feed(spark, write(text), ["a", "b"]).checked()
+    long = '"' + '""' * 50_000 + '"'
+    assert rows(read_feed(spark, write(f"a,b\n1,{long}\n"), ["a", "b"]).checked()) == [("1", '"' * 50_000)]
+
+
+def test_other_separators_open_fields_too(spark, write, rows):
+    path = write('a|b\n"x|y"|5" pipe\n')
+    assert rows(read_feed(spark, path, ["a", "b"], separator="|").checked()) == [("x|y", '5" pipe')]
+    with pytest.raises(FeedError, match="1 lines end within one"):
+        read_feed(spark, write('a|b\n1|"5\n'), ["a", "b"], separator="|").checked()
+
+
+@pytest.mark.parametrize("encoding", ["windows-1252", "cp1250", "koi8-r", "mac-roman", "latin-1", "utf-8-sig"])
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_any_encoding_of_one_byte(spark, write, rows, encoding, multi_line):
+    letters = bytes(range(0xA1, 0x100)).decode(encoding if "utf" not in encoding else "latin-1", "replace")
+    letters = letters.replace("\ufffd", "").replace("\x85", "").replace("\u2028", "")
+    path = write(f'n,"{letters}"\n1,"{letters},q"\n', encoding=encoding)
+    feed = read_feed(spark, path, [letters.strip(), "n"], encoding=encoding, multi_line=multi_line)
+    assert rows(feed.checked()) == [(letters + ",q", "1")]
+
+
+def test_encodings_of_several_bytes_name_the_setting(spark, write):
+    path = write("a,b\n1,2\n")
+    with pytest.raises(FeedError, match="spark.sql.legacy.javaCharsets"):
+        read_feed(spark, path, ["a"], encoding="gbk")
+
+
+def test_one_scan_reads_and_checks(spark, write):
+    feed = read_feed(spark, write("a,b\n1,2\n"), ["a"])
+    text = feed.df._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Exchange" not in text
+
+
+def test_header_with_marks_of_its_own(spark, write, rows):
+    path = write('`a`,"b ""x"".c"\n1,2\n')
+    assert rows(read_feed(spark, path, ['b "x".c', "`a`"]).checked()) == [("2", "1")]
 
 
 def test_separator_and_encoding(spark, write, rows):
