@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import random
 import time
+import uuid
 from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import append_row
+from millrace.session import append_row, appended_rows
 
 COUNT_COLUMNS = [
     "StgProviderCount", "StgPatientCount", "StgClaimCount",
@@ -64,15 +66,22 @@ def fold_runs(log: DataFrame) -> DataFrame:
 
 
 class RunAudit:
-    """The run log under one path. Each call appends one file; nothing is rewritten."""
+    """The run log under one path. Each call appends one file; nothing is rewritten.
+
+    Ids are claimed by folders ``RunID=n/<token>`` beside the log. A starter puts its own there and
+    then looks who else did. Of two starters the one that looks later sees the other's, so at most
+    one finds itself alone and has the id; the others take a higher one.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
-        spark.createDataFrame([], _LOG).write.mode("ignore").json(path)
+        self.path = f"{path}/events"
+        self._claims = f"{path}/ids"
+        spark.createDataFrame([], _LOG).write.mode("ignore").json(self.path)
+        spark.createDataFrame([], "token string").write.mode("ignore").json(self._claims)
 
     def runs(self) -> DataFrame:
-        return fold_runs(self.spark.read.schema(_LOG).json(self.path))
+        return fold_runs(appended_rows(self.spark, _LOG, self.path))
 
     def _append(self, run_id: int, event: str, **values: object) -> None:
         row = {"RunID": run_id, "Event": event, "Sequence": time.time_ns(), "At": now(), **values}
@@ -80,13 +89,33 @@ class RunAudit:
         append_row(self.spark, columns, self.path)
 
     def start_run(self, run_id: int | None = None) -> int:
-        """Open a run under the next free id, or again under its own id for a retry."""
+        """Open a run under an id of its own, or again under its own id for a retry."""
         if run_id is None:
-            highest = self.spark.read.schema(_LOG).json(self.path).agg(F.max("RunID")).first()[0]
-            run_id = (highest or 0) + 1
+            while not self._claim(run_id := self._highest_id() + 1):
+                time.sleep(random.uniform(0, 1))
+        else:
+            self._claim(run_id)
         self._append(run_id, "START")
         return run_id
 
+    def _claimed(self, path: str) -> DataFrame:
+        """Ids and tokens from the names of files below ``path``; none is opened."""
+        files = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        name = r"/RunID=(\d+)/([0-9a-f]+)/"
+        return files.select(
+            F.regexp_extract("path", name, 1).try_cast("bigint").alias("RunID"),
+            F.regexp_extract("path", name, 2).alias("token"),
+        )
+
+    def _highest_id(self) -> int:
+        return self._claimed(self._claims).agg(F.max("RunID")).first()[0] or 0
+
+    def _claim(self, run_id: int) -> bool:
+        """Whether the id is this starter's alone."""
+        token, path = uuid.uuid4().hex, f"{self._claims}/RunID={run_id}"
+        self.spark.range(0, 1, 1, 1).select(F.lit(token).alias("token")).write.json(f"{path}/{token}")
+        return {row["token"] for row in self._claimed(path).distinct().collect()} == {token}
+
     def update_run_counts(
         self, run_id: int, staged: Mapping[str, int], final: Mapping[str, int], rejects: int
     ) -> None:

@@ -111,10 +111,12 @@ REJECT_CLAIM = TableSpec(
         Field("ResolvedPatientID", "bigint"),
         Field("ResolvedProviderID", "bigint"),
         Field("RunID", "bigint"),
+        Field("IngestMonth", "string", True),
     ),
     id_col="RejectID",
     created_col="IngestedAt",
-    partition_col="RunID",
+    partition_col="IngestMonth",
+    batch_col="RunID",
 )
 
 # Text of the feeds to typed columns.
@@ -258,6 +260,12 @@ def submit_month(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")
 
 
+def reject_counts() -> dict[str, Column]:
+    """Rejects by rule, as metrics of the pass that writes them."""
+    codes = [unresolved_rule().code, *[rule.code for rule in claim_rules()]]
+    return {code: F.count_if(F.col("RuleCode") == code) for code in codes}
+
+
 def stamp_rejects(
     rejects: DataFrame, run_id: int, ingested_at: datetime, sequence: Column, partitions: int, next_id: int
 ) -> DataFrame:
@@ -269,5 +277,6 @@ def stamp_rejects(
             "RejectID": F.lit(next_id) + row_id * rule_count + F.col("RulePosition"),
             "IngestedAt": F.lit(ingested_at).cast("timestamp"),
             "RunID": F.lit(run_id).cast("bigint"),
+            "IngestMonth": F.lit(ingested_at.strftime("%Y-%m")),
         }
     ).select(*REJECT_CLAIM.columns)

@@ -76,20 +76,27 @@ class ClaimsWarehouse:
         return self.table(c.CLAIM)
 
     def rejects(self) -> DataFrame:
-        return self.table(c.REJECT_CLAIM)
+        return self.tables.added(c.REJECT_CLAIM).drop("IngestMonth")
 
     def rejects_of_run(self, run_id: int) -> DataFrame:
-        """The rejects of one run; no other run's folder is listed or read."""
-        self.tables.refresh()
-        return self.tables.snapshot(c.REJECT_CLAIM, [str(run_id)])
+        """The rejects of one run; files of other runs and folders of other months are skipped."""
+        return self.tables.added_by(c.REJECT_CLAIM, run_id).drop("IngestMonth")
+
+    def reject_counts(self) -> DataFrame:
+        """``RunID, IngestDate, RuleCode, RejectCount``, counted when the rejects were written."""
+        return self.tables.batches(c.REJECT_CLAIM).select(
+            F.col("batch").alias("RunID"),
+            F.col("day").alias("IngestDate"),
+            F.explode("counts").alias("RuleCode", "RejectCount"),
+        )
 
     def register_views(self) -> None:
         """The three reports as temporary views for SQL, renewed at the end of every run."""
         self._views = True
-        rejects = self.rejects()
-        reports.rejects_by_date_and_rule(rejects).createOrReplaceTempView("vw_DQ_Claim_Summary")
+        counts = self.reject_counts()
+        reports.summaries_by_date_and_rule(counts).createOrReplaceTempView("vw_DQ_Claim_Summary")
         reports.latest_runs(self.audit.runs()).createOrReplaceTempView("vw_ETL_Run_Summary")
-        reports.rejects_by_run_and_rule(rejects).createOrReplaceTempView("vw_ETL_Run_DQ_Breakdown")
+        reports.summaries_by_run_and_rule(counts).createOrReplaceTempView("vw_ETL_Run_DQ_Breakdown")
 
     # -- steps of a run ---------------------------------------------------------------
 
@@ -180,10 +187,12 @@ class ClaimsWarehouse:
             partitions,
             self.tables.next_id(c.REJECT_CLAIM),
         )
-        part = [str(run_id)]
-        version, rows, max_id = self.tables.write(c.REJECT_CLAIM, rejects, part)
-        written = Written(c.REJECT_CLAIM.name, version, part, max_id=max_id, empty=rows == 0)
-        return [written], rows
+        attempt, found = self.tables.append(c.REJECT_CLAIM, rejects, c.reject_counts())
+        counts = {code: found[code] for code in c.reject_counts() if found[code]}
+        written = Written(
+            c.REJECT_CLAIM.name, attempt, found["parts"], max_id=found["max_id"], batch=run_id, day=at.date(), counts=counts
+        )
+        return [written], found["rows"]
 
     # -- the run ----------------------------------------------------------------------
 

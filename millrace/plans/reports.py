@@ -25,6 +25,15 @@ def rejects_by_run_and_rule(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("RunID", "RuleCode").agg(F.count("*").alias("RejectCount"))
 
 
+def summaries_by_date_and_rule(counts: DataFrame) -> DataFrame:
+    """The same from the counts stored with each run: reads a row per run and rule, no rejects."""
+    return counts.groupBy("IngestDate", "RuleCode").agg(F.sum("RejectCount").alias("RejectCount"))
+
+
+def summaries_by_run_and_rule(counts: DataFrame) -> DataFrame:
+    return counts.select("RunID", "RuleCode", "RejectCount")
+
+
 def latest_runs(runs: DataFrame, count: int = LATEST_RUNS) -> DataFrame:
     """The newest runs, newest first; planned as a top-k, not as a sort of all runs."""
     return runs.orderBy(F.desc("RunID")).limit(count)

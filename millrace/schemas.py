@@ -17,13 +17,18 @@ class Field:
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A table: its columns, its generated id, and the column its files are divided by."""
+    """A table: its columns, its generated id, and the column its files are divided by.
+
+    Rows of a table with a ``batch_col`` are only ever added, a batch at a time; the column
+    names the batch.
+    """
 
     name: str
     fields: tuple[Field, ...]
     id_col: str | None = None
     created_col: str | None = None
     partition_col: str | None = None
+    batch_col: str | None = None
 
     @property
     def columns(self) -> list[str]:

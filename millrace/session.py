@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -88,5 +89,14 @@ def write_observed(
 
 
 def append_row(spark: SparkSession, columns: list[Column], path: str) -> None:
-    """Append one row of literals as one file, which appears whole or not at all."""
-    spark.range(0, 1, 1, 1).select(*columns).write.mode("append").json(path)
+    """Append one row of literals as one file, which appears whole or not at all.
+
+    It gets a folder of its own: writers that share one remove each other's unfinished files.
+    """
+    own = f"{path}/{time.time_ns()}-{uuid.uuid4().hex}"
+    spark.range(0, 1, 1, 1).select(*columns).write.json(own)
+
+
+def appended_rows(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """The rows that ``append_row`` put below ``path``."""
+    return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)

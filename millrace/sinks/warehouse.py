@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from millrace.schemas import TableSpec
-from millrace.session import append_row, write_observed
+from millrace.session import append_row, appended_rows, write_observed
 
 _VERSION = "table_version"  # directory level, kept out of the rows
 WHOLE = ""  # the one partition of a table that has no partition column
 
-_LOG = (
-    "entries array<struct<table: string, version: bigint, parts: array<string>, "
-    "row_count: bigint, max_id: bigint, empty: boolean>>"
-)
+_ATTEMPT = "table_attempt"  # column of added rows, kept out of the rows
+_ENTRY = {
+    "table": "string", "version": "bigint", "parts": "array<string>", "row_count": "bigint",
+    "max_id": "bigint", "empty": "boolean", "batch": "bigint", "day": "date", "counts": "map<string, bigint>",
+}
+_LOG = f"entries array<struct<{', '.join(f'{n}: {kind}' for n, kind in _ENTRY.items())}>>"
 
 
 @dataclass(frozen=True)
@@ -26,7 +30,9 @@ class Written:
     """New content of some partitions, not visible before it is committed.
 
     ``row_count`` is that of the whole table afterwards, ``max_id`` the highest new id.
-    ``empty`` says that the partitions have no rows, and so no files, from now on.
+    ``empty`` says that the partitions have no rows, and so no files, from now on. For rows that
+    are only added, ``batch`` names them, ``version`` the attempt that wrote them, which replaces
+    earlier ones of the batch, and ``counts`` sums them up: rows by a code, on a ``day``.
     """
 
     table: str
@@ -35,6 +41,9 @@ class Written:
     row_count: int | None = None
     max_id: int | None = None
     empty: bool = False
+    batch: int | None = None
+    day: date | None = None
+    counts: Mapping[str, int] = field(default_factory=dict)
 
 
 @dataclass
@@ -82,13 +91,17 @@ class Warehouse:
 
     def log(self) -> DataFrame:
         """One row per commit and table."""
-        return self.spark.read.schema(_LOG).json(self._log_path).select(F.inline("entries"))
+        return appended_rows(self.spark, _LOG, self._log_path).select(F.inline("entries"))
 
     def refresh(self) -> None:
-        """Read the state of all tables: a version per partition, as many as there are."""
+        """Read the state of all tables: a version per partition, as many as there are.
+
+        Batches of added rows are no partitions; of them the log alone keeps a row each.
+        """
         log = self.log()
         latest = (
-            log.select("table", "version", "empty", F.explode("parts").alias("part"))
+            log.filter("batch is null")
+            .select("table", "version", "empty", F.explode("parts").alias("part"))
             .groupBy("table", "part")
             .agg(F.max("version").alias("version"), F.max_by("empty", "version").alias("empty"))
         )
@@ -96,12 +109,14 @@ class Warehouse:
             F.max_by("row_count", "version").alias("row_count"), F.max("max_id").alias("max_id")
         )
         self._state = {}
-        for row in latest.join(totals, "table", "left").collect():
+        for row in totals.join(latest, "table", "left").collect():
             state = self._state.setdefault(row["table"], TableState())
+            state.row_count, state.max_id = row["row_count"] or 0, row["max_id"] or 0
+            if row["part"] is None:
+                continue
             state.versions[row["part"]] = row["version"]
             if row["empty"]:
                 state.empty.add(row["part"])
-            state.row_count, state.max_id = row["row_count"] or 0, row["max_id"] or 0
 
     def state(self, spec: TableSpec) -> TableState:
         return self._state.setdefault(spec.name, TableState())
@@ -124,6 +139,53 @@ class Warehouse:
         schema = StructType([*spec.schema.fields, StructField(_VERSION, IntegerType())])
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop(_VERSION)
 
+    # -- rows that are only added -----------------------------------------------------
+
+    def append(
+        self, spec: TableSpec, df: DataFrame, metrics: Mapping[str, Column] | None = None
+    ) -> tuple[int, dict[str, object]]:
+        """Add the rows of a batch to the folders of their partitions; returns the attempt.
+
+        All batches share these folders, so there are as many as there are partitions. Each file
+        has rows of one batch and attempt, by which readers skip the others.
+        """
+        attempt = time.time_ns()
+        rows = df.select(*spec.columns, F.lit(attempt).alias(_ATTEMPT)).hint("rebalance")
+        observation = Observation()
+        observed = {"rows": F.count(F.lit(1)), "max_id": F.max(spec.id_col), **(metrics or {})}
+        observed["parts"] = F.collect_set(spec.partition_col)
+        rows = rows.observe(observation, *[c.alias(n) for n, c in observed.items()])
+        rows.write.mode("append").partitionBy(spec.partition_col).parquet(self.path(spec.name))
+        return attempt, dict(observation.get)
+
+    def batches(self, spec: TableSpec) -> DataFrame:
+        """One row per batch: the attempt that counts, its partitions, its day and its counts."""
+        newest = F.max_by(F.struct("version", "parts", "day", "counts"), "version").alias("newest")
+        own = self.log().filter((F.col("table") == spec.name) & F.col("batch").isNotNull())
+        return own.groupBy("batch").agg(newest).select("batch", "newest.*")
+
+    def added(self, spec: TableSpec) -> DataFrame:
+        """The rows of all committed batches."""
+        batches = self.batches(spec).select(F.col("batch").alias("_batch"), F.col("version").alias("_version"))
+        visible = (F.col(spec.batch_col) == F.col("_batch")) & (F.col(_ATTEMPT) == F.col("_version"))
+        return self._files(spec).join(batches, visible, "left_semi").drop(_ATTEMPT)
+
+    def added_by(self, spec: TableSpec, batch: int) -> DataFrame:
+        """The rows of one batch, from the folders and files that have some."""
+        found = self.batches(spec).filter(F.col("batch") == batch).first()
+        if found is None or not found["parts"]:
+            return self._files(spec).filter(F.lit(False)).drop(_ATTEMPT)
+        own = (F.col(spec.batch_col) == batch) & (F.col(_ATTEMPT) == found["version"])
+        parts = F.col(spec.partition_col).isin(found["parts"])
+        return self._files(spec).filter(parts & own).drop(_ATTEMPT)
+
+    def _files(self, spec: TableSpec) -> DataFrame:
+        schema = StructType([*spec.schema.fields, StructField(_ATTEMPT, LongType())])
+        self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self.path(spec.name))
+        return self.spark.read.schema(schema).parquet(self.path(spec.name))
+
+    # -- counts, ids, commits ---------------------------------------------------------
+
     def row_count(self, spec: TableSpec) -> int:
         """Rows of a table, known without a scan."""
         return self.state(spec).row_count
@@ -158,22 +220,20 @@ class Warehouse:
         if not written:
             return
         entries = F.array(
-            *[
-                F.struct(
-                    F.lit(w.table).alias("table"),
-                    F.lit(w.version).cast("bigint").alias("version"),
-                    F.lit(list(w.parts)).cast("array<string>").alias("parts"),
-                    F.lit(w.row_count).cast("bigint").alias("row_count"),
-                    F.lit(w.max_id).cast("bigint").alias("max_id"),
-                    F.lit(w.empty).alias("empty"),
-                )
-                for w in written
-            ]
+            *[F.struct(*[_literal(getattr(w, n), kind).alias(n) for n, kind in _ENTRY.items()]) for w in written]
         )
         append_row(self.spark, [entries.alias("entries")], self._log_path)
         for w in written:
             state = self._state.setdefault(w.table, TableState())
-            state.versions.update({part: w.version for part in w.parts})
-            state.empty = state.empty - set(w.parts) | (set(w.parts) if w.empty else set())
+            if w.batch is None:
+                state.versions.update({part: w.version for part in w.parts})
+                state.empty = state.empty - set(w.parts) | (set(w.parts) if w.empty else set())
             state.row_count = w.row_count or 0
             state.max_id = max(state.max_id, w.max_id or 0)
+
+
+def _literal(value: object, kind: str) -> Column:
+    if isinstance(value, Mapping):
+        pairs = [F.lit(x) for pair in value.items() for x in pair]
+        return F.create_map(*pairs).cast(kind) if pairs else F.lit(None).cast(kind)
+    return F.lit(list(value) if isinstance(value, Sequence) and not isinstance(value, str) else value).cast(kind)

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
@@ -42,6 +43,22 @@ def test_failed_run_has_no_counts_and_a_retry_starts_afresh(audit):
     assert audit.start_run() == 8
 
 
+def test_starters_at_the_same_time_get_ids_of_their_own(spark, audit, tmp_path):
+    def start(_):
+        return RunAudit(spark, str(tmp_path / "runs")).start_run()
+
+    with ThreadPoolExecutor(4) as threads:
+        ids = list(threads.map(start, range(8)))
+    assert len(set(ids)) == 8 and audit.runs().count() == 8
+    assert audit.start_run() > max(ids)
+
+
+def test_the_highest_id_comes_from_names(audit, monkeypatch):
+    audit.start_run(41)
+    monkeypatch.setattr(audit, "path", "/nowhere")
+    assert audit._highest_id() == 41
+
+
 def test_unknown_status(audit):
     with pytest.raises(ValueError):
         audit.finish_run(1, "DONE")

@@ -3,10 +3,11 @@
 from datetime import date
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 
 from millrace.plans import claims as c
-from millrace.plans import pipeline
+from millrace.plans import pipeline, reports
 from millrace.plans.audit import COUNT_COLUMNS
 from millrace.plans.pipeline import ClaimsWarehouse, Options
 
@@ -95,7 +96,6 @@ def test_first_and_second_run(house, write, rows, capsys):
     assert house.rejects().select("RejectID").distinct().count() == 12
     assert {r["RunID"] for r in house.rejects_of_run(2).collect()} == {2}
     assert house.rejects_of_run(2).count() == 6 and house.rejects_of_run(3).count() == 0
-    assert len(house.rejects_of_run(2).inputFiles()) < len(house.rejects().inputFiles())
     # An unchanged batch writes no new version of a table.
     assert set(house.tables.state(c.CLAIM).versions.values()) == {1}
     assert set(house.tables.state(c.PROVIDER).versions.values()) == {1}
@@ -168,7 +168,7 @@ def test_failed_runs(house, write, feeds, error):
         house.run(write(**feeds))
     assert counts(house, 1) == ("FAILED", *[None] * 7)
     assert house.audit.runs().first()["EndedAt"] is not None
-    assert house.tables.state(c.CLAIM).versions == house.tables.state(c.REJECT_CLAIM).versions == {}
+    assert house.tables.state(c.CLAIM).versions == {} and house.rejects().count() == 0
 
 
 def test_missing_file_fails_the_run_but_not_the_next(house, write):
@@ -250,6 +250,42 @@ def test_views_follow_the_runs(house, write, spark):
     assert spark.table("vw_ETL_Run_Summary").columns == ["RunID", "StartedAt", "EndedAt", "Status", *COUNT_COLUMNS]
 
 
+def test_runs_share_the_folders_of_their_months(house, write, tmp_path):
+    house.run(write())
+    house.run(write())
+    house.run(write(CLAIMS[:5]))
+    house.run(write(), run_id=1)
+    folder = tmp_path / "warehouse" / "Reject_Claim"
+    months = [p for p in folder.iterdir() if p.is_dir() and "=" in p.name]
+    assert len(months) == len({p.name for p in months}) <= 2
+    for path in folder.glob("*/*.parquet"):
+        stats = pq.ParquetFile(path).metadata.row_group(0)
+        columns = {stats.column(i).path_in_schema: stats.column(i).statistics for i in range(stats.num_columns)}
+        assert columns["RunID"].min == columns["RunID"].max
+        assert columns["table_attempt"].min == columns["table_attempt"].max
+    own = house.rejects_of_run(2)
+    text = own._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(RunID,2)" in text and "Join" not in text
+    assert "PartitionFilters: [isnotnull(IngestMonth" in text or "PartitionFilters: [IngestMonth" in text
+    assert own.count() == 6 and house.rejects_of_run(3).count() == 0
+    assert house.rejects_of_run(1).count() == 6 and house.rejects().count() == 12
+    # The driver holds nothing per run.
+    assert house.tables.state(c.REJECT_CLAIM).versions == {}
+
+
+def test_reports_come_from_stored_counts(house, write, rows, spark):
+    house.run(write())
+    house.run(write([*CLAIMS, BAD_STATUS]))
+    house.run(write(CLAIMS[:5]), run_id=1)
+    counts = house.reject_counts()
+    assert "Reject_Claim" not in " ".join(counts.inputFiles())
+    by_date = reports.summaries_by_date_and_rule(counts)
+    assert rows(by_date, "IngestDate", "RuleCode", "RejectCount") == rows(
+        reports.rejects_by_date_and_rule(house.rejects()), "IngestDate", "RuleCode", "RejectCount"
+    )
+    assert rows(reports.summaries_by_run_and_rule(counts)) == rows(reports.rejects_by_run_and_rule(house.rejects()))
+
+
 def test_all_claims_rejected_then_none(house, write):
     house.run(write([NO_PROVIDER, NO_PATIENT, BAD_STATUS]))
     assert counts(house, 1)[6:] == (0, 3)
