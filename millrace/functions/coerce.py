@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,6 +73,24 @@ def to_timestamp(c: Column, pattern: str = DATE_PATTERN, nanoseconds: bool = Fal
     return _in_nanoseconds(F.try_to_timestamp(c.cast("string"), F.lit(pattern)), nanoseconds)
 
 
+def vote_date_patterns(df: DataFrame, columns: Sequence[str], patterns: Sequence[str]) -> dict[str, str]:
+    """For each column of text the pattern that fits most of its values, in one aggregate.
+
+    All values vote, so neither their order nor a stray first value decides. Of patterns that fit
+    equally many the first one listed is taken, also if none fits anything.
+    """
+    votes = [
+        F.count_if(F.try_to_timestamp(F.col(f"`{c}`").cast("string"), F.lit(p)).isNotNull()).alias(f"v{i}_{j}")
+        for i, c in enumerate(columns)
+        for j, p in enumerate(patterns)
+    ]
+    found = df.agg(*votes).first()
+    return {
+        c: max(enumerate(patterns), key=lambda jp: (found[f"v{i}_{jp[0]}"], -jp[0]))[1]
+        for i, c in enumerate(columns)
+    }
+
+
 def coerce_column(
     c: Column,
     target: str,
@@ -97,17 +116,19 @@ def coerce_types(
     df: DataFrame,
     mapping: dict[str, str],
     null_text: str | None = None,
-    date_pattern: str = DATE_PATTERN,
+    date_pattern: str | Mapping[str, str] = DATE_PATTERN,
     nanoseconds: bool = False,
 ) -> DataFrame:
     """Coerce the mapped columns in one projection; columns that are absent are skipped.
 
     Targets: ``str``, ``float``, ``int``, ``decimal(p,s)``, ``date``, ``datetime...``;
-    anything else is read as ``str``.
+    anything else is read as ``str``. ``date_pattern`` may differ by column, see
+    ``vote_date_patterns``.
     """
+    patterns = {c: date_pattern if isinstance(date_pattern, str) else date_pattern.get(c, DATE_PATTERN) for c in mapping}
     return df.select(
         *[
-            coerce_column(F.col(f"`{c}`"), mapping[c], null_text, date_pattern, nanoseconds).alias(c)
+            coerce_column(F.col(f"`{c}`"), mapping[c], null_text, patterns[c], nanoseconds).alias(c)
             if c in mapping
             else F.col(f"`{c}`")
             for c in df.columns

@@ -61,12 +61,13 @@ class Merge:
 class Changes:
     """A written merge: the rows the target had, with new values, and the rows to add.
 
-    ``parts`` are the partitions of the target that get other content, ``part`` computes the
+    ``changed`` are the keys and values of updated and new rows. ``parts`` are the partitions of the target that get other content, ``part`` computes the
     partition of a row.
     """
 
     rows: DataFrame
     inserted: DataFrame
+    changed: DataFrame
     updated_rows: int
     inserted_rows: int
     parts: list[str]
@@ -227,7 +228,8 @@ def plan_changes(
         F.lit(created_at).cast("timestamp").alias(merge.created_col),
     )
     rows = merged.filter(F.col(_STATE) != _NEW).drop(_STATE)
-    return Changes(rows, inserted, found["updated"], found["new"], sorted(found["parts"]), part)
+    differing = merged.filter(changed).select(*merge.source_cols)
+    return Changes(rows, inserted, differing, found["updated"], found["new"], sorted(found["parts"]), part)
 
 
 def merged_rows(changes: Changes) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
@@ -10,9 +10,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.coerce import DATE_PATTERN, coerce_types
+from millrace.functions.coerce import DATE_PATTERN, coerce_types, vote_date_patterns
 from millrace.operators.keyfilter import key_filters
 from millrace.operators.quality import BROKEN_RULES
+from millrace.operators.resolve import fk_violations
 from millrace.operators.upsert import Changes, Merge, apply_changes, plan_changes
 from millrace.plans import claims as c
 from millrace.plans import reports
@@ -24,6 +25,10 @@ from millrace.sinks.warehouse import Warehouse, Written
 from millrace.sources.feeds import WIDTH, Feed, read_feed
 
 
+class MissingReferenceError(ValueError):
+    """Claims name patients or providers that are not there."""
+
+
 #: Parts of a dimension table in a new warehouse.
 DIMENSION_BUCKETS = 16
 
@@ -34,12 +39,15 @@ _FEEDS = {"providers": c.STG_PROVIDER, "patients": c.STG_PATIENT, "claims": c.ST
 class Options:
     """``null_text_*`` replace missing text in plain and in repaired feeds; NULL if not set.
 
-    ``nanosecond_dates`` turns dates outside 1677-09-22 to 2262-04-11 into NULL.
+    ``nanosecond_dates`` turns dates outside 1677-09-22 to 2262-04-11 into NULL. With
+    ``date_patterns`` each date column is read by the one that fits most of its values, which
+    takes a scan of the feed of its own; without it ``date_pattern`` holds for all.
     """
 
     fold_case: bool = False
     multi_line: bool = False
     date_pattern: str = DATE_PATTERN
+    date_patterns: Sequence[str] = ()
     nanosecond_dates: bool = False
     separator: str = ","
     encoding: str = "UTF-8"
@@ -110,9 +118,11 @@ class ClaimsWarehouse:
             encoding=options.encoding,
         )
         null_text = options.null_text_repaired if feed.repaired else options.null_text_plain
-        typed = coerce_types(
-            feed.df, c.TYPES[spec.name], null_text, options.date_pattern, options.nanosecond_dates
-        )
+        types, pattern = c.TYPES[spec.name], options.date_pattern
+        dates = [name for name, kind in types.items() if kind == "date"]
+        if options.date_patterns and dates:
+            pattern = vote_date_patterns(feed.df, dates, options.date_patterns)
+        typed = coerce_types(feed.df, types, null_text, pattern, options.nanosecond_dates)
         feed = Feed(typed.select(*spec.columns, WIDTH), feed.header_width, feed.repaired)
         path = self.tables.path("staging", spec.name)
         if spec is c.STG_CLAIM:
@@ -171,10 +181,29 @@ class ClaimsWarehouse:
             self.tables.next_id(c.CLAIM),
             month,
         )
+        self._check_references(changes.changed)
         merged = apply_changes(changes).withColumn("SubmitMonth", month)
         self.tables.commit([*reject_table, *self._write_changes(c.CLAIM, changes, merged)])
         return rejects
 
+    def missing_references(self, claims: DataFrame) -> DataFrame:
+        """``Reference, MissingID, row_count``: ids in claims that the dimensions do not have."""
+        missing = [
+            fk_violations(claims, self.tables.snapshot(spec), spec.id_col, spec.id_col).select(
+                F.lit(spec.name).alias("Reference"), F.col(spec.id_col).alias("MissingID"), "row_count"
+            )
+            for spec in (c.PATIENT, c.PROVIDER)
+        ]
+        return missing[0].unionByName(missing[1])
+
+    def _check_references(self, changed: DataFrame) -> None:
+        """Updated and new claims must name rows that exist; the others were checked before."""
+        missing = self.missing_references(changed)
+        found = missing.agg(F.sum("row_count").alias("rows"), F.count("*").alias("ids")).first()
+        if found["ids"]:
+            sample = "; ".join(f"{r['Reference']} {r['MissingID']}" for r in missing.limit(20).collect())
+            raise MissingReferenceError(f"{found['rows']} references to {found['ids']} missing rows, such as {sample}")
+
     def _write_rejects(
         self, evaluated: DataFrame, partitions: int, run_id: int, at: datetime
     ) -> tuple[list[Written], int]:

@@ -14,8 +14,8 @@ DATA = Path("/root/testdata/sf0.001")
 ROOT = Path(__file__).resolve().parent.parent
 needs_data = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
 
-# Operators without a query: only a failing run, and only another database, can show them.
-TESTED_ELSEWHERE = {"A7": "test_runs.py", "K8": "test_staging.py"}
+# Operators without a query: they end in an error, or need another database.
+TESTED_ELSEWHERE = {"S6": "test_feeds.py", "K3": "test_staging.py", "K8": "test_staging.py"}
 
 
 def test_every_query_has_an_oracle_and_is_known_to_the_benchmark():
@@ -42,7 +42,8 @@ def test_flagship(spark):
     "name",
     ["resolve_hot_keys", "rejects_all", "valid_claims", "upsert_dim_null_key", "upsert_fact_dq",
      "ambiguous_keys", "assign_ids", "coerce_numbers", "trim_text", "read_wrapped_feed",
-     "contract_violations", "audit_counters"],
+     "contract_violations", "audit_counters", "coerce_datetimes", "read_many_files", "read_delimited_feed",
+     "read_multiline_feed"],
 )
 def test_against_sql(spark, name):
     con = duckdb.connect()

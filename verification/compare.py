@@ -7,6 +7,7 @@ import math
 import sys
 import time
 from collections import Counter
+from decimal import Decimal
 from pathlib import Path
 
 import duckdb
@@ -19,9 +20,10 @@ from verification.queries import QUERIES
 def _value(v: object) -> str:
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
-    if isinstance(v, (int, float)) and not isinstance(v, bool):
-        return f"{float(v):.6g}" if abs(v) < 1e5 else f"{float(v):.2f}"
-    return str(v)
+    if isinstance(v, (float, Decimal)):
+        return repr(float(v))
+    # Whole numbers and booleans by their value, whatever their width.
+    return repr(float(v)) if isinstance(v, int) and abs(v) < 2**53 else str(v)
 
 
 def _digest(names: list[str], rows: list[tuple]) -> tuple[list[str], Counter]:

@@ -267,6 +267,10 @@ FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVIN
   WHEN o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT'
     THEN CASE WHEN o_orderkey % 2 = 0 THEN '9999-12-31' ELSE '1600-01-01' END
   ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day FROM orders""",
+    "coerce_datetimes": """SELECT o_orderkey,
+  CASE WHEN o_orderstatus <> 'P' THEN strftime(CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+    + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60), '%Y-%m-%d %H:%M:%S') END AS at,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders""",
     "trim_text": f"SELECT doc_id, trim(text, {_WHITESPACE}) AS text FROM documents",
     "na_tokens": """SELECT event_id, CASE event_type WHEN 'purchase' THEN props WHEN 'click' THEN ' NA '
   END AS cell FROM events""",
@@ -275,6 +279,14 @@ FROM (SELECT DISTINCT * FROM lineitem) d GROUP BY l_orderkey, l_linenumber HAVIN
 FROM lineitem""",
     "read_wrapped_feed": _TYPED_CLAIMS,
     "read_plain_feed": _TYPED_CLAIMS,
+    "read_bom_feed": "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority FROM orders",
+    "read_many_files": """SELECT event_type || ' \u20ac' AS event_kind, CAST(event_id AS VARCHAR) AS event_number
+FROM events""",
+    "read_delimited_feed": """SELECT CAST(o_orderkey AS VARCHAR) AS key,
+  CAST(o_orderkey % 90 AS VARCHAR) || '" x ' || o_orderpriority AS size,
+  CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS status FROM orders""",
+    "read_multiline_feed": """SELECT CAST(doc_id AS VARCHAR) AS doc, CASE WHEN text <> '' THEN text END AS text
+FROM documents""",
     "contract_violations": f"""WITH {_CLAIMS}, c AS (
   SELECT COUNT(*) FILTER (WHERE Status = 'paid') AS no_provider,
          COUNT(*) FILTER (WHERE AmountBilled <= 0) AS no_amount,
@@ -316,4 +328,23 @@ SELECT CAST(run AS BIGINT) AS RunID, 'SUCCESS' AS Status, p AS StgProviderCount,
   t AS StgPatientCount, s AS StgClaimCount, p AS ProviderCount, t AS PatientCount,
   v AS ClaimCount, r AS RejectTotal
 FROM n, (VALUES (1), (2)) x(run)""",
+    "run_result": f"""WITH {_RUN_TABLES}, n AS (
+  SELECT (SELECT COUNT(*) FROM valid) AS v, (SELECT COUNT(*) FROM rejects) AS r)
+SELECT CAST(1 AS BIGINT) AS RunID, 'SUCCESS' AS Status, v AS ClaimCount, r AS RejectTotal,
+  'Run 1 complete. Final Claim rows: ' || v || '. Rejects this run: ' || r AS Message FROM n""",
+    "run_failed": f"""WITH {_RUN_TABLES}
+SELECT CAST(1 AS BIGINT) AS RunID, 'FAILED' AS Status, TRUE AS Timely, CAST(NULL AS BIGINT) AS StgClaimCount,
+  CAST(NULL AS BIGINT) AS ClaimCount, CAST(NULL AS BIGINT) AS RejectTotal, CAST(0 AS BIGINT) AS LeftByFailure
+UNION ALL
+SELECT 2, 'SUCCESS', TRUE, (SELECT COUNT(*) FROM stg), (SELECT COUNT(*) FROM valid),
+  (SELECT COUNT(*) FROM rejects), NULL""",
+    "run_reject_summary": f"""WITH {_RUN_TABLES}
+SELECT CAST(run AS BIGINT) AS RunID, RuleCode, COUNT(*) AS RejectCount
+FROM rejects, (VALUES (1), (2)) x(run) GROUP BY 1, 2""",
+    "run_fk_check": f"""WITH {_RUN_TABLES}
+SELECT 'Provider' AS Reference, ProviderID AS MissingID, COUNT(*) AS row_count
+FROM valid WHERE ProviderID % 7 = 0 GROUP BY ProviderID""",
+    "added_column": f"""SELECT event_id AS RejectID, UPPER(event_type) AS RuleCode,
+  CAST(CAST(ts AS DATE) AS VARCHAR) AS Day,
+  CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-15' THEN {_EVENT_RUN} END AS RunID FROM events""",
 }
