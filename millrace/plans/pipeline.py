@@ -246,10 +246,13 @@ class ClaimsWarehouse:
                 providers, patients, claims = threads.map(
                     lambda name: self.stage(_FEEDS[name], feeds[name], options), _FEEDS
                 )
-            self.upsert_dimension(
-                c.PROVIDER, providers, c.provider_merge(options.fold_case), at, scratch
+            # Nor do the dimensions.
+            dimensions = (
+                (c.PROVIDER, providers, c.provider_merge(options.fold_case)),
+                (c.PATIENT, patients, c.patient_merge(options.fold_case)),
             )
-            self.upsert_dimension(c.PATIENT, patients, c.patient_merge(options.fold_case), at, scratch)
+            with ThreadPoolExecutor(len(dimensions)) as threads:
+                list(threads.map(lambda d: self.upsert_dimension(*d, at, scratch), dimensions))
             rejects = self.upsert_claims(claims, run_id, at, options, scratch)
             staged = {"provider": providers.rows, "patient": patients.rows, "claim": claims.rows}
             final = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import time
 import uuid
@@ -56,14 +57,14 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{scratch_root(spark)}/millrace-{uuid.uuid4().hex}"
-        self._tables = 0
+        self._numbers = itertools.count()
 
     def write(
         self, df: DataFrame, metrics: dict[str, Column] | None = None
     ) -> tuple[DataFrame, dict[str, object]]:
         """Write ``df`` once, returning the written table and metrics of that same pass."""
-        path = f"{self.path}/t{self._tables}"
-        self._tables += 1
+        # Steps that do not depend on each other write at the same time: taking a number is atomic.
+        path = f"{self.path}/t{next(self._numbers)}"
         return write_observed(df, path, metrics)
 
     def drop(self) -> None:

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.coerce import coerce_types
+from millrace.functions.coerce import coerce_types, vote_date_patterns
 from millrace.functions.text import WHITESPACE, strip_text
 
 
@@ -103,3 +103,15 @@ def test_all_columns_in_one_projection(spark):
     assert out.columns == df.columns
     assert tuple(out.first()) == (1, "a", date(2025, 1, 1), "z")
     assert [f.dataType.simpleString() for f in out.schema] == ["bigint", "string", "date", "string"]
+
+
+def test_patterns_are_voted_on(spark):
+    raw = [("1.2.2024", "2/1/2024", "x"), ("13.2.2024", "2024-01-02", None), ("2024-02-14", "2024-01-03", ""), (None, None, "y")]
+    df = spark.createDataFrame(raw, "a string, b string, c string")
+    patterns = ["yyyy-M-d", "d.M.yyyy", "M/d/yyyy"]
+    found = vote_date_patterns(df, ["a", "b", "c"], patterns)
+    assert found == {"a": "d.M.yyyy", "b": "yyyy-M-d", "c": "yyyy-M-d"}
+    got = coerce_types(df, {"a": "date", "b": "datetime64[ns]"}, date_pattern=found)
+    assert sum(r["a"] is not None for r in got.collect()) == 2
+    assert got.schema["b"].dataType.typeName() == "timestamp"
+    assert vote_date_patterns(df.limit(0), ["a"], patterns) == {"a": "yyyy-M-d"}

@@ -1,10 +1,12 @@
 """Whole runs over small feeds in the wrapped form: every value of a line in one quoted field."""
 
+import re
 from datetime import date
 from decimal import Decimal
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.plans import claims as c
 from millrace.plans import pipeline, reports
@@ -211,6 +213,26 @@ def test_case_insensitive_keys(house, write):
     assert counts(house, 1)[6:] == (6, 6)
 
 
+def test_missing_references_stop_a_run(house, write, monkeypatch):
+    house.run(write())
+    resolve = c.resolve_claims
+
+    def astray(*args, **kw):
+        return resolve(*args, **kw).withColumn("ProviderID", F.when(F.col("AmountBilled") > 99, 77).otherwise(F.col("ProviderID")))
+
+    monkeypatch.setattr(c, "resolve_claims", astray)
+    with pytest.raises(ValueError, match="2 references to 1 missing rows, such as Provider 77"):
+        house.run(write())
+    assert counts(house, 2)[0] == "FAILED" and house.claims().count() == 6 and house.rejects().count() == 6
+    assert house.missing_references(house.claims()).count() == 0
+
+
+def test_date_patterns_are_chosen_by_most_values(house, write):
+    turned = [re.sub(r"(\d{4})-(\d\d)-(\d\d)", r"\3.\2.\1", line) for line in CLAIMS]
+    house.run(write(turned), options=Options(date_patterns=("yyyy-M-d", "M/d/yyyy", "d.M.yyyy")))
+    assert counts(house, 1) == ("SUCCESS", *LOADED) and by_rule(house, 1) == EXPECTED
+
+
 def test_unknown_birth_dates(house, write):
     patients = [line.replace("2010-03-01", "") for line in PATIENTS]
     claims = [GOOD.replace("2010-03-01", "1900-01-01"), *CLAIMS[1:]]
