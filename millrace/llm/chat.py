@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from millrace.llm.arrow import flat_text
 
 _OPEN, _BREAK, _CLOSE = b"<|im_start|>", b"\n", b"<|im_end|>\n"
+#: Longer segments are copied by themselves: indices take 16 times their bytes.
+_LONG = 1 << 12
 _TURN = re.compile(rb"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.S)
 
 FORMATTED = (
@@ -63,9 +65,14 @@ def _escaped(batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array]:
 
 
 def _scatter(out: np.ndarray, at: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> None:
-    """Copy segment i of ``data`` to ``out[at[i]:]``, all segments at once."""
+    """Copy segment i of ``data`` to ``out[at[i]:]``: short ones all at once, long ones each."""
     lengths = np.diff(offsets)
-    out[np.arange(len(data)) + np.repeat(at - offsets[:-1], lengths)] = data
+    for i in np.flatnonzero(lengths > _LONG):
+        out[at[i] : at[i] + lengths[i]] = data[offsets[i] : offsets[i + 1]]
+    short = np.flatnonzero(lengths <= _LONG)
+    size = lengths[short]
+    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[within + np.repeat(at[short], size)] = data[within + np.repeat(offsets[:-1][short], size)]
 
 
 def _assemble(
@@ -147,12 +154,16 @@ def format_chats(conversations: DataFrame, piece_bytes: int = 16 << 20) -> DataF
             if cut:
                 yield _runs(held.slice(0, cut), change[:-1], number, True, schema)
                 held, number = held.slice(cut), 0
-            if pc.sum(pc.fill_null(pc.binary_length(held["text"]), 0)).as_py() > piece_bytes:
+            # Its last turn always stays, so that a piece ends it; a turn is never cut.
+            if held.num_rows > 1 and _text_bytes(held) > piece_bytes:
                 yield _runs(held.slice(0, held.num_rows - 1), np.zeros(0, np.int64), number, False, schema)
                 held, number = held.slice(held.num_rows - 1), number + 1
         if held is not None and held.num_rows:
             yield _runs(held, np.zeros(0, np.int64), number, True, schema)
 
+    def _text_bytes(table: pa.Table) -> int:
+        return pc.sum(pc.fill_null(pc.binary_length(table["text"]), 0)).as_py()
+
     def _changes(ids: pa.Array) -> np.ndarray:
         same = pc.equal(ids[1:], ids[:-1]) if len(ids) > 1 else pa.array([], pa.bool_())
         both_null = pc.and_(pc.is_null(ids[1:]), pc.is_null(ids[:-1])) if len(ids) > 1 else same

@@ -43,6 +43,35 @@ def test_chats_read_back_whole(spark):
     assert chat.chat_digests(chat.format_chats(frame.limit(0))).count() == 0
 
 
+def test_long_turns_keep_conversations_apart(spark):
+    """A turn longer than a piece, alone, first, last, and after a short conversation."""
+    def digests(rows, **options):
+        frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1)
+        return {r.conv_id: r for r in chat.chat_digests(chat.format_chats(frame, **options)).collect()}
+
+    def expected(turns):
+        whole = "".join(f"{role}\n{text}\n" for _, _, role, text in turns)
+        loss = "".join(text for _, _, role, text in turns if role == "assistant")
+        return len(turns), hashlib.sha256(whole.encode()).hexdigest(), hashlib.sha256(loss.encode()).hexdigest()
+
+    big = "y " * 9_000_000
+    rows = [(1, 0, "assistant", big)]
+    got = digests(rows)[1]
+    assert (got.n_turns, got.turns_sha256, got.loss_sha256) == expected(rows)
+    long = "z<|" * 2000
+    rows = [(1, 0, "user", "hi"), (2, 0, "assistant", long), (3, 0, "user", "a"), (3, 1, "assistant", long),
+            (3, 2, "user", "b"), (4, 0, "user", long), (4, 1, "assistant", "c"), (5, 0, "assistant", long),
+            (5, 1, "assistant", long), (6, 0, "user", "d")]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        found = digests(rows, piece_bytes=2000)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for conv in range(1, 7):
+        r = found[conv]
+        assert (r.n_turns, r.turns_sha256, r.loss_sha256) == expected([t for t in rows if t[0] == conv]), conv
+
+
 ODD_TEXTS = ["", " ", "   a", "a  b ", "é日本😀\x00", "<s></s><unk><0x41>", "▁x ▁", "\n\t\r", "x" * 500, "a b " * 40_000, None]
 
 
