@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import chunks, flat_text, hash_words, mix, split_words
 from millrace.llm.bloom import Bloom, build_bloom
+from millrace.llm.names import fresh
 from millrace.session import Scratch
 
 #: In 15 aligned tokens any 3 substitutions, and in 20 any 4, leave some place of some mask
@@ -243,9 +244,6 @@ _FOUND = pa.schema(
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **options: object) -> DataFrame:
     """The documents that hold no part of an item; all columns stay."""
-    found = find_contamination(documents, benchmark, **options).select(
-        F.col("doc_id").alias("_found_id")
-    )
-    return documents.join(
-        found.distinct(), F.col("doc_id").eqNullSafe(F.col("_found_id")), "left_anti"
-    )
+    (found_id,) = fresh(documents.columns, "_found_id")
+    found = find_contamination(documents, benchmark, **options).select(F.col("doc_id").alias(found_id))
+    return documents.join(found.distinct(), F.col("doc_id").eqNullSafe(F.col(found_id)), "left_anti")

@@ -2,14 +2,15 @@
 
 Lines are compared without white space at their ends; blank lines are left alone. A line's
 character shingles fill a one-permutation MinHash signature; empty bins borrow from the next
-filled one. Lines that agree in a band of the signature are candidates: they are linked to
-the least line of their bucket, and the components of these links bring together whatever
-may be similar. Each such component is verified: shingle sets are compared exactly, and
-lines with a Jaccard similarity of at least ``similarity`` are linked. Within a component
-each line is compared once with the lines that are not yet linked, so a tight group of n
-lines takes about n comparisons and no pairs leave the task. A large component is cut into
-slices of ``slice_chars``, and each pair of slices is a task's group. The components of the
-verified links keep one line each: the first by doc_id (null last), then by place.
+filled one. Lines that agree in a band of the signature are candidates, and meet in the bucket of that
+band; buckets with the same lines as another one are left out. In a bucket shingle sets are
+compared exactly, and lines with a Jaccard similarity of at least ``similarity`` are linked.
+Each line is compared once with the lines that are not yet linked, so a tight group of n
+lines takes about n comparisons, and in a large bucket only with those that share one of its
+rarer shingles, as any similar line does; no pairs leave the task. A large bucket is cut into
+slices of ``slice_chars``, and each pair of slices is a task's group. Distributed union-find
+over the verified links gives the components, and each keeps one line: the first by doc_id
+(null last), then by place.
 
 Defined results: a null text stays null and has no lines; a line shorter than ``shingle`` has
 one shingle, itself; rows equal in doc_id and text count as one document and get the same
@@ -32,6 +33,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from millrace.llm.arrow import chunks, flat_text, mix
 from millrace.llm.bloom import Bloom, build_bloom
 from millrace.llm.components import connected_components
+from millrace.llm.names import fresh, named
 from millrace.llm.substrings import _window_hash
 from millrace.session import Scratch
 
@@ -180,21 +182,65 @@ def _texts(docs: DataFrame, bloom: Bloom) -> DataFrame:
     return docs.select("text").mapInArrow(run, "id binary, line string")
 
 
+#: Groups of more lines are compared by way of their rarer shingles.
+_FEW = 64
+
+
+class _RareShingles:
+    """For each line the lines that share one of its rarer shingles.
+
+    Ordered by how often they occur, any two sets of similarity s share one of their first
+    ``n - ceil(s n) + 1`` shingles. Lines that are linked leave the lists as they are read.
+    """
+
+    def __init__(self, values: np.ndarray, sizes: np.ndarray, similarity: float):
+        _, codes, counts = np.unique(values, return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        order = np.lexsort((codes, counts[codes], owner))
+        codes = codes[order]
+        first = np.cumsum(sizes) - sizes
+        place = np.arange(len(codes)) - first[owner]
+        prefix = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
+        kept = (place < prefix[owner]) & (counts[codes] > 1)
+        codes, owner = codes[kept], owner[kept]
+        bounds = np.searchsorted(owner, np.arange(len(sizes) + 1))
+        self.own = [codes[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+        order = np.argsort(codes, kind="stable")
+        known, start = np.unique(codes[order], return_index=True)
+        self.lists = dict(zip(known.tolist(), np.split(owner[order], start[1:])))
+
+    def near(self, line: int, group: np.ndarray) -> np.ndarray:
+        found = []
+        for code in self.own[line]:
+            lines = self.lists.get(code)
+            if lines is None:
+                continue
+            lines = lines[group[lines] < 0]
+            if len(lines):
+                self.lists[code] = lines
+                found.append(lines)
+            else:
+                del self.lists[code]
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
 def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndarray:
     """For each line the first line that a chain of similar lines connects it with."""
     hashes, bounds = _shingles(texts, shingle)
     sets = [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     first = np.concatenate([[0], np.cumsum(sizes)])
     values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     group = np.full(len(texts), -1)
-    rest = np.arange(len(texts))
-    while len(rest):
-        start, rest = rest[0], rest[1:]
+    rare = _RareShingles(values, sizes, similarity) if len(texts) > _FEW else None
+    for start in range(len(texts)):
+        if group[start] >= 0:
+            continue
         group[start] = start
         queue = [start]
-        while queue and len(rest):
+        while queue:
             pivot = queue.pop()
+            rest = np.flatnonzero(group < 0) if rare is None else rare.near(pivot, group)
             near = (sizes[rest] >= similarity * sizes[pivot]) & (sizes[pivot] >= similarity * sizes[rest])
             near = rest[near]
             if not len(near):
@@ -208,22 +254,21 @@ def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndar
             linked = near[common >= similarity * (counts + sizes[pivot] - common) - 1e-9]
             group[linked] = start
             queue.extend(linked.tolist())
-            rest = rest[group[rest] < 0]
     return group
 
 
 def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links ``a, b`` of similar lines from ``root, i, j, id, line``."""
+    """Links ``a, b`` of similar lines from ``band, i, j, id, line``."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[str]]]:
         held, ids, texts = None, [], []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("root", "i", "j", "id", "line")]
-            for root, i, j, line_id, line in zip(*columns, strict=True):
-                if (root, i, j) != held:
+            columns = [batch.column(c).to_pylist() for c in ("band", "i", "j", "id", "line")]
+            for band, i, j, line_id, line in zip(*columns, strict=True):
+                if (band, i, j) != held:
                     if len(ids) > 1:
                         yield ids, texts
-                    held, ids, texts = (root, i, j), [], []
+                    held, ids, texts = (band, i, j), [], []
                 ids.append(line_id)
                 texts.append(line)
         if len(ids) > 1:
@@ -242,7 +287,7 @@ def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    keys = ["root", "i", "j"]
+    keys = ["band", "i", "j"]
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
 
 
@@ -257,37 +302,50 @@ def line_components(
 ) -> DataFrame:
     """``node, root``: ids of lines that are similar to another one, and their component."""
     by_band = Window.partitionBy("band")
-    links = (
+    shared = (
         _bands(docs, shingle, bands, rows)
-        .withColumn("least", F.min("id").over(by_band))
-        .filter("id <> least")
-        .select(F.col("id").alias("a"), F.col("least").alias("b"))
+        .withColumns({"least": F.min("id").over(by_band), "most": F.max("id").over(by_band)})
+        .filter("least <> most")
+        .select("band", "id")
+        .distinct()
     )
-    near, found = scratch.write(connected_components(links, scratch), {"n": F.count("*")})
-    # The function of this name is XXH64 with the seed 42.
-    bloom = build_bloom(near.select(F.xxhash64("node")), found["n"])
-    lines = (
-        _texts(docs, bloom)
-        .join(near, F.col("id") == F.col("node"))
-        .select("id", "root", "line")
-        .dropDuplicates(["id"])
+    shared, _ = scratch.write(shared)
+    # Close lines agree in most bands: of buckets with the same lines one is enough.
+    same = ["n", "x", "y"]
+    buckets = (
+        shared.groupBy("band")
+        .agg(
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("id")).alias("x"),
+            F.bit_xor(F.xxhash64(F.lit("second"), "id")).alias("y"),
+        )
+        .groupBy(*same)
+        .agg(F.min("band").alias("band"))
+        .drop(*same)
     )
-    lines, _ = scratch.write(lines)
-    sizes = lines.groupBy("root").agg(
+    members, _ = scratch.write(shared.join(buckets, "band"))
+    wanted, found = scratch.write(members.select("id").distinct(), {"n": F.count("*")})
+    # The function of this name is XXH64 with the seed 42.
+    bloom = build_bloom(wanted.select(F.xxhash64("id")), found["n"])
+    lines = _texts(docs, bloom).dropDuplicates(["id"])
+    placed, _ = scratch.write(members.join(lines, "id").select("band", "id", "line"))
+    sizes = placed.groupBy("band").agg(
         F.ceil(F.sum(F.length("line")) / F.lit(slice_chars)).alias("slices")
     )
-    members = (
-        lines.join(sizes, "root")
+    sliced = (
+        placed.join(sizes, "band")
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("slices")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-        .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "line")
+        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "line")
     )
-    return connected_components(_verified(members, shingle, similarity), scratch)
+    return connected_components(_verified(sliced, shingle, similarity), scratch)
 
 
 def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
     """``df`` with the repeated lines of ``text`` removed, and ``n_lines, n_removed``."""
     scratch = Scratch(df.sparkSession)
+    names = [c for c in df.columns if c.lower() not in ("n_lines", "n_removed")]
+    k1, k2, gone_col = fresh(names, "_k1", "_k2", "_removed")
     keys = {"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit("second"), "text", "doc_id")}
     keyed = df.select("doc_id", "text").withColumns(keys)
     components = line_components(df, scratch, **options)
@@ -307,13 +365,12 @@ def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
     removed = (
         places.join(kept, "root")
         .filter(~F.col("place").eqNullSafe(F.col("kept")))
-        .groupBy(F.col("place.k1").alias("_k1"), F.col("place.k2").alias("_k2"))
-        .agg(F.collect_set("place.line").alias("_removed"))
+        .groupBy(F.col("place.k1").alias(k1), F.col("place.k2").alias(k2))
+        .agg(F.collect_set("place.line").alias(gone_col))
+    )
+    joined = df.select(*[named(c) for c in names]).withColumns({k1: keys["k1"], k2: keys["k2"]}).join(
+        removed, [k1, k2], "left"
     )
-    names = [f for f in df.columns if f not in ("n_lines", "n_removed")]
-    joined = df.select(*[F.col(f"`{c}`") for c in names]).withColumns(
-        {f"_{k}": v for k, v in keys.items()}
-    ).join(removed, ["_k1", "_k2"], "left")
     fields = [
         *[df.schema[c] if c != "text" else StructField("text", StringType()) for c in names],
         StructField("n_lines", LongType()),
@@ -323,7 +380,7 @@ def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunks(batches, "text"):
             texts, n_lines, n_removed = [], [], []
-            for text, gone in zip(table["text"].to_pylist(), table["_removed"].to_pylist(), strict=True):
+            for text, gone in zip(table["text"].to_pylist(), table[gone_col].to_pylist(), strict=True):
                 lines = text.split("\n") if text else []
                 gone = set(gone or ())
                 n_lines.append(sum(bool(_strip(line)) for line in lines))
@@ -336,7 +393,7 @@ def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
                 [f.name for f in fields],
             )
 
-    return joined.select(*names, "_removed").mapInArrow(rebuild, StructType(fields))
+    return joined.select(*[named(c) for c in names], gone_col).mapInArrow(rebuild, StructType(fields))
 
 
 def _strip(line: str) -> str:

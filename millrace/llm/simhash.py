@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import chunks
 from millrace.llm.components import connected_components
+from millrace.llm.names import fresh, named
 from millrace.session import Scratch
 
 SEED = 42
@@ -273,22 +274,24 @@ def keep_one(
     A null doc_id comes last; of rows with one doc_id, one of each component stays.
     """
     scratch = Scratch(df.sparkSession)
+    (row,) = fresh(df.columns, "_row")
     # Rows are numbered as they are written, so that copies of a row can be told apart.
-    rows, _ = scratch.write(df.withColumn("_row", F.monotonically_increasing_id()))
+    rows, _ = scratch.write(df.withColumn(row, F.monotonically_increasing_id()))
     prints = add_fingerprint(
-        rows.select(F.col("_row").alias("doc_id"), F.col(f"`{text}`").alias("text")), "text", shingle
+        rows.select(F.col(row).alias("doc_id"), named(text).alias("text")), "text", shingle
     ).select(F.col("doc_id").alias("_row"), "fingerprint")
     prints, _ = scratch.write(prints)
     distinct = prints.select("fingerprint").distinct()
     roots = connected_components(link_fingerprints(distinct, max_bits, shard=shard), scratch)
-    named = prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+    found = prints.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
         "_row", F.coalesce("root", "fingerprint").alias("root")
     )
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")
-    first = (
-        named.join(rows.select("_row", "doc_id"), "_row").groupBy("root").agg(F.min(order).alias("f"))
+    ids = rows.select(F.col(row).alias("_row"), "doc_id")
+    first = found.join(ids, "_row").groupBy("root").agg(F.min(order).alias("f"))
+    return rows.join(first.select(F.col("f._row").alias(row)), row, "left_semi").select(
+        *[named(c) for c in df.columns]
     )
-    return rows.join(first.select(F.col("f._row").alias("_row")), "_row", "left_semi").drop("_row")
 
 
 def hex_fingerprint(df: DataFrame) -> DataFrame:

@@ -5,11 +5,12 @@ import hashlib
 import random
 import re
 import signal
+import time
 
 import numpy as np
 import xxhash
 
-from millrace.llm import lines, neighbours, simhash, substrings
+from millrace.llm import decontaminate, lines, neighbours, simhash, substrings
 
 WORDS = [f"w{i}" for i in range(300)]
 
@@ -142,6 +143,57 @@ def test_similar_lines(spark):
     assert lines.dedup_lines(frame.limit(0)).count() == 0
 
 
+def test_groups_of_many_lines_equal_brute_force():
+    rng = random.Random(9)
+    for size in (40, 150, 400):
+        texts = []
+        while len(texts) < size:
+            line = list("".join(rng.choice("abcd ") for _ in range(rng.randint(4, 60))))
+            for _ in range(rng.randint(1, 12)):
+                texts.append("".join(line) or "x")
+                line[rng.randrange(len(line))] = rng.choice("abcdefgh")
+        texts = list(dict.fromkeys(texts))
+        sets = [{x[i : i + 8] for i in range(max(1, len(x) - 7))} for x in texts]
+        want = list(range(len(texts)))
+        for i in range(len(texts)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and want[i] != want[j]:
+                    a, b = sorted((want[i], want[j]))
+                    want = [a if g == b else g for g in want]
+        assert lines.similar_groups(texts, 8, 0.8).tolist() == want
+
+
+def test_many_loose_lines_take_seconds():
+    rng = random.Random(4)
+    loose = [f"Item number {rng.randrange(10**9)} costs {rng.randrange(10**5)} and goes to shelf {rng.randrange(10**4)}" for _ in range(40_000)]
+    begin = time.process_time()
+    groups = lines.similar_groups(loose, 8, 0.8)
+    assert len(groups) == 40_000 and time.process_time() - begin < 60
+    tight = [f"{'the same long line of a template, over and over again ' * 3}{i}" for i in range(20_000)]
+    begin = time.process_time()
+    assert set(lines.similar_groups(tight, 8, 0.8).tolist()) == {0}
+    assert time.process_time() - begin < 60
+
+
+def test_columns_of_any_name_are_kept(spark):
+    odd = ["_k1", "_k2", "_removed", "N_LINES", "a.b", "_row", "_found_id", "and so on"]
+    frame = spark.createDataFrame(
+        [(1, "a long enough line of text", *range(8)), (2, "a long enough line of text", *range(8)), (3, None, *range(8))],
+        "doc_id long, text string, " + ", ".join(f"`{n.replace('`', '``')}` int" for n in odd),
+    )
+    got = lines.dedup_lines(frame)
+    assert got.columns == [c for c in frame.columns if c != "N_LINES"] + ["n_lines", "n_removed"]
+    assert {(r["doc_id"], r["_k1"], r["_removed"], r["a.b"], r["n_removed"]) for r in got.collect()} == {
+        (1, 0, 2, 4, 0), (2, 0, 2, 4, 1), (3, 0, 2, 4, 0)
+    }
+    kept = simhash.keep_one(frame)
+    assert kept.columns == frame.columns and {(r["doc_id"], r["_row"]) for r in kept.collect()} == {(1, 5), (3, 5)}
+    benchmark = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve")], "item_id long, text string")
+    clean = decontaminate.drop_contaminated(frame, benchmark)
+    assert clean.columns == frame.columns and clean.count() == 3
+
+
 def test_signatures_end_for_any_hash(monkeypatch):
     # The first comes of borrowing as the greatest value, the second is a minimum with it.
     lows = [0xE2E9A15E, 0xFFFFFFFF]
