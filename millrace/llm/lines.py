@@ -377,10 +377,13 @@ def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
         StructField("n_removed", LongType()),
     ]
 
+    # Inside, columns go by their position: mapInArrow takes no names with dots.
+    inner = {c: f"c{i}" for i, c in enumerate(names)}
+
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches, "text"):
+        for table in chunks(batches, inner["text"]):
             texts, n_lines, n_removed = [], [], []
-            for text, gone in zip(table["text"].to_pylist(), table[gone_col].to_pylist(), strict=True):
+            for text, gone in zip(table[inner["text"]].to_pylist(), table["gone"].to_pylist(), strict=True):
                 lines = text.split("\n") if text else []
                 gone = set(gone or ())
                 n_lines.append(sum(bool(_strip(line)) for line in lines))
@@ -389,11 +392,13 @@ def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
             new = {"text": pa.array(texts, pa.large_string()), "n_lines": pa.array(n_lines, pa.int64()),
                    "n_removed": pa.array(n_removed, pa.int64())}
             yield pa.RecordBatch.from_arrays(
-                [new[f.name] if f.name in new else table[f.name].combine_chunks() for f in fields],
+                [new[f.name] if f.name in new else table[inner[f.name]].combine_chunks() for f in fields],
                 [f.name for f in fields],
             )
 
-    return joined.select(*[named(c) for c in names], gone_col).mapInArrow(rebuild, StructType(fields))
+    return joined.select(
+        *[named(c).alias(inner[c]) for c in names], F.col(gone_col).alias("gone")
+    ).mapInArrow(rebuild, StructType(fields))
 
 
 def _strip(line: str) -> str:
