@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import time
 import re
 
 import pytest
@@ -114,6 +115,30 @@ def test_parts_of_an_address_are_read_whole(spark):
         assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
 
 
+def test_texts_with_very_many_matches(spark):
+    """Offsets across blocks of matches and pieces of text, in time that follows the length."""
+    cells = ["4111 1111 1111 1111", "a@b.org", "1.2.3.4", "+49 30 123456789", "12", "é😀"]
+    texts = [" , ".join(cells * 1200), "x" * 9000 + " call +49 30 123456789", " , ".join(["17"] * 400_000)]
+    begin = time.monotonic()
+    frame = documents(spark, list(enumerate(texts)))
+    got = {r.doc_id: r for r in pii.pii_digest(pii.find_pii(frame)).collect()}
+    assert time.monotonic() - begin < 120
+    for i, text in enumerate(texts):
+        base = plain_spans(text)
+        assert got[i].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+        assert got[i].n_card == base.count("card")
+    spans = pii.find_pii(frame).filter("doc_id = 1").first()["pii"]
+    assert [round(s["score"], 2) for s in spans] == [0.95]
+
+
+def test_found_data_goes_beside_columns_of_any_name(spark):
+    frame = documents(spark, [(1, "a@b.org")]).selectExpr("*", "7 as _pii_email", "8 as _PII_pieces", "9 as `a.b`")
+    found = pii.find_pii(frame)
+    assert found.columns == [*frame.columns, "pii"]
+    row = found.first()
+    assert (row["_pii_email"], row["_PII_pieces"], row["a.b"], len(row["pii"])) == (7, 8, 9, 1)
+
+
 SAMPLES = {
     "en": "the house and the garden of that with this from there",
     "de": "der die und das nicht auch über schön groß mit einer",
