@@ -8,8 +8,11 @@ benchmark. Around each hit the document and the item are laid side by side, and
 counts if in some window of ``window`` aligned tokens (the whole item, if it is shorter) at
 least ``agreement`` of them are equal.
 
-Defined results: null texts count as empty; items with fewer than ``SPAN`` tokens have no hash
-and match nothing; documents with one doc_id count as one, with the best overlap of any; a
+Items shorter than the longest mask have masks of their own, whose hashes are looked for only
+if there are such items.
+
+Defined results: null texts count as empty; items with fewer than ``LEAST_TOKENS`` tokens match
+nothing; ids are whole numbers; documents with one doc_id count as one, with the best overlap of any; a
 null doc_id or item_id is an ordinary value; empty tables give no rows; other columns are
 ignored.
 """
@@ -17,7 +20,7 @@ ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +32,21 @@ from millrace.llm.bloom import Bloom, build_bloom
 from millrace.llm.names import fresh
 from millrace.session import Scratch
 
-#: In 15 aligned tokens any 3 substitutions, and in 20 any 4, leave some place of some mask
-#: whole (tests/llm tries them all), so every overlap that counts has a hit.
-MASKS = ("11111", "1101011", "110010011", "1010010101")
+#: In 10 to 20 aligned tokens any substitutions that an overlap may have leave some place of
+#: some mask whole (tests/llm tries them all), so every overlap that counts has a hit.
+MASKS = ("11111", "1101011", "110010011", "1010010101", "1110000111")
 SPAN = max(map(len, MASKS))
+#: Masks of items with fewer than ``SPAN`` tokens, by the numbers of tokens they serve.
+SHORT_MASKS = {
+    "111": (3, 3),
+    "1111": (4, SPAN - 1),
+    "10111": (5, SPAN - 1),
+    "11011": (5, SPAN - 1),
+    "11101": (5, SPAN - 1),
+}
+#: Items with fewer tokens match nothing: any text has their words.
+LEAST_TOKENS = 3
+_LENGTHS = {**{mask: (SPAN, None) for mask in MASKS}, **SHORT_MASKS}
 WINDOW = 20
 AGREEMENT = 0.8
 
@@ -48,10 +62,14 @@ def _tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return hashes, before[words.first]
 
 
-def _seeds(tokens: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _seeds(
+    tokens: np.ndarray, first: np.ndarray, masks: Sequence[str]
+) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
     """For each mask the hashes of all places within one row, and the places."""
     row_end = np.repeat(first[1:], np.diff(first))
-    for number, mask in enumerate(MASKS):
+    numbers = list(_LENGTHS)
+    for mask in masks:
+        number = numbers.index(mask)
         n = len(tokens) - len(mask) + 1
         if n <= 0:
             continue
@@ -59,30 +77,34 @@ def _seeds(tokens: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray,
         value = np.full(len(at), number + 1, np.uint64)
         for j in (j for j, c in enumerate(mask) if c == "1"):
             value = mix(value ^ tokens[at + j])
-        yield value, at
+        yield mask, value, at
 
 
 def _test_seeds(benchmark: DataFrame) -> DataFrame:
-    """``seed, item_id, item, place`` for every mask and place of every item."""
+    """``mask, seed, item_key, place`` for every place of every mask that serves the item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunks(batches, "text"):
             tokens, first = _tokens(table)
-            for value, at in _seeds(tokens, first):
+            for mask, value, at in _seeds(tokens, first, list(_LENGTHS)):
                 row = np.searchsorted(first, at, side="right") - 1
-                # Items shorter than the longest mask have no hash under any mask.
-                long_enough = np.diff(first)[row] >= SPAN
-                at, row, value = at[long_enough], row[long_enough], value[long_enough]
+                least, most = _LENGTHS[mask]
+                length = np.diff(first)[row]
+                served = (length >= least) & (length <= (most or length.max(initial=0)))
+                at, row, value = at[served], row[served], value[served]
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([mask] * len(at), pa.string()),
                         pa.array(value.view(np.int64)),
                         table["item_key"].combine_chunks().take(pa.array(row)),
                         pa.array((at - first[row]).astype(np.int32)),
                     ],
-                    ["seed", "item_key", "place"],
+                    ["mask", "seed", "item_key", "place"],
                 )
 
-    return benchmark.select("item_key", "text").mapInArrow(run, "seed long, item_key long, place int")
+    return benchmark.select("item_key", "text").mapInArrow(
+        run, "mask string, seed long, item_key long, place int"
+    )
 
 
 def _item_tokens(benchmark: DataFrame) -> DataFrame:
@@ -108,7 +130,7 @@ def _item_tokens(benchmark: DataFrame) -> DataFrame:
 _REGIONS = "doc_id long, start long, region array<long>, hits array<struct<seed:long,place:int>>"
 
 
-def _regions(documents: DataFrame, bloom: Bloom, reach: int) -> DataFrame:
+def _regions(documents: DataFrame, bloom: Bloom, reach: int, masks: Sequence[str]) -> DataFrame:
     """Stretches of documents around seeds that pass the filter, with these seeds."""
     shared = documents.sparkSession.sparkContext.broadcast((bloom.words, bloom.bits))
 
@@ -117,7 +139,7 @@ def _regions(documents: DataFrame, bloom: Bloom, reach: int) -> DataFrame:
         for table in chunks(batches, "text"):
             tokens, first = _tokens(table)
             seeds, places = [], []
-            for value, at in _seeds(tokens, first):
+            for _, value, at in _seeds(tokens, first, masks):
                 hit = known.find(value)
                 seeds.append(value[hit])
                 places.append(at[hit])
@@ -192,14 +214,16 @@ def find_contamination(
     seeds, found = scratch.write(_test_seeds(keyed), {"n": F.count("*")})
     bloom = build_bloom(seeds.select("seed").distinct(), found["n"])
     # A window that holds a hit reaches at most so far to either side of it.
+    used = {r["mask"] for r in seeds.select("mask").distinct().collect()}
+    masks = [m for m in _LENGTHS if m in MASKS or m in used]
     regions, _ = scratch.write(
-        _regions(documents, bloom, window).withColumn("id", F.monotonically_increasing_id())
+        _regions(documents, bloom, window, masks).withColumn("id", F.monotonically_increasing_id())
     )
     # A seed of a passage in many documents is one row of the benchmark's side.
     candidates = (
         regions.select("id", F.explode("hits").alias("h"))
         .select("id", "h.seed", F.col("h.place").alias("at"))
-        .join(seeds, "seed")
+        .join(seeds.drop("mask"), "seed")
         .select("id", "item_key", (F.col("at") - F.col("place")).alias("diagonal"))
         .distinct()
         .groupBy("id", "item_key")
