@@ -257,6 +257,28 @@ def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndar
     return group
 
 
+def first_links(texts: list[str], starts: np.ndarray, shingle: int, similarity: float) -> np.ndarray:
+    """For each line whether it is similar to the first line of its group, for many groups at once.
+
+    ``starts`` are the places of the first lines.
+    """
+    hashes, bounds = _shingles(texts, shingle)
+    line = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    _, codes = np.unique(hashes, return_inverse=True)
+    # Distinct shingles of each line, as one number for line and shingle.
+    width = int(codes.max()) + 1
+    held = np.unique(line * width + codes)
+    line, codes = held // width, held % width
+    sizes = np.bincount(line, minlength=len(texts))
+    group = np.searchsorted(starts, np.arange(len(texts)), side="right") - 1
+    mine = starts[group[line]] == line
+    keys = group[line] * width + codes
+    firsts = keys[mine]
+    place = np.minimum(np.searchsorted(firsts, keys), len(firsts) - 1)
+    common = np.bincount(line, firsts[place] == keys, minlength=len(texts))
+    return common >= similarity * (sizes + sizes[starts[group]] - common) - 1e-9
+
+
 def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links ``a, b`` of similar lines from ``band, i, j, id, line``."""
 
@@ -274,18 +296,46 @@ def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
         if len(ids) > 1:
             yield ids, texts
 
+    def some(found: Iterator[tuple[list[bytes], list[str]]]) -> Iterator[list[tuple[list[bytes], list[str]]]]:
+        """Groups of so many characters together, and single groups that have more."""
+        held, chars = [], 0
+        for ids, texts in found:
+            held.append((ids, texts))
+            chars += sum(map(len, texts))
+            if chars >= _GROUP_CHARS:
+                yield held
+                held, chars = [], 0
+        if held:
+            yield held
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a: list[bytes] = []
-        b: list[bytes] = []
-        for ids, texts in groups(batches):
-            group = similar_groups(texts, shingle, similarity)
-            for at in np.flatnonzero(group != np.arange(len(ids))).tolist():
-                a.append(ids[at])
-                b.append(ids[group[at]])
-            if len(a) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        for part in some(groups(batches)):
+            a: list[bytes] = []
+            b: list[bytes] = []
+            small = [g for g in part if len(g[0]) <= _FEW]
+            starts = np.cumsum([0, *[len(ids) for ids, _ in small[:-1]]])
+            linked = (
+                first_links([t for _, texts in small for t in texts], starts, shingle, similarity).tolist()
+                if small
+                else []
+            )
+            rest = [g for g in part if len(g[0]) > _FEW]
+            for start, (ids, texts) in zip(starts.tolist(), small):
+                near = linked[start : start + len(ids)]
+                # Two lines, or lines that are all similar to the first, need no more.
+                if len(ids) > 2 and not all(near):
+                    rest.append((ids, texts))
+                    continue
+                for line_id, is_near in zip(ids[1:], near[1:]):
+                    if is_near:
+                        a.append(line_id)
+                        b.append(ids[0])
+            for ids, texts in rest:
+                group = similar_groups(texts, shingle, similarity)
+                for at in np.flatnonzero(group != np.arange(len(ids))).tolist():
+                    a.append(ids[at])
+                    b.append(ids[group[at]])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     keys = ["band", "i", "j"]
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
