@@ -3,7 +3,8 @@
 Lines are compared without white space at their ends; blank lines are left alone. A line's
 character shingles fill a one-permutation MinHash signature; empty bins borrow from the next
 filled one. Lines that agree in a band of the signature are candidates, and meet in the bucket of that
-band; buckets with the same lines as another one are left out. In a bucket shingle sets are
+band. A bucket goes by the least bucket that any of its lines is in as well, so that close lines,
+which share most buckets, meet once and not in each. There shingle sets are
 compared exactly, and lines with a Jaccard similarity of at least ``similarity`` are linked.
 Each line is compared once with the lines that are not yet linked, so a tight group of n
 lines takes about n comparisons, and in a large bucket only with those that share one of its
@@ -183,7 +184,7 @@ def _texts(docs: DataFrame, bloom: Bloom) -> DataFrame:
 
 
 #: Groups of more lines are compared by way of their rarer shingles.
-_FEW = 64
+_FEW = 16
 
 
 class _RareShingles:
@@ -224,8 +225,36 @@ class _RareShingles:
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
+def _few_groups(texts: list[str], shingle: int, similarity: float) -> np.ndarray:
+    """``similar_groups`` of a few short lines, where sets of strings cost least."""
+    sets = [{t[i : i + shingle] for i in range(max(len(t) - shingle, 0) + 1)} for t in texts]
+    sizes = [len(s) for s in sets]
+    group = [-1] * len(texts)
+    rest = list(range(len(texts)))
+    while rest:
+        start = rest.pop(0)
+        group[start] = start
+        queue = [start]
+        while queue and rest:
+            pivot = queue.pop()
+            mine, size, other = sets[pivot], sizes[pivot], []
+            for i in rest:
+                n = sizes[i]
+                if n >= similarity * size and size >= similarity * n:
+                    common = len(mine & sets[i])
+                    if common >= similarity * (n + size - common) - 1e-9:
+                        group[i] = start
+                        queue.append(i)
+                        continue
+                other.append(i)
+            rest = other
+    return np.array(group)
+
+
 def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndarray:
     """For each line the first line that a chain of similar lines connects it with."""
+    if len(texts) <= _FEW and sum(map(len, texts)) <= _GROUP_CHARS:
+        return _few_groups(texts, shingle, similarity)
     hashes, bounds = _shingles(texts, shingle)
     sets = [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -257,87 +286,37 @@ def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndar
     return group
 
 
-def first_links(texts: list[str], starts: np.ndarray, shingle: int, similarity: float) -> np.ndarray:
-    """For each line whether it is similar to the first line of its group, for many groups at once.
-
-    ``starts`` are the places of the first lines.
-    """
-    hashes, bounds = _shingles(texts, shingle)
-    line = np.repeat(np.arange(len(texts)), np.diff(bounds))
-    _, codes = np.unique(hashes, return_inverse=True)
-    # Distinct shingles of each line, as one number for line and shingle.
-    width = int(codes.max()) + 1
-    held = np.unique(line * width + codes)
-    line, codes = held // width, held % width
-    sizes = np.bincount(line, minlength=len(texts))
-    group = np.searchsorted(starts, np.arange(len(texts)), side="right") - 1
-    mine = starts[group[line]] == line
-    keys = group[line] * width + codes
-    firsts = keys[mine]
-    place = np.minimum(np.searchsorted(firsts, keys), len(firsts) - 1)
-    common = np.bincount(line, firsts[place] == keys, minlength=len(texts))
-    return common >= similarity * (sizes + sizes[starts[group]] - common) - 1e-9
-
-
 def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links ``a, b`` of similar lines from ``band, i, j, id, line``."""
+    """Links ``a, b`` of similar lines from ``root, i, j, id, line``."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[str]]]:
         held, ids, texts = None, [], []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("band", "i", "j", "id", "line")]
-            for band, i, j, line_id, line in zip(*columns, strict=True):
-                if (band, i, j) != held:
+            columns = [batch.column(c).to_pylist() for c in ("root", "i", "j", "id", "line")]
+            for root, i, j, line_id, line in zip(*columns, strict=True):
+                if (root, i, j) != held:
                     if len(ids) > 1:
                         yield ids, texts
-                    held, ids, texts = (band, i, j), [], []
+                    held, ids, texts = (root, i, j), [], []
                 ids.append(line_id)
                 texts.append(line)
         if len(ids) > 1:
             yield ids, texts
 
-    def some(found: Iterator[tuple[list[bytes], list[str]]]) -> Iterator[list[tuple[list[bytes], list[str]]]]:
-        """Groups of so many characters together, and single groups that have more."""
-        held, chars = [], 0
-        for ids, texts in found:
-            held.append((ids, texts))
-            chars += sum(map(len, texts))
-            if chars >= _GROUP_CHARS:
-                yield held
-                held, chars = [], 0
-        if held:
-            yield held
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in some(groups(batches)):
-            a: list[bytes] = []
-            b: list[bytes] = []
-            small = [g for g in part if len(g[0]) <= _FEW]
-            starts = np.cumsum([0, *[len(ids) for ids, _ in small[:-1]]])
-            linked = (
-                first_links([t for _, texts in small for t in texts], starts, shingle, similarity).tolist()
-                if small
-                else []
-            )
-            rest = [g for g in part if len(g[0]) > _FEW]
-            for start, (ids, texts) in zip(starts.tolist(), small):
-                near = linked[start : start + len(ids)]
-                # Two lines, or lines that are all similar to the first, need no more.
-                if len(ids) > 2 and not all(near):
-                    rest.append((ids, texts))
-                    continue
-                for line_id, is_near in zip(ids[1:], near[1:]):
-                    if is_near:
-                        a.append(line_id)
-                        b.append(ids[0])
-            for ids, texts in rest:
-                group = similar_groups(texts, shingle, similarity)
-                for at in np.flatnonzero(group != np.arange(len(ids))).tolist():
-                    a.append(ids[at])
-                    b.append(ids[group[at]])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    keys = ["band", "i", "j"]
+        a: list[bytes] = []
+        b: list[bytes] = []
+        for ids, texts in groups(batches):
+            group = similar_groups(texts, shingle, similarity)
+            for at in np.flatnonzero(group != np.arange(len(ids))).tolist():
+                a.append(ids[at])
+                b.append(ids[group[at]])
+            if len(a) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    keys = ["root", "i", "j"]
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
 
 
@@ -360,33 +339,22 @@ def line_components(
         .distinct()
     )
     shared, _ = scratch.write(shared)
-    # Close lines agree in most bands: of buckets with the same lines one is enough.
-    same = ["n", "x", "y"]
-    buckets = (
-        shared.groupBy("band")
-        .agg(
-            F.count("*").alias("n"),
-            F.bit_xor(F.xxhash64("id")).alias("x"),
-            F.bit_xor(F.xxhash64(F.lit("second"), "id")).alias("y"),
-        )
-        .groupBy(*same)
-        .agg(F.min("band").alias("band"))
-        .drop(*same)
-    )
-    members, _ = scratch.write(shared.join(buckets, "band"))
+    low = shared.groupBy("id").agg(F.min("band").alias("low"))
+    roots = shared.join(low, "id").groupBy("band").agg(F.min("low").alias("root"))
+    members, _ = scratch.write(shared.join(roots, "band").select("root", "id").distinct())
     wanted, found = scratch.write(members.select("id").distinct(), {"n": F.count("*")})
     # The function of this name is XXH64 with the seed 42.
     bloom = build_bloom(wanted.select(F.xxhash64("id")), found["n"])
     lines = _texts(docs, bloom).dropDuplicates(["id"])
-    placed, _ = scratch.write(members.join(lines, "id").select("band", "id", "line"))
-    sizes = placed.groupBy("band").agg(
+    placed, _ = scratch.write(members.join(lines, "id").select("root", "id", "line"))
+    sizes = placed.groupBy("root").agg(
         F.ceil(F.sum(F.length("line")) / F.lit(slice_chars)).alias("slices")
     )
     sliced = (
-        placed.join(sizes, "band")
+        placed.join(sizes, "root")
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("slices")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)))
-        .select("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "line")
+        .select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "line")
     )
     return connected_components(_verified(sliced, shingle, similarity), scratch)
 
