@@ -138,51 +138,42 @@ def _bands(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "band long, id binary")
 
 
-def _occurrences(keyed: DataFrame) -> DataFrame:
-    """``id, doc_id, k1, k2, line`` of every line that is not blank."""
+def _occurrences(keyed: DataFrame, bloom: Bloom) -> DataFrame:
+    """``id, doc_id, k1, k2, line, text`` of every line that is not blank.
+
+    ``text`` is the line where its id may be wanted, once in a chunk, and null elsewhere.
+    """
+    shared = keyed.sparkSession.sparkContext.broadcast((bloom.words, bloom.bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Bloom(*shared.value)
         for table in chunks(batches, "text"):
             codes, texts, ids, first = _distinct(table["text"])
             row = np.repeat(np.arange(table.num_rows), np.diff(first))
             line = np.arange(len(codes)) - first[:-1][row]
             filled = np.array([bool(t) for t in texts], bool)[codes] if len(codes) else np.zeros(0, bool)
             row, line, codes = row[filled], line[filled], codes[filled]
+            heads = np.fromiter((xxhash.xxh64_intdigest(i, 42) for i in ids), np.uint64, count=len(ids))
+            wanted = np.zeros(len(ids), bool)
+            wanted[known.find(heads)] = True
+            once = np.zeros(len(codes), bool)
+            once[np.unique(codes, return_index=True)[1]] = True
+            kept = np.where(wanted[codes] & once, codes, -1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.binary()).take(pa.array(codes)),
                     *[table[c].combine_chunks().take(pa.array(row)) for c in ("doc_id", "k1", "k2")],
                     pa.array(line.astype(np.int32)),
+                    pa.array(texts, pa.large_string()).take(pa.array(kept, mask=kept < 0)),
                 ],
-                ["id", "doc_id", "k1", "k2", "line"],
+                ["id", "doc_id", "k1", "k2", "line", "text"],
             )
 
     return keyed.select("doc_id", "k1", "k2", "text").mapInArrow(
-        run, "id binary, doc_id long, k1 long, k2 long, line int"
+        run, "id binary, doc_id long, k1 long, k2 long, line int, text string"
     )
 
 
-def _texts(docs: DataFrame, bloom: Bloom) -> DataFrame:
-    """``id, line`` of distinct lines of a chunk whose id may be wanted."""
-    shared = docs.sparkSession.sparkContext.broadcast((bloom.words, bloom.bits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Bloom(*shared.value)
-        for table in chunks(batches, "text"):
-            _, texts, ids, _ = _distinct(table["text"])
-            heads = np.fromiter((xxhash.xxh64_intdigest(i, 42) for i in ids), np.uint64, count=len(ids))
-            found = [i for i in known.find(heads).tolist() if texts[i]]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([ids[i] for i in found], pa.binary()),
-                    pa.array([texts[i] for i in found], pa.large_string()),
-                ],
-                ["id", "line"],
-            )
-
-    return docs.select("text").mapInArrow(run, "id binary, line string")
-
-
 #: Groups of more lines are compared by way of their rarer shingles.
 _FEW = 16
 
@@ -320,16 +311,10 @@ def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
 
 
-def line_components(
-    docs: DataFrame,
-    scratch: Scratch,
-    shingle: int = SHINGLE,
-    similarity: float = SIMILARITY,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    slice_chars: int = SLICE_CHARS,
-) -> DataFrame:
-    """``node, root``: ids of lines that are similar to another one, and their component."""
+def candidate_groups(
+    docs: DataFrame, scratch: Scratch, shingle: int, bands: int, rows: int
+) -> tuple[DataFrame, Bloom]:
+    """``root, id`` of lines that share a bucket with another line, and a filter of these ids."""
     by_band = Window.partitionBy("band")
     shared = (
         _bands(docs, shingle, bands, rows)
@@ -344,8 +329,16 @@ def line_components(
     members, _ = scratch.write(shared.join(roots, "band").select("root", "id").distinct())
     wanted, found = scratch.write(members.select("id").distinct(), {"n": F.count("*")})
     # The function of this name is XXH64 with the seed 42.
-    bloom = build_bloom(wanted.select(F.xxhash64("id")), found["n"])
-    lines = _texts(docs, bloom).dropDuplicates(["id"])
+    return members, build_bloom(wanted.select(F.xxhash64("id")), found["n"])
+
+
+def line_components(
+    members: DataFrame, lines: DataFrame, scratch: Scratch, shingle: int, similarity: float, slice_chars: int
+) -> DataFrame:
+    """``node, root``: ids of lines that are similar to another one, and their component.
+
+    ``lines`` has the text of every id in ``members``, and may have others.
+    """
     placed, _ = scratch.write(members.join(lines, "id").select("root", "id", "line"))
     sizes = placed.groupBy("root").agg(
         F.ceil(F.sum(F.length("line")) / F.lit(slice_chars)).alias("slices")
@@ -359,18 +352,26 @@ def line_components(
     return connected_components(_verified(sliced, shingle, similarity), scratch)
 
 
-def dedup_lines(df: DataFrame, **options: object) -> DataFrame:
+def dedup_lines(
+    df: DataFrame,
+    shingle: int = SHINGLE,
+    similarity: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    slice_chars: int = SLICE_CHARS,
+) -> DataFrame:
     """``df`` with the repeated lines of ``text`` removed, and ``n_lines, n_removed``."""
     scratch = Scratch(df.sparkSession)
     names = [c for c in df.columns if c.lower() not in ("n_lines", "n_removed")]
     k1, k2, gone_col = fresh(names, "_k1", "_k2", "_removed")
     keys = {"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit("second"), "text", "doc_id")}
     keyed = df.select("doc_id", "text").withColumns(keys)
-    components = line_components(df, scratch, **options)
-    occurrences = (
-        _occurrences(keyed)
-        .join(components, F.col("id") == F.col("node"), "left")
-        .select(F.coalesce("root", "id").alias("root"), "doc_id", "k1", "k2", "line")
+    members, bloom = candidate_groups(df, scratch, shingle, bands, rows)
+    found, _ = scratch.write(_occurrences(keyed, bloom))
+    texts = found.filter("text is not null").select("id", F.col("text").alias("line")).dropDuplicates(["id"])
+    components = line_components(members, texts, scratch, shingle, similarity, slice_chars)
+    occurrences = found.join(components, F.col("id") == F.col("node"), "left").select(
+        F.coalesce("root", "id").alias("root"), "doc_id", "k1", "k2", "line"
     )
     place = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1", "k2", "line")
     places, _ = scratch.write(occurrences.select("root", place.alias("place")))
