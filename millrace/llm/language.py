@@ -4,9 +4,11 @@ A text is a vector of hashed character n-grams (1 to ``LONGEST``, in lower case,
 everything but letters read as one space), weighted by the logarithm of their number and by
 how few of the sampled texts hold them, and scaled to length one. Each language has several
 centroids, clustered from a bounded sample of its labelled texts. A text gets the language of
-the centroid with the largest cosine. The reach of a language's centroids is a distance: the
-farthest text of its sample has some cosine with its own centroid, and a text whose cosine is
-less than ``share`` of that lies beyond their reach and is rejected.
+the centroid with the largest cosine. The reach of a language's centroids is a distance: all but
+``STRAYS`` of a centroid's sampled texts have at least some cosine with it, and a text whose cosine is
+less than ``share`` of the least of these lies beyond their reach and is rejected. A text with fewer than
+``FULL`` different n-grams cannot come as close: the root of that part counts as its full cosine, in the
+sample as well.
 
 Defined results: a null text and a text without letters are ``und``, with score 0, rejected;
 repeated rows repeat their result; rows without a label teach nothing; with nothing to learn
@@ -36,7 +38,11 @@ DIMENSIONS = 1 << _BITS
 #: Labelled texts of each language that the centroids are made from, chosen by a hash.
 SAMPLE = 400
 CLUSTERS = 4
-SHARE = 0.25
+SHARE = 0.35
+#: The part of a centroid's texts that does not count for its reach: odd or wrongly labelled ones.
+STRAYS = 0.05
+#: Different n-grams from which on a text is judged in full; ten words have about as many.
+FULL = 100
 #: More languages than this would make the model too large to send along with the tasks.
 MOST_LANGUAGES = 1000
 _GROUP_CHARS = 1 << 18
@@ -129,6 +135,11 @@ def _cluster(vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return centroids, np.argmax(vectors @ centroids.T, axis=1)
 
 
+def _within_reach(counts: np.ndarray) -> np.ndarray:
+    """The cosine that a text of so many different n-grams may have at most, roughly."""
+    return np.sqrt(np.clip((counts > 0).sum(axis=1) / FULL, 1 / FULL, 1))
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Unit centroids with their language, weights of the n-grams, and the reach of each centroid."""
@@ -143,7 +154,7 @@ class LanguageModel:
         cosines = _unit(vectors * self.weights) @ self.centroids.T
         best = np.argmax(cosines, axis=1)
         cosine = np.clip(cosines[np.arange(len(best)), best], 0, 1)
-        return best, cosine, 1 - cosine <= self.reach[best]
+        return best, cosine, 1 - cosine / _within_reach(vectors) <= self.reach[best]
 
 
 def train(
@@ -164,7 +175,8 @@ def train(
     if bounds.count() > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     chosen = (
-        usable.join(bounds, "lang")
+        # At most MOST_LANGUAGES rows: labelled rows stay where they are until few are left.
+        usable.join(F.broadcast(bounds), "lang")
         .filter(F.col("_h").cast("double") <= F.col("_bound"))
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= sample)
@@ -242,9 +254,11 @@ def _assemble(groups: DataFrame, share: float) -> LanguageModel:
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                vectors = _unit(_members(row["members"]) * weights)
+                counts = _members(row["members"])
+                vectors = _unit(counts * weights)
                 center = _unit(vectors.sum(axis=0, keepdims=True))[0]
-                reach = 1 - share * float((vectors @ center).min())
+                cosines = np.minimum(vectors @ center / _within_reach(counts), 1)
+                reach = 1 - share * float(np.quantile(cosines, STRAYS))
                 out.append(
                     {"lang": row["lang"], "reach": reach, "center": center.astype(np.float32).tobytes()}
                 )

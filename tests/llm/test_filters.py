@@ -207,6 +207,27 @@ def test_language_of_held_out_texts(spark):
     assert {r.lang_pred for r in language.predict(frame, nothing).collect()} == {"und"}
 
 
+def test_noise_and_languages_never_learned_are_rejected(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        lang = rng.choice(["en", "de"])
+        words = SAMPLES[lang].split()
+        rows.append((i, " ".join(rng.choice(words) for _ in range(rng.choice([1, 3, 8, 40, 200]))), lang))
+    rows += [(400 + i, "zq xv jj kw", "en") for i in range(3)]
+    frame = documents(spark, rows, "doc_id long, text string, lang string")
+    model = language.train(frame)
+    kept = language.predict(frame.filter("doc_id < 400"), model)
+    assert kept.filter("rejected").count() == 0
+    finnish = "suomi on kaunis maa jossa paljon järviä ja metsiä ihmiset puhuvat suomea talvella kylmä lunta".split()
+    odd = [(i, " ".join(rng.choice(finnish) for _ in range(n))) for i, n in enumerate([12, 30, 200])]
+    for n in (8, 50, 500):
+        for letters in ("abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz", "これは日本語"):
+            odd.append((len(odd), " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(n))))
+    noise = language.predict(documents(spark, odd), model)
+    assert noise.filter("not rejected").select("doc_id", "score").collect() == []
+
+
 @pytest.mark.parametrize("rows", [[], None])
 def test_pipeline_on_small_documents(spark, tmp_path, rows):
     rng = random.Random(4)
