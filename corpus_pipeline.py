@@ -2,6 +2,12 @@
 
 Every stage takes a session, the documents that its predecessor kept and the folder of the
 tables, and returns documents with all their columns; the last one adds the token ids.
+
+Defined results: documents whose text is null or has no letters go in the first stage, also where
+nothing is labelled, when all go; of rows with equal columns the later ones go as near-duplicates,
+or as emptied by line deduplication; a null doc_id is an ordinary value and comes last where order
+decides; texts of any length are read whole; empty documents give no rows, and an empty benchmark
+removes none; columns beside those of ``documents``, whatever their names, stay through all stages.
 """
 
 from __future__ import annotations

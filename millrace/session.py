@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _local_scratch: dict[str, str] = {}
+#: Folders of scratch tables that this process has made and not dropped.
+_kept: set[str] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -58,6 +60,7 @@ class Scratch:
         self.spark = spark
         self.path = f"{scratch_root(spark)}/millrace-{uuid.uuid4().hex}"
         self._numbers = itertools.count()
+        _kept.add(self.path)
 
     def write(
         self, df: DataFrame, metrics: dict[str, Column] | None = None
@@ -68,9 +71,25 @@ class Scratch:
         return write_observed(df, path, metrics)
 
     def drop(self) -> None:
+        """Remove the tables. Nothing that reads them may be used afterwards."""
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         hadoop_path.getFileSystem(conf).delete(hadoop_path, True)
+        _kept.discard(self.path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove the scratch tables of all results computed so far; returns the number of folders.
+
+    Operators whose result is read from such tables cannot know when it has been used.
+    """
+    paths = sorted(_kept)
+    for path in paths:
+        scratch = Scratch(spark)
+        _kept.discard(scratch.path)
+        scratch.path = path
+        scratch.drop()
+    return len(paths)
 
 
 def write_observed(
