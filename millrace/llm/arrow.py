@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,9 +44,19 @@ def chunks(
             start = stop
     if held:
         yield pa.Table.from_batches(held)
-    # Python workers go on to other tasks: they keep no buffers of this one.
     del held
+    _give_back()
+
+
+def _give_back() -> None:
+    """Python workers go on to other tasks: what this one has freed goes back to the system.
+
+    The C library keeps freed memory of small objects; where it can, it is asked to let go.
+    """
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def flat_text(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import chunks, flat_text, hash_words, mix, split_words
+from millrace.llm.arrow import CHUNK_BYTES, chunks, flat_text, hash_words, mix, split_words
 from millrace.llm.bloom import Bloom, build_bloom
 from millrace.llm.names import fresh
 from millrace.session import Scratch
@@ -84,7 +84,7 @@ def _test_seeds(benchmark: DataFrame) -> DataFrame:
     """``mask, seed, item_key, place`` for every place of every mask that serves the item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches, "text"):
+        for table in chunks(batches, "text", CHUNK_BYTES // 2):
             tokens, first = _tokens(table)
             for mask, value, at in _seeds(tokens, first, list(_LENGTHS)):
                 row = np.searchsorted(first, at, side="right") - 1
@@ -109,7 +109,7 @@ def _test_seeds(benchmark: DataFrame) -> DataFrame:
 
 def _item_tokens(benchmark: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches, "text"):
+        for table in chunks(batches, "text", CHUNK_BYTES // 2):
             tokens, first = _tokens(table)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -136,7 +136,7 @@ def _regions(documents: DataFrame, bloom: Bloom, reach: int, masks: Sequence[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Bloom(*shared.value)
-        for table in chunks(batches, "text"):
+        for table in chunks(batches, "text", CHUNK_BYTES // 2):
             tokens, first = _tokens(table)
             seeds, places = [], []
             for _, value, at in _seeds(tokens, first, masks):

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import chunks
+from millrace.llm.arrow import CHUNK_BYTES, chunks
 from millrace.llm.components import connected_components
 from millrace.llm.names import fresh, named
 from millrace.session import Scratch
@@ -67,7 +67,7 @@ def add_fingerprint(df: DataFrame, text: str = "text", shingle: int = 3) -> Data
     """``doc_id, fingerprint`` (a signed 64-bit number) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in chunks(batches, "text"):
+        for table in chunks(batches, "text", CHUNK_BYTES // 2):
             found = _fingerprints(table["text"].to_pylist(), shingle)
             yield pa.RecordBatch.from_arrays(
                 [table["doc_id"].combine_chunks(), pa.array(found.view(np.int64))],
