@@ -12,6 +12,9 @@ from millrace.functions.text import strip_text
 
 DATE_PATTERN = "yyyy-M-d"
 
+# Patterns that read a date of four, two and two digits as a cast does.
+_ISO_PATTERNS = ("yyyy-M-d", "yyyy-MM-dd")
+
 # The whole days a nanosecond timestamp can hold.
 FIRST_DATE = "1677-09-22"
 LAST_DATE = "2262-04-11"
@@ -42,7 +45,9 @@ def to_decimal(c: Column, precision: int, scale: int) -> Column:
     c = c.cast("string")
     kind = f"decimal({precision},{scale})"
     too_large = F.raise_error(F.concat(F.lit(f"number out of range for {kind}: "), c)).cast(kind)
-    return F.when(_finite(c), F.coalesce(c.try_cast(kind), too_large))
+    exact = c.try_cast(kind)
+    # Most amounts are spelled as the type spells them, which is quicker to see than to match.
+    return F.when(exact.cast("string") == c, exact).when(_finite(c), F.coalesce(exact, too_large))
 
 
 def to_bigint(c: Column) -> Column:
@@ -66,7 +71,14 @@ def to_date(c: Column, pattern: str = DATE_PATTERN, nanoseconds: bool = False) -
 
     ``nanoseconds`` turns dates that a nanosecond timestamp cannot hold into NULL.
     """
-    return _in_nanoseconds(F.try_to_date(c.cast("string"), pattern), nanoseconds)
+    c = c.cast("string")
+    value = F.try_to_date(c, pattern)
+    if pattern in _ISO_PATTERNS:
+        # Most dates are spelled as a cast spells them, which is quicker than the pattern.
+        iso = c.try_cast("date")
+        common = (iso.cast("string") == c) & iso.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))
+        value = F.when(common, iso).when(c != "", value)
+    return _in_nanoseconds(value, nanoseconds)
 
 
 def to_timestamp(c: Column, pattern: str = DATE_PATTERN, nanoseconds: bool = False) -> Column:

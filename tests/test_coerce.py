@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.coerce import coerce_types, vote_date_patterns
+from millrace.functions.coerce import coerce_types, to_date, to_decimal, vote_date_patterns
 from millrace.functions.text import WHITESPACE, strip_text
 
 
@@ -115,3 +115,23 @@ def test_patterns_are_voted_on(spark):
     assert sum(r["a"] is not None for r in got.collect()) == 2
     assert got.schema["b"].dataType.typeName() == "timestamp"
     assert vote_date_patterns(df.limit(0), ["a"], patterns) == {"a": "yyyy-M-d"}
+
+
+def test_common_spellings_read_like_the_others(spark):
+    """The short way for what a cast spells the same gives what the patterns give."""
+    dates = ["2023-02-28", "2023-02-30", "2024-2-9", " 2023-02-28", "2023-02-28 ", "0000-01-01", "0001-01-01",
+             "9999-12-31", "+10000-01-01", "-0001-01-01", "2023-02", "2023", "", "x", "2023-02-28T10", None]
+    df = spark.createDataFrame([(d,) for d in dates], "d string")
+    found = df.select(to_date(F.col("d")).alias("a"), F.try_to_date("d", "yyyy-M-d").alias("b"))
+    assert found.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    numbers = ["1.50", "-1.50", "1.5", "1.505", "+1.50", " 1.50", "1e2", "1.50d", "00.50", ".50", "", "abc", "NaN", "0.00", None]
+    df = spark.createDataFrame([(n,) for n in numbers], "n string")
+    got = [r[0] for r in df.select(to_decimal(F.col("n"), 18, 2).cast("string")).collect()]
+    assert got == ["1.50", "-1.50", "1.50", "1.51", "1.50", "1.50", "100.00", None, "0.50", "0.50", None, None, None, "0.00", None]
+    assert "CAST" in df.select(to_decimal(F.col("n"), 18, 2))._jdf.queryExecution().toString().upper()
+
+
+def test_common_dates_do_not_go_through_the_pattern(spark):
+    """A pattern that fails on everything else shows which way a date took."""
+    plan = spark.range(1).select(F.col("id").cast("string").alias("d")).select(to_date(F.col("d")))
+    assert "as date) as string) = " in plan._jdf.queryExecution().optimizedPlan().toString().lower()

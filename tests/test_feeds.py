@@ -1,7 +1,8 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from millrace.sources.feeds import FeedError, choose_delimiter, read_feed, shape_feed
+from millrace.sources.feeds import _ends_in_quotes, FeedError, choose_delimiter, read_feed, shape_feed
 
 
 @pytest.fixture
@@ -189,3 +190,10 @@ def test_shape_feed_renames(spark, rows):
     assert shape_feed(df, ["y"], ["second"]).df.columns[0] == "second"
     with pytest.raises(ValueError, match="lacks the columns"):
         shape_feed(spark.createDataFrame([("1",)], "x string"), ["y"])
+
+
+def test_lines_that_are_one_quoted_field(spark):
+    lines = ['"a,b"', '""', '"', '"a', '"a"b"', 'a"b', '"a""b"', '"a","b', '"a","b"', 'x,"a', '"a"x,"b', "", '"é,ü"']
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    opened = [r[0] for r in df.orderBy("i").select(_ends_in_quotes(F.col("line"), ",")).collect()]
+    assert [x for x, o in zip(lines, opened) if o] == ['"', '"a', '"a","b', 'x,"a', '"a"x,"b']
