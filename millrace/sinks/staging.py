@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from millrace.operators.keyfilter import KeyColumns
 from millrace.operators.resolve import hot_hashes, hot_key_metric, hot_share
 from millrace.schemas import TableSpec
-from millrace.session import write_observed
+from millrace.session import COMPACT, write_observed
 from millrace.sources.feeds import WIDTH, Feed
 
 ROW_SEQUENCE = "_row_sequence"
+_BROKEN = "_breaks_contract"
 
 
 class ContractError(ValueError):
@@ -48,10 +50,22 @@ def contract_metrics(spec: TableSpec) -> dict[str, Column]:
     return metrics
 
 
-def check_contract(found: Mapping[str, object], spec: TableSpec) -> None:
-    broken = {name: found[name] for name in contract_metrics(spec) if found[name]}
+def breaks_contract(spec: TableSpec) -> Column:
+    """Whether a row breaks any rule of the contract."""
+    broken = [F.col(f.name).isNull() for f in spec.fields if f.required]
+    broken += [
+        F.coalesce(F.char_length(f.name) > f.max_length, F.lit(False))
+        for f in spec.fields
+        if f.max_length is not None
+    ]
+    return reduce(lambda a, b: a | b, broken, F.lit(False))
+
+
+def check_contract(df: DataFrame, spec: TableSpec) -> None:
+    """Which rules of the contract the rows of a table break, as an error."""
+    broken = [row for row in contract_violations(df, spec).collect() if row["row_count"]]
     if broken:
-        rows = ", ".join(f"{name} in {count} rows" for name, count in broken.items())
+        rows = ", ".join(f"{row['rule']} in {row['row_count']} rows" for row in broken)
         raise ContractError(f"{spec.name}: {rows}")
 
 
@@ -83,7 +97,8 @@ def load_staging(
     """
     df = feed.df if isinstance(feed, Feed) else feed
     probes = probes or {}
-    metrics: dict[str, Column] = {"rows": F.count(F.lit(1)), **contract_metrics(spec)}
+    # One flag per row, made in generated code; metrics are not, so there are few of them.
+    metrics: dict[str, Column] = {"rows": F.count(F.lit(1)), "broken": F.count_if(_BROKEN)}
     metrics["last_sequence"] = F.max(F.shiftrightunsigned(ROW_SEQUENCE, 33))
     if isinstance(feed, Feed):
         metrics["widest"] = feed.width_metric()
@@ -94,17 +109,20 @@ def load_staging(
     if part is not None:
         metrics["parts"] = F.collect_set(part)
     width = [WIDTH] if WIDTH in df.columns else []
-    rows = df.select(*spec.columns, *width).withColumn(ROW_SEQUENCE, F.monotonically_increasing_id())
-    written, found = write_observed(rows, path, metrics)
+    rows = df.select(*spec.columns, *width).withColumns(
+        {ROW_SEQUENCE: F.monotonically_increasing_id(), _BROKEN: breaks_contract(spec)}
+    )
+    written, found = write_observed(rows, path, metrics, codec=COMPACT)
     if not found["rows"]:
         raise ValueError(f"{spec.name}: refusing to load an empty feed")
     if isinstance(feed, Feed):
         feed.check_width(found["widest"])
-    check_contract(found, spec)
+    if found["broken"]:
+        check_contract(written, spec)
     share = hot_share(df.sparkSession)
     hot = {name: hot_hashes(found[f"hot {name}"], found["rows"], share) for name in probes}
     parts = sorted(found.get("parts") or [])
-    return Staged(written.drop(WIDTH), found["rows"], found["last_sequence"] + 1, hot, parts)
+    return Staged(written.drop(WIDTH, _BROKEN), found["rows"], found["last_sequence"] + 1, hot, parts)
 
 
 def export_jdbc(

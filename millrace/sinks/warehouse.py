@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from millrace.schemas import TableSpec
-from millrace.session import append_row, appended_rows, write_observed
+from millrace.session import COMPACT, append_row, appended_rows, write_observed
 
 _VERSION = "table_version"  # directory level, kept out of the rows
 WHOLE = ""  # the one partition of a table that has no partition column
@@ -147,15 +147,17 @@ class Warehouse:
         """Add the rows of a batch to the folders of their partitions; returns the attempt.
 
         All batches share these folders, so there are as many as there are partitions. Each file
-        has rows of one batch and attempt, by which readers skip the others.
+        has rows of one batch and attempt, by which readers skip the others. The rows are written
+        where they are: a batch has few partitions, so few files come of a task.
         """
         attempt = time.time_ns()
-        rows = df.select(*spec.columns, F.lit(attempt).alias(_ATTEMPT)).hint("rebalance")
+        rows = df.select(*spec.columns, F.lit(attempt).alias(_ATTEMPT))
         observation = Observation()
         observed = {"rows": F.count(F.lit(1)), "max_id": F.max(spec.id_col), **(metrics or {})}
         observed["parts"] = F.collect_set(spec.partition_col)
         rows = rows.observe(observation, *[c.alias(n) for n, c in observed.items()])
-        rows.write.mode("append").partitionBy(spec.partition_col).parquet(self.path(spec.name))
+        writer = rows.write.mode("append").option("compression", COMPACT)
+        writer.partitionBy(spec.partition_col).parquet(self.path(spec.name))
         return attempt, dict(observation.get)
 
     def batches(self, spec: TableSpec) -> DataFrame:

@@ -4,6 +4,7 @@ from millrace.functions.coerce import coerce_types
 from millrace.functions.keys import KeyRule
 from millrace.operators.keyfilter import KeyColumns
 from millrace.schemas import Field, TableSpec, text
+from millrace.sinks import staging
 from millrace.sinks.staging import (
     ROW_SEQUENCE, ContractError, contract_violations, export_jdbc, load_staging,
 )
@@ -66,3 +67,13 @@ def test_frequent_keys_are_found_in_the_same_pass(spark, tmp_path):
 def test_jdbc_needs_a_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         export_jdbc(frame(spark, [("a", "b", 1)]), "jdbc:nosuch:db", "t")
+
+
+def test_contract_is_one_flag_while_staging(spark, tmp_path, monkeypatch):
+    """Metrics are not generated code: one per rule costs more than the rows."""
+    seen = []
+    write = staging.write_observed
+    monkeypatch.setattr(staging, "write_observed", lambda df, path, metrics, **kw: seen.append(metrics) or write(df, path, metrics, **kw))
+    staged = load_staging(frame(spark, [("a", "x", 1), ("abcde", None, 2)]), SPEC, str(tmp_path / "stg"))
+    assert staged.rows == 2 and staged.df.columns == ["name", "note", "n", ROW_SEQUENCE]
+    assert len(seen[0]) <= 3

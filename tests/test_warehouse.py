@@ -92,3 +92,16 @@ def test_pruned_partition_is_the_only_one_read(spark, root):
     assert len(warehouse.snapshot(PARTED).inputFiles()) == 2 and files
     plan = warehouse.snapshot(PARTED).filter("part = 'q'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_batches_are_written_where_their_rows_are(spark, root):
+    """No shuffle: every task that has rows writes its own file."""
+    spec = TableSpec("Added", (*PARTED.fields, Field("b", "bigint")), id_col="id", partition_col="part", batch_col="b")
+    warehouse = Warehouse(spark, root)
+    df = spark.range(0, 100, 1, 4).selectExpr("id", "string(id) AS v", "'p' AS part", "1L AS b")
+    attempt, found = warehouse.append(spec, df)
+    assert (found["rows"], found["max_id"], found["parts"]) == (100, 99, ["p"])
+    warehouse.commit([Written(spec.name, attempt, found["parts"], max_id=99, batch=1)])
+    added = warehouse.added(spec)
+    files = [name for name in added.inputFiles() if "/Added/part=p/" in name]
+    assert added.count() == 100 and len(files) == 4 and all(".zstd." in name for name in files)

@@ -40,6 +40,9 @@ GIVEN_TABLES = (
 )
 
 
+#: Lines of a compressed file of a feed.
+FEED_FILE_ROWS = 1_000_000
+
 COVERS: dict[str, tuple[str, ...]] = {}
 
 
@@ -365,11 +368,13 @@ def split_single_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _written_feed(df: DataFrame, columns: list[str], path: str, delimiter: str = ",") -> str:
-    """A feed whose rows are one quoted field each, missing values left blank."""
+    """A feed whose rows are one quoted field each, missing values left blank.
+
+    It comes as compressed files, a task for each: none is larger than a task may read.
+    """
     line = F.concat_ws(delimiter, *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in columns])
-    df.select(line.alias(delimiter.join(columns))).write.option("header", True).option(
-        "quoteAll", True
-    ).csv(path)
+    writer = df.select(line.alias(delimiter.join(columns))).write.option("header", True).option("quoteAll", True)
+    writer.option("compression", "gzip").option("maxRecordsPerFile", FEED_FILE_ROWS).csv(path)
     return path
 
 
