@@ -193,12 +193,15 @@ def resolve_claims(
         lookups = key_probes(fold_case)
         patients = prune_dimension(patients, filters["patient"], lookups["patient"])
         providers = prune_dimension(providers, filters["provider"], lookups["provider"])
+    # The smaller dimension first: its names need not be carried through the shuffle by patient
+    # unless someone reads them afterwards.
     found = resolve_keys(
-        claims, patients, _PATIENT_ON, "PatientID", how, rule, hot.get("patient", ()), spread_by
+        claims, providers, _PROVIDER_ON, "ProviderID", how, rule, hot.get("provider", ()), spread_by
     )
-    return resolve_keys(
-        found, providers, _PROVIDER_ON, "ProviderID", how, rule, hot.get("provider", ()), spread_by
+    found = resolve_keys(
+        found, patients, _PATIENT_ON, "PatientID", how, rule, hot.get("patient", ()), spread_by
     )
+    return found.select(*[F.col(f"`{name}`") for name in claims.columns], "PatientID", "ProviderID")
 
 
 def unresolved_rule() -> Rule:

@@ -11,6 +11,7 @@ from millrace.operators.upsert import apply_changes, key_fingerprints, one_row_p
 from millrace.plans import claims as c
 from millrace.plans import reports
 from millrace.session import Scratch
+from verification import inputs
 
 
 def plan(df):
@@ -121,3 +122,22 @@ def test_reports_combine_before_the_shuffle(shuffled, tables):
         text = plan(report(rejects))
         assert len(re.findall(r"Exchange", text)) == 1 and "partial_count" in text
         assert "Reason" not in re.search(r"ReadSchema: ([^\n]*)", text)[1]
+
+
+def test_claims_are_shuffled_without_text_and_providers_have_a_size(shuffled, tmp_path, spark):
+    kinds = {
+        "lineitem": "l_orderkey bigint, l_suppkey bigint, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp",
+        "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp, o_orderpriority string",
+        "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+        "nation": "n_nationkey int, n_name string, n_regionkey int",
+        "region": "r_regionkey int, r_name string",
+    }
+    for name, kind in kinds.items():
+        spark.createDataFrame([], kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    text = plan(inputs.claims(spark, str(tmp_path)))
+    moved = re.search(r"Exchange hashpartitioning\(l_orderkey[^\n]*\n[^\n]*Project \[([^\n]*)\]", text)[1]
+    assert "AmountBilled" in moved and "l_returnflag" not in moved.split(" AS ")[-1]
+    assert len(re.findall(r"Exchange hashpartitioning\(o_custkey", text)) == 1
+    assert "Join" not in plan(inputs.providers(spark, str(tmp_path)))

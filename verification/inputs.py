@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.plans import claims as c
+from millrace.session import Scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,16 +67,18 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
+    """Providers on file, as a table: Spark takes a join for as large as the product of its sides."""
+    rows = (
         suppliers(spark, sf_dir)
         .filter("s_acctbal >= 0")
         .select(F.col("s_suppkey").alias("ProviderID"), "Name", "Region", "Specialty")
     )
+    return Scratch(spark).write(rows, codec=None)[0]
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One claim per order line, with natural keys only."""
-    billed = money(F.col("l_extendedprice")) - F.lit(2000).cast("decimal(18,2)")
+    price = money(F.col("l_extendedprice")) - F.lit(2000).cast("decimal(18,2)")
     discount = 1 - F.col("l_discount").cast("decimal(5,2)")
     tax = 1 + F.col("l_tax").cast("decimal(5,2)")
     is_open = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
@@ -92,13 +95,24 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     provider_nation = nation.select(
         F.col("n_nationkey").alias("rn_key"), F.col("n_name").alias("ProviderRegion")
     )
-    # Plain tables one by one: Spark knows their sizes, but not that of a join of them.
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # What follows from a line alone is computed before it moves.
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_suppkey",
+        price.cast("decimal(18,2)").alias("AmountBilled"),
+        F.when(~is_open, (price * discount * tax).cast("decimal(18,2)")).alias("AmountPaid"),
+        F.when(~is_open, F.to_date("l_shipdate")).alias("DatePaid"),
+    )
+    # Orders get their customers before they meet the lines, of which there are several for each:
+    # the lines are shuffled once, and then without any text.
+    orders = (
+        table(spark, sf_dir, "orders")
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(patient_nation, F.col("c_nationkey") == F.col("pn_key"))
+    )
+    return (
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(provider_nation, F.col("s_nationkey") == F.col("rn_key"))
         .select(
             F.col("c_name").alias("PatientFirstName"),
@@ -106,11 +120,11 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
             birth_date().alias("PatientBirthDate"),
             F.col("s_name").alias("ProviderName"),
             "ProviderRegion",
-            billed.cast("decimal(18,2)").alias("AmountBilled"),
-            F.when(~is_open, (billed * discount * tax).cast("decimal(18,2)")).alias("AmountPaid"),
+            "AmountBilled",
+            "AmountPaid",
             status.alias("Status"),
             F.to_date("o_orderdate").alias("DateSubmitted"),
-            F.when(~is_open, F.to_date("l_shipdate")).alias("DatePaid"),
+            "DatePaid",
         )
     )
 
