@@ -4,9 +4,11 @@ The model file is parsed from its protobuf fields, and its parts are rebuilt: th
 with its character map, the marker for spaces, the scores (of a unigram model, or as the merge
 order of a BPE model), and the fallback to bytes. Batches are encoded by several threads.
 
-Where no piece continues over the beginning of a word, each different word of a batch is
-encoded once, together with the spaces before it, which also bounds the length of what the
-library encodes at a time by the longest word and not by the longest text.
+Where no piece continues over the beginning of a word, each different word is encoded once,
+together with the spaces before it, which also bounds the length of what the library encodes at
+a time by the longest word and not by the longest text. Many new words go to the library as one
+text, and a task remembers a bounded number of words. Ids are decoded by a table of the bytes of
+every piece; where these are not the text, the library's decoder says what the ids mean.
 
 Defined results: a null text has null ids, an empty one has none; equal texts have equal ids;
 an empty table gives no rows; other columns are kept.
@@ -32,6 +34,10 @@ MARK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 #: A model larger than this is not sent along with the tasks.
 MOST_MODEL_BYTES = 64 << 20
+#: Words that go to the library as one text.
+_JOINED = 4096
+#: A task forgets its words beyond so many, or so many characters.
+_MOST_WORDS, _MOST_CHARS = 1 << 18, 8 << 20
 
 _UNIGRAM, _BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
@@ -179,12 +185,22 @@ class Codec:
         # With words on their own the prefix is one more space, and one tokenizer does for all.
         self.by_word = self.model.word_by_word
         self.tokenizer = self.model.tokenizer(prefix=not self.by_word)
+        self.prefix = " " if self.model.dummy_prefix else ""
+        pieces = [_piece_bytes(p) for p, _, _ in self.model.pieces]
+        self.unknown = [i for i, p in enumerate(self.model.pieces) if p[2] == _UNKNOWN]
+        self.sizes = np.array([len(p) for p in pieces], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._places: dict[str, int] = {}
+        self._ids, self._first, self._chars = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts and the offsets of each text's."""
         if self.by_word:
-            prefix = " " if self.model.dummy_prefix else ""
-            texts = [prefix + t if t else "" for t in texts]
+            texts = [self.prefix + t if t else "" for t in texts]
             if not any(MARK in t for t in texts):
                 return self._encode_words(texts)
         return self._encode_whole(texts)
@@ -194,7 +210,7 @@ class Codec:
         return _flat([e.ids for e in found])
 
     def _encode_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Every different word of the batch is encoded once, with the spaces before it."""
+        """Every different word is encoded once, with the spaces before it."""
         data, bounds = flat_text(pa.array(texts, pa.large_string()))
         starts_word = data == 0x20
         starts_word[1:] &= data[:-1] != 0x20
@@ -204,16 +220,79 @@ class Codec:
             len(starts), pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(np.ascontiguousarray(data))
         ).dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False)
-        ids, first = self._encode_whole(words.dictionary.to_pylist())
-        sizes = np.diff(first)[codes]
+        places = self._learn(words.dictionary.to_pylist())[codes]
+        sizes = np.diff(self._first)[places]
         ends = np.cumsum(sizes)
-        at = np.repeat(first[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        return ids[at], np.append(0, ends)[np.searchsorted(starts, bounds)]
+        at = np.repeat(self._first[places] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self._ids[at], np.append(0, ends)[np.searchsorted(starts, bounds)]
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """The places of these words among those remembered; new ones are encoded."""
+        if len(self._places) > _MOST_WORDS or self._chars > _MOST_CHARS:
+            self._forget()
+        new = [w for w in words if w not in self._places]
+        # Only between these does the pre-tokenizer cut a joined text as it was joined.
+        joined = [w for w in new if w[0] == " " and w[-1] != " "]
+        alone = [w for w in new if w[0] != " " or w[-1] == " "]
+        for some, encode in ((joined, self._encode_joined), (alone, self._encode_whole)):
+            if some:
+                ids, first = encode(some)
+                known = len(self._first) - 1
+                self._places.update(zip(some, range(known, known + len(some)), strict=True))
+                self._first = np.append(self._first, first[1:] + len(self._ids))
+                self._ids = np.append(self._ids, ids)
+                self._chars += sum(map(len, some))
+        return np.fromiter(map(self._places.__getitem__, words), np.int64, count=len(words))
+
+    def _encode_joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words that begin, but do not end, with a space: many at a time, told apart by their bytes."""
+        ids, _ = self._encode_whole(
+            ["".join(words[i : i + _JOINED]) for i in range(0, len(words), _JOINED)]
+        )
+        ends = np.cumsum(self.sizes[ids])
+        word_ends = np.cumsum([len(w.encode()) for w in words])
+        last = np.searchsorted(ends, word_ends)
+        # A piece for unknown text has no bytes of its own, and may stand for any number.
+        if np.isin(self.unknown, ids).any() or not np.isin(word_ends, ends).all():
+            return self._encode_whole(words)
+        return ids, np.append(0, last + 1)
+
+    def gives_back(self, ids: np.ndarray, offsets: np.ndarray, texts: list[str]) -> np.ndarray:
+        """Whether decoding the ids of each text gives it back."""
+        want, bounds = flat_text(pa.array([self.prefix + t if t else "" for t in texts], pa.large_string()))
+        sizes = self.sizes[ids]
+        ends = np.append(0, np.cumsum(sizes))
+        at = np.repeat(self.begins[ids] - ends[:-1], sizes) + np.arange(ends[-1])
+        found, found_bounds = self.bytes[at], ends[offsets]
+        lengths, found_lengths = np.diff(bounds), np.diff(found_bounds)
+        same = lengths == found_lengths
+        if same.all():
+            wrong = np.append(0, np.cumsum(found != want))
+            same = wrong[bounds[1:]] == wrong[bounds[:-1]]
+        else:
+            for i in np.flatnonzero(same).tolist():
+                same[i] = np.array_equal(
+                    found[found_bounds[i] : found_bounds[i + 1]], want[bounds[i] : bounds[i + 1]]
+                )
+        other = np.flatnonzero(~same).tolist()
+        back = self.decode([ids[offsets[i] : offsets[i + 1]].tolist() for i in other])
+        same[other] = [texts[i] == b for i, b in zip(other, back, strict=True)]
+        return same
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
 
+def _piece_bytes(piece: str) -> bytes:
+    """What a piece stands for: its text with spaces for markers, or the byte that it names."""
+    if len(piece) == 6 and piece.startswith("<0x") and piece.endswith(">"):
+        try:
+            return bytes([int(piece[3:5], 16)])
+        except ValueError:
+            pass
+    return piece.replace(MARK, " ").encode()
+
+
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     offsets = np.zeros(len(ids) + 1, np.int64)
     np.cumsum([len(i) for i in ids], out=offsets[1:])
@@ -316,15 +395,13 @@ def tokenize_and_verify(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared.value, threads)
         for table in chunks(batches, text, batch_bytes):
-            texts = table[text].to_pylist()
-            ids, offsets = codec.encode([t or "" for t in texts])
-            plain = ids.tolist()
-            back = codec.decode([plain[a:b] for a, b in zip(offsets, offsets[1:], strict=False)])
-            null = np.array([t is None for t in texts], bool)
+            null = table[text].combine_chunks().is_null().to_numpy(zero_copy_only=False)
+            texts = [t or "" for t in table[text].to_pylist()]
+            ids, offsets = codec.encode(texts)
             columns = [
                 _id_lists(ids, offsets, null),
                 pa.array(np.diff(offsets), mask=null),
-                pa.array([t == b for t, b in zip(texts, back, strict=True)], mask=null),
+                pa.array(codec.gives_back(ids, offsets, texts), mask=null),
             ]
             kept = [table[f.name].combine_chunks() for f in kept_fields]
             yield pa.RecordBatch.from_arrays([*kept, *columns], [f.name for f in schema.fields])

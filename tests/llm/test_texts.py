@@ -93,6 +93,30 @@ def test_pieces_equal_the_reference_library(spark):
     assert pieces.tokenize_and_verify(frame.limit(0), model).count() == 0
 
 
+def test_known_words_are_encoded_once_and_decoded_by_a_table(monkeypatch):
+    data = pieces.read_model()
+    known = sentencepiece.SentencePieceProcessor(model_proto=data)
+    monkeypatch.setattr(pieces, "_JOINED", 7)
+    codec = pieces.Codec(data)
+    sent, decoded = [], []
+    whole, decode = codec._encode_whole, codec.decode
+    monkeypatch.setattr(codec, "_encode_whole", lambda texts: sent.append(texts) or whole(texts))
+    monkeypatch.setattr(codec, "decode", lambda ids: decoded.extend(ids) or decode(ids))
+    texts = ["", " ", "   ", "a  b", "é日本😀\x00 <0x41> <s>", "a b ", *[f"w{i} w{i % 5}é\n" for i in range(40)], "x" * 500]
+    for _ in range(2):
+        ids, offsets = codec.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [known.encode(t) for t in texts]
+        assert codec.gives_back(ids, offsets, texts).all()
+        first, sent[:] = list(sent), []
+    assert not first and not decoded
+    # Ids that mean something else, and as many bytes.
+    other = codec.gives_back(np.append(ids[:-1], ids[0]), offsets, texts)
+    assert other[:-1].all() and not other[-1] and len(decoded) == 1
+    monkeypatch.setattr(pieces, "_MOST_WORDS", 5)
+    again, _ = codec.encode(texts)
+    assert sent and (again == ids).all()
+
+
 def message(*fields):
     out = b""
     for number, value in fields:
