@@ -78,29 +78,42 @@ def _distinct(column: pa.ChunkedArray) -> tuple[np.ndarray, list[str], list[byte
 def _shingles(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of all lines, and where each line's begin."""
     lengths = np.array([len(t) for t in texts], np.int64)
-    data = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    data = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     counts = np.maximum(lengths - size + 1, 1)
     first = np.concatenate([[0], np.cumsum(counts)])
     begin = np.cumsum(lengths) - lengths
-    at = np.repeat(begin - first[:-1], counts) + np.arange(first[-1])
-    hashed = _window_hash(mix(data + np.uint64(1)), size)
-    out = np.zeros(len(at), np.uint64)
-    short = np.repeat(lengths < size, counts)
-    out[~short] = hashed[at[~short]]
+    at = np.repeat(begin - first[:-1], counts)
+    at += np.arange(first[-1])
+    hashed = _window_hash(_mixed_letters(data), size)
+    # Short lines, which have no window of their own, are hashed below.
+    out = hashed.take(at, mode="clip") if len(hashed) else np.zeros(len(at), np.uint64)
     for i in np.flatnonzero(lengths < size):
         out[first[i]] = xxhash.xxh64_intdigest(texts[i].encode(), 1)
     return mix(out), first
 
 
+#: ``mix`` of the code points of the first plane.
+_LETTERS = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def _mixed_letters(points: np.ndarray) -> np.ndarray:
+    if len(points) and points.max() < len(_LETTERS):
+        return _LETTERS[points]
+    return mix(points.astype(np.uint64) + np.uint64(1))
+
+
 def _signatures(texts: list[str], shingle: int, bins: int) -> np.ndarray:
     hashes, first = _shingles(texts, shingle)
-    line = np.repeat(np.arange(len(texts)), np.diff(first))
-    place = ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    place = hashes >> np.uint64(32)
+    place *= np.uint64(bins)
+    place >>= np.uint64(32)
+    place = place.view(np.int64)
+    place += np.repeat(np.arange(len(texts)) * bins, np.diff(first))
     signature = np.full(len(texts) * bins, np.uint32(0xFFFFFFFF))
-    np.minimum.at(signature, line * bins + place, hashes.astype(np.uint32))
+    np.minimum.at(signature, place, hashes.astype(np.uint32))
     # Any value can be a minimum or come of borrowing, so none can mark an empty bin.
     filled = np.zeros(len(signature), bool)
-    filled[line * bins + place] = True
+    filled[place] = True
     signature, filled = signature.reshape(len(texts), bins), filled.reshape(len(texts), bins)
     open_ = np.flatnonzero(~filled.all(axis=1))
     while len(open_):
@@ -128,12 +141,18 @@ def _bands(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
                 if not len(part):
                     continue
                 signature = _signatures([texts[i] for i in part], shingle, bands * rows)
+                values = signature.reshape(len(part), bands, rows).astype(np.uint64)
+                key = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(part), 1))
+                for r in range(rows):
+                    key = mix(key ^ values[:, :, r])
                 names = pa.array([ids[i] for i in part], pa.binary())
-                for b in range(bands):
-                    key = np.full(len(part), b + 1, np.uint64)
-                    for r in range(rows):
-                        key = mix(key ^ signature[:, b * rows + r].astype(np.uint64))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), names], ["band", "id"])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key.ravel().view(np.int64)),
+                        names.take(pa.array(np.repeat(np.arange(len(part)), bands))),
+                    ],
+                    ["band", "id"],
+                )
 
     return docs.select("text").mapInArrow(run, "band long, id binary")
 

@@ -56,10 +56,18 @@ _HEAD = np.dtype([("k1", "<i8"), ("k2", "<i8"), ("start", "<i4"), ("words", "<i4
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.multiply.accumulate(out)
+    """The first ``n`` powers; a moderate number of them is kept."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < n:
+        known = np.full(max(n, _KEPT_POWERS), base, np.uint64)
+        known[0] = 1
+        known = np.multiply.accumulate(known)
+        _POWERS[base] = known[:_KEPT_POWERS].copy()
+    return known[:n]
+
+
+_POWERS: dict[int, np.ndarray] = {}
+_KEPT_POWERS = 1 << 19
 
 
 def _window_hash(values: np.ndarray, size: int) -> np.ndarray:

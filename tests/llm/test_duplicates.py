@@ -9,8 +9,10 @@ import time
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, lines, neighbours, simhash, substrings
+from millrace.llm.arrow import mix
 
 WORDS = [f"w{i}" for i in range(300)]
 
@@ -282,3 +284,26 @@ def test_probes_begin_with_the_own_bucket_and_are_all_different():
         probes = hasher.probes(points, table)
         assert (probes[:, 0] == hasher.buckets(points, table)).all()
         assert all(len(set(row)) == len(row) for row in probes.tolist())
+
+
+def test_bands_of_a_chunk_come_as_one_batch_and_depend_on_the_line_alone(spark):
+    texts = ["", "a\nb", "\U0001f600" * 20 + "\nabcdefg\nabcdefgh", None, "x" * 3000 + "\n" + "yz" * 30, "one line of some length"]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    rows = lines._bands(frame, 8, 12, 5).withColumn("at", F.monotonically_increasing_id()).collect()
+    assert len(rows) == 12 * 8
+    # The twelve bands of a line stand together.
+    assert all(len({r.id for r in rows[i : i + 12]}) == 1 for i in range(0, len(rows), 12))
+    found = {}
+    for r in rows:
+        found.setdefault(r.id, set()).add(r.band)
+    for text in texts:
+        for line in (text or "").split("\n"):
+            if line:
+                signature = lines._signatures([line], 8, 60)[0].astype(np.uint64)
+                keys = set()
+                for b in range(12):
+                    key = np.full(1, b + 1, np.uint64)
+                    for value in signature[b * 5 : b * 5 + 5]:
+                        key = mix(key ^ value)
+                    keys.add(int(key.view(np.int64)[0]))
+                assert keys == found[xxhash.xxh3_128_digest(line.encode())]
