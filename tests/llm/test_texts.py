@@ -187,6 +187,16 @@ def test_scores_of_texts(spark):
     assert all(r.bits_per_byte == pytest.approx(8, rel=0.01) for r in alone)
 
 
+def test_buckets_answer_a_chunk_with_one_row(spark):
+    """Not one for each text that holds a word of the bucket."""
+    rng = random.Random(4)
+    rows = [(i, -i, " ".join(f"w{rng.randint(0, 3000)}" for _ in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "k1 long, k2 long, text string").coalesce(1)
+    counts = mixing.token_counts(docs, 16)
+    found = mixing._bucket_sums(docs, counts, {}, ["k1", "k2"], 4, 16)
+    assert found.groupBy("bucket").count().filter("count <> 1").count() == 0 and found.count() == 17
+
+
 def test_both_values_of_a_bit_share_its_probability():
     weights, last = mixing._fresh()
     last[1] += 5
