@@ -8,6 +8,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -206,3 +207,39 @@ def test_both_values_of_a_bit_share_its_probability():
     # Every byte has its own path of gates and bits, so its probabilities add up to one too.
     paths = {tuple(zip(g, b)) for g, b in zip(mixing._BYTE_GATES.tolist(), mixing._BYTE_BITS.tolist())}
     assert len(paths) == 256
+
+
+def test_each_context_and_byte_is_looked_up_once(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abé D") for _ in range(rng.randint(0, 900))) for _ in range(40)] + [None, ""]
+    weights, last = mixing._fresh()
+    tables = np.random.default_rng(2).integers(-127, 127, sum(mixing._sizes()), np.int8)
+    mixer = mixing.Mixer(tables, weights, last)
+    looked, found = collections.Counter(), mixing.Mixer._logits
+    monkeypatch.setattr(
+        mixing.Mixer, "_logits", lambda self, w, order: looked.update({order: len(w)}) or found(self, w, order)
+    )
+    bits, sizes = mixer.run(pa.chunked_array([pa.array(texts)]))
+    framed = [b"\xff" * 6 + (t or "").lower().encode() + b"\xff" for t in texts]
+    for order, k in enumerate(mixing.ORDERS):
+        assert looked[order] == len({f[i - k : i + 1] for f in framed for i in range(6, len(f))})
+    assert sizes.tolist() == [len((t or "").encode()) + 1 for t in texts] and (bits > 0).all()
+    # The same logits, node by node from the tables.
+    windows, _ = mixing._windows(pa.chunked_array([pa.array(texts[:3])]))
+    codes, distinct = mixing._coded(windows)
+    assert (distinct[codes] == windows).all() and (np.diff(distinct.astype(object)) >= 0).all()
+    starts = np.cumsum([0, *mixing._sizes()])
+    for order in range(len(mixing.ORDERS)):
+        logits = found(mixer, distinct, order)
+        for half, slots in enumerate(mixing._slots(distinct, order)):
+            for b in range(4):
+                nibble = (mixing._byte(distinct) >> (4 - 4 * half)) & 15
+                node = (1 << b) + (nibble >> (4 - b))
+                assert (logits[:, 4 * half + b] == tables[starts[order] + slots * 16 + node]).all()
+
+
+def test_tokens_are_dealt_by_all_their_bytes():
+    words = [f"{a}{'x' * n}{b}" for a in "pq" for b in "rs" for n in range(300)]
+    found = mixing._bucket(pa.array(words, pa.large_string()), 16)
+    assert found.tolist() == [mixing._bucket(pa.array([w], pa.large_string()), 16)[0] for w in words]
+    assert np.bincount(found, minlength=16).min() > 40
