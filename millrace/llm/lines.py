@@ -66,11 +66,16 @@ def _lines(column: pa.ChunkedArray) -> tuple[pa.LargeStringArray, np.ndarray]:
     return pc.ascii_trim_whitespace(lines), np.append(text, len(starts))
 
 
+def _values(column: pa.Array | pa.ChunkedArray) -> list:
+    """``to_pylist`` for texts and bytes, some times as fast."""
+    return column.to_numpy(zero_copy_only=False).tolist() if isinstance(column, pa.Array) else column.to_numpy().tolist()
+
+
 def _distinct(column: pa.ChunkedArray) -> tuple[np.ndarray, list[str], list[bytes], np.ndarray]:
     """Codes of all lines, the distinct lines with their ids, and where each text's begin."""
     lines, first = _lines(column)
     coded = lines.dictionary_encode()
-    texts = coded.dictionary.to_pylist()
+    texts = _values(coded.dictionary)
     ids = [xxhash.xxh3_128_digest(t.encode()) for t in texts]
     return coded.indices.to_numpy(zero_copy_only=False), texts, ids, first
 
@@ -235,36 +240,76 @@ class _RareShingles:
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
-def _few_groups(texts: list[str], shingle: int, similarity: float) -> np.ndarray:
-    """``similar_groups`` of a few short lines, where sets of strings cost least."""
-    sets = [{t[i : i + shingle] for i in range(max(len(t) - shingle, 0) + 1)} for t in texts]
-    sizes = [len(s) for s in sets]
-    group = [-1] * len(texts)
-    rest = list(range(len(texts)))
-    while rest:
-        start = rest.pop(0)
-        group[start] = start
-        queue = [start]
-        while queue and rest:
-            pivot = queue.pop()
-            mine, size, other = sets[pivot], sizes[pivot], []
-            for i in rest:
-                n = sizes[i]
-                if n >= similarity * size and size >= similarity * n:
-                    common = len(mine & sets[i])
-                    if common >= similarity * (n + size - common) - 1e-9:
-                        group[i] = start
-                        queue.append(i)
-                        continue
-                other.append(i)
-            rest = other
-    return np.array(group)
+def _coded(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """How many different hashes there are, and a code for each."""
+    bits = np.uint64(len(hashes).bit_length())
+    # Sorted by their high bits, with the place in the low ones, which needs no indirect sort.
+    placed = (hashes >> bits << bits) | np.arange(len(hashes), dtype=np.uint64)
+    placed.sort()
+    at = (placed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    ordered = hashes[at]
+    new = ordered[1:] != ordered[:-1]
+    if (new & (placed[1:] >> bits == placed[:-1] >> bits)).any():
+        known, codes = np.unique(hashes, return_inverse=True)
+        return len(known), codes
+    codes = np.empty(len(hashes), np.int64)
+    codes[at] = np.cumsum(np.append(False, new))
+    return int(new.sum()) + 1, codes
+
+
+def _few_groups(lines: list[list[str]], shingle: int, similarity: float) -> list[np.ndarray]:
+    """``similar_groups`` of many groups of a few short lines, all at once."""
+    lengths = np.array([len(x) for x in lines], np.int64)
+    begin = np.cumsum(lengths) - lengths
+    number = np.repeat(np.arange(len(lines)), lengths)
+    hashes, first = _shingles([t for x in lines for t in x], shingle)
+    line = np.repeat(np.arange(len(number)), np.diff(first))
+    # A code for each different shingle of a group, and for each line the set of its codes.
+    known, codes = _coded(mix(hashes + mix(number.astype(np.uint64))[line]))
+    bits = known.bit_length()
+    codes |= line << bits
+    codes.sort()
+    codes = codes[np.append(True, codes[1:] != codes[:-1])]
+    sizes = np.bincount(codes >> bits, minlength=len(number))
+    codes &= (1 << bits) - 1
+    # The lines whose codes are still held.
+    held = np.arange(len(number))
+    group = np.full(len(number), -1)
+    # Lines that are linked and wait to be compared come first, then those not yet linked.
+    rank = np.ones(len(number), np.int64)
+    while True:
+        pivot = np.minimum.reduceat(rank * len(number) + np.arange(len(number)), begin)
+        left = np.maximum.reduceat((group < 0).astype(np.int8), begin).astype(bool)
+        if not left.any() or not len(held):
+            break
+        pivot = pivot % len(number)
+        group[pivot[left]] = np.where(group[pivot[left]] < 0, pivot[left], group[pivot[left]])
+        rank[pivot[left]] = 2
+        mine = np.zeros(len(number), bool)
+        mine[pivot[left]] = True
+        mark = np.zeros(known, bool)
+        mark[codes[np.repeat(mine[held], sizes[held])]] = True
+        common = np.zeros(len(number), np.int64)
+        common[held] = np.add.reduceat(mark[codes], np.cumsum(sizes[held]) - sizes[held], dtype=np.int64)
+        size = sizes[pivot][number]
+        linked = (group < 0) & (sizes >= similarity * size) & (size >= similarity * sizes)
+        linked &= common >= similarity * (sizes + size - common) - 1e-9
+        group[linked] = group[pivot][number][linked]
+        rank[linked] = 0
+        needed = ((rank < 2) & left[number])[held]
+        if needed.mean() < 0.8:
+            codes, held = codes[np.repeat(needed, sizes[held])], held[needed]
+    return np.split(group - begin[number], begin[1:])
+
+
+def _is_few(texts: list[str]) -> bool:
+    return len(texts) <= _FEW and sum(map(len, texts)) <= _GROUP_CHARS
 
 
 def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndarray:
     """For each line the first line that a chain of similar lines connects it with."""
-    if len(texts) <= _FEW and sum(map(len, texts)) <= _GROUP_CHARS:
-        return _few_groups(texts, shingle, similarity)
+    if texts and _is_few(texts):
+        return _few_groups([texts], shingle, similarity)[0]
     hashes, bounds = _shingles(texts, shingle)
     sets = [np.unique(hashes[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -296,13 +341,23 @@ def similar_groups(texts: list[str], shingle: int, similarity: float) -> np.ndar
     return group
 
 
+def _links(ids: list[list[bytes]], found: list[np.ndarray]) -> pa.RecordBatch:
+    a: list[bytes] = []
+    b: list[bytes] = []
+    for names, group in zip(ids, found, strict=True):
+        for at in np.flatnonzero(group != np.arange(len(names))).tolist():
+            a.append(names[at])
+            b.append(names[group[at]])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
 def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links ``a, b`` of similar lines from ``root, i, j, id, line``."""
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[str]]]:
         held, ids, texts = None, [], []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("root", "i", "j", "id", "line")]
+            columns = [_values(batch.column(c)) for c in ("root", "i", "j", "id", "line")]
             for root, i, j, line_id, line in zip(*columns, strict=True):
                 if (root, i, j) != held:
                     if len(ids) > 1:
@@ -314,17 +369,19 @@ def _verified(members: DataFrame, shingle: int, similarity: float) -> DataFrame:
             yield ids, texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a: list[bytes] = []
-        b: list[bytes] = []
+        few: list[tuple[list[bytes], list[str]]] = []
+        chars = 0
         for ids, texts in groups(batches):
-            group = similar_groups(texts, shingle, similarity)
-            for at in np.flatnonzero(group != np.arange(len(ids))).tolist():
-                a.append(ids[at])
-                b.append(ids[group[at]])
-            if len(a) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+            if _is_few(texts):
+                few.append((ids, texts))
+                chars += sum(map(len, texts))
+            else:
+                yield _links([ids], [similar_groups(texts, shingle, similarity)])
+            if chars > _GROUP_CHARS:
+                yield _links([x for x, _ in few], _few_groups([x for _, x in few], shingle, similarity))
+                few, chars = [], 0
+        if few:
+            yield _links([x for x, _ in few], _few_groups([x for _, x in few], shingle, similarity))
 
     keys = ["root", "i", "j"]
     return members.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a binary, b binary")
@@ -421,7 +478,7 @@ def dedup_lines(
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in chunks(batches, inner["text"]):
             texts, n_lines, n_removed = [], [], []
-            for text, gone in zip(table[inner["text"]].to_pylist(), table["gone"].to_pylist(), strict=True):
+            for text, gone in zip(_values(table[inner["text"]]), table["gone"].to_pylist(), strict=True):
                 lines = text.split("\n") if text else []
                 gone = set(gone or ())
                 n_lines.append(sum(bool(_strip(line)) for line in lines))

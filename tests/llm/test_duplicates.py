@@ -307,3 +307,27 @@ def test_bands_of_a_chunk_come_as_one_batch_and_depend_on_the_line_alone(spark):
                         key = mix(key ^ value)
                     keys.add(int(key.view(np.int64)[0]))
                 assert keys == found[xxhash.xxh3_128_digest(line.encode())]
+
+
+def test_many_small_groups_are_compared_at_once(monkeypatch):
+    rng, calls, found = random.Random(8), [], lines._shingles
+    monkeypatch.setattr(lines, "_shingles", lambda *a: calls.append(1) or found(*a))
+    groups = []
+    for _ in range(120):
+        base = "".join(rng.choice("abc dé") for _ in range(rng.choice([0, 5, 9, 80])))
+        groups.append([base[: rng.randint(0, 90)] + rng.choice(["", "x", "x y"]) for _ in range(rng.randint(1, 9))])
+    got = lines._few_groups(groups, 8, 0.8)
+    assert len(calls) == 1
+    for texts, group in zip(groups, got, strict=True):
+        sets = [{t[i : i + 8] for i in range(max(len(t) - 8, 0) + 1)} for t in texts]
+        want = list(range(len(texts)))
+        for _ in texts:
+            for i, a in enumerate(sets):
+                for j, b in enumerate(sets):
+                    if len(a & b) >= 0.8 * len(a | b) - 1e-9:
+                        want[i] = want[j] = min(want[i], want[j])
+        assert group.tolist() == want
+    # Hashes that share their high bits are still told apart.
+    hashes = np.array([7, 5, 7, 1 << 40, 5, 6], np.uint64)
+    n, codes = lines._coded(hashes)
+    assert n == 4 and len({(h, c) for h, c in zip(hashes.tolist(), codes.tolist())}) == 4
