@@ -238,6 +238,79 @@ def test_each_context_and_byte_is_looked_up_once(monkeypatch):
                 assert (logits[:, 4 * half + b] == tables[starts[order] + slots * 16 + node]).all()
 
 
+def test_a_counting_task_sends_each_part_once(spark):
+    """However many different windows it meets, and whatever the number of its chunks."""
+    rng = np.random.default_rng(8)
+    rows = [("".join(map(chr, rng.integers(97, 123, 3_000_000))),) for _ in range(2)]
+    docs = spark.createDataFrame(rows, "text string").coalesce(1)
+    found = mixing._count_contexts(docs).collect()
+    assert len({r.part for r in found}) == len(found) == sum(mixing._sizes()) // mixing._PART
+    # Each byte and end has two entries in each table.
+    total = sum(int(mixing._unpack(bytes(r.counts)).sum()) for r in found)
+    assert total == 2 * len(mixing.ORDERS) * 2 * 3_000_001
+
+
+def test_counts_that_may_overflow_are_sent_before(spark, monkeypatch):
+    docs = spark.createDataFrame([("ab" * 1000,)] * 4, "text string").coalesce(1)
+    whole = mixing._sum_parts(mixing._count_contexts(docs), "part").collect()
+    monkeypatch.setattr(mixing, "_MOST", 5000)
+    monkeypatch.setattr(mixing, "chunks", lambda b, *_: (pa.Table.from_batches([x.slice(i, 1)]) for x in b for i in range(len(x))))
+    parts = mixing._sum_parts(mixing._count_contexts(docs), "part").collect()
+    key = lambda r: (r.part, mixing._unpack(bytes(r.counts)).tolist())
+    assert sorted(map(key, whole)) == sorted(map(key, parts)) != []
+
+
+def test_blocks_of_equal_number_come_together():
+    sizes = np.array([1, 700, 256, 257, 60_000, 3, 512])
+    places, pieces, names, calls = mixing._by_block(sizes)
+    ends = np.cumsum(sizes)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    number = (np.arange(ends[-1]) - (ends - sizes)[text]) // mixing.BLOCK
+    order = np.argsort(number, kind="stable")
+    assert (places == order).all() and calls[0] == 0 and calls[-1] == len(order)
+    assert np.diff(calls).min() > 0 and np.diff(calls).max() <= mixing._SCORE_BYTES
+    for a, b in zip(calls, calls[1:]):
+        assert len(set(number[order[a:b]])) == 1
+    lengths = np.diff(np.append(pieces, len(order)))
+    assert (np.repeat(names, lengths) == text[order]).all() and set(calls[:-1]) <= set(pieces.tolist())
+    assert mixing._by_block(sizes[:0])[3] == [0]
+
+
+def test_gradients_are_those_of_each_bit():
+    """Learning sorts the bytes of a call; weights are those that its bits ask for one by one."""
+    rng = np.random.default_rng(9)
+    weights, last = mixing._fresh()
+    tables = rng.integers(-127, 127, sum(mixing._sizes()), np.int8)
+    mixer = mixing.Mixer(tables, weights.copy(), last)
+    text = "the garden of é stone " * 9
+    column = pa.chunked_array([pa.array([text])])
+    windows, _ = mixing._windows(column)
+    byte = mixing._byte(windows)
+    logits = [mixer._logits(windows, k) / 16 for k in range(len(mixing.ORDERS))]
+    gates, bits = mixing._BYTE_GATES[byte], mixing._BYTE_BITS[byte]
+    mixed = sum(w[gates] * x for w, x in zip(weights, logits))
+    level = np.clip(mixed * 511 / 24 + 256, 0, 511).astype(int)
+    error = bits - mixing._CENTERS[level]
+    mixer.run(column, "weights")
+    assert len(windows) < mixing.BLOCK
+    for k, x in enumerate(logits):
+        gradient = np.bincount(gates.ravel(), (x * error).ravel(), 256)
+        step = mixing.WEIGHT_RATE * gradient / (np.bincount(gates.ravel(), minlength=256) + 64)
+        assert mixer.weights[k] == pytest.approx(weights[k] + step, abs=1e-3)
+        assert np.abs(step).max() > 0.01
+
+
+def test_short_words_are_coded_as_numbers(monkeypatch):
+    texts = ["a ab abc\x00 abc abcdefg abcdefgh abcdefghi", None, "", "  ", "é\x00 é 漢字 漢字漢 a\x00 a 1234567\x00 1234567"] * 2
+    monkeypatch.setattr(mixing.Words, "coded", None)
+    codes, distinct, first = mixing._tokens(pa.chunked_array([pa.array(texts)]))
+    assert [distinct[c].as_py() for c in codes] == [w for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
+    assert len(distinct) == len(set(distinct.to_pylist())) == 14
+    assert first.tolist() == [0, 7, 7, 7, 7, 15, 22, 22, 22, 22, 30]
+    codes, distinct, _ = mixing._tokens(pa.chunked_array([pa.array([None, ""])]))
+    assert len(codes) == len(distinct) == 0
+
+
 def test_tokens_are_dealt_by_all_their_bytes():
     words = [f"{a}{'x' * n}{b}" for a in "pq" for b in "rs" for n in range(300)]
     found = mixing._bucket(pa.array(words, pa.large_string()), 16)
